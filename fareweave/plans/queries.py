@@ -656,7 +656,7 @@ def drf_sample(spark, folder):
 def drf_lineitem(spark, folder):
     """Drift of numeric and text columns of another table."""
     items = table(spark, folder, "lineitem")
-    early = F.col("l_shipdate") < F.lit("1995-01-01").cast("timestamp_ntz")
+    early = F.col("l_shipdate") < F.lit("1998-06-01").cast("timestamp_ntz")
     columns = [*LINE_NUMBERS, *LINE_TEXT]
     report = D.drift_report(items.where(early), items.where(~early), columns)
     return rounded(report, ["statistic", "score"])
