@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 
 def clip(c: Column, low: float | None = None, high: float | None = None) -> Column:
     """Limit to [low, high]; NULL and NaN stay as they are."""
-    out = F.when(F.isnan(c), c)
+    out = F
     if low is not None:
-        out = out.when(c < low, F.lit(low))
+        out = out.when(c < low, F.lit(low).cast("double"))
     if high is not None:
-        out = out.when(c > high, F.lit(high))
-    return out.otherwise(c)
+        out = out.when((c > high) & ~F.isnan(c), F.lit(high).cast("double"))
+    return c if out is F else out.otherwise(c)
 
 
 def round_half_even(c: Column, decimals: int) -> Column:
@@ -34,9 +34,14 @@ def missing(c: Column, floating: bool) -> Column:
     return c.isNull() | F.isnan(c) if floating else c.isNull()
 
 
+def present(c: Column) -> Column:
+    """Neither NULL nor NaN."""
+    return F.nanvl(c.cast("double"), F.lit(None).cast("double")).isNotNull()
+
+
 def nan_to_null(c: Column) -> Column:
     """NaN counts as missing in every fit and profile."""
-    return F.when(~F.isnan(c), c)
+    return F.nanvl(c, F.lit(None).cast("double"))
 
 
 def cyclical(c: Column, period: float) -> tuple[Column, Column]:
@@ -47,10 +52,10 @@ def cyclical(c: Column, period: float) -> tuple[Column, Column]:
 
 def lookup(c: Column, mapping: dict, default) -> Column:
     """Map values through a small dictionary; anything else gets the default."""
-    out = F.lit(default)
-    for key, value in reversed(mapping.items()):
-        out = F.when(c == key, F.lit(value)).otherwise(out)
-    return out
+    out = F
+    for key, value in mapping.items():
+        out = out.when(c == key, F.lit(value))
+    return out.otherwise(F.lit(default))
 
 
 def hash_hex(key: str | list[str], seed: int) -> Column:

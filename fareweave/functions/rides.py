@@ -31,7 +31,7 @@ def _per_driver(amount: Column, drivers: Column) -> Column:
 
 
 def _flag(condition: Column) -> Column:
-    return F.coalesce(condition, F.lit(False)).cast("int")
+    return F.when(condition, 1).otherwise(0)
 
 
 def demand_supply_ratio(demand: Column, drivers: Column) -> Column:

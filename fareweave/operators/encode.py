@@ -97,7 +97,8 @@ class StandardScaler:
         for name, mean in self.means.items():
             std = self.stds[name] or 1.0
             c = F.col(name).cast("double")
-            scaled[name] = (c - F.lit(mean).cast("double")) / F.lit(std)
+            # A factor, since a division is compiled with a check for zero in every row.
+            scaled[name] = (c - F.lit(mean).cast("double")) * F.lit(1.0 / std)
         return df.withColumns(scaled) if scaled else df
 
 

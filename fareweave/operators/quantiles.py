@@ -54,31 +54,38 @@ def _count(condition: Column) -> Column:
     return F.count(F.when(condition, F.lit(1)))
 
 
+def _ends(span: Span, ranks: list[int]) -> list[float]:
+    """Shares of a span's values between which the wanted ranks lie, rank by rank."""
+    ends: list[float] = []
+    for rank in ranks:
+        share = (rank - span.below) / span.rows
+        if not ends or share > ends[-1]:
+            ends += [max(0.0, share - MARGIN), min(1.0, share + MARGIN)]
+    return ends
+
+
 def _propose(df: DataFrame, spans: dict[Span, list[int]], rows: int, seed: int) -> dict:
-    """Sampled lower and upper bounds for each span, wide enough for its wanted ranks."""
+    """Sampled values on both sides of the wanted ranks of each span, in order."""
     sample = df.sample(min(1.0, SAMPLE_ROWS / rows), seed)
     aggs = []
     for span, ranks in spans.items():
-        shares = [(r - span.below) / span.rows for r in ranks]
-        ends = [max(0.0, min(shares) - MARGIN), min(1.0, max(shares) + MARGIN)]
         value = F.when(span.condition(), F.col(span.column))
-        aggs.append(F.percentile_approx(value, ends, 1000))
-    return dict(zip(spans, _one_row(sample, aggs)))
+        aggs.append(F.percentile_approx(value, _ends(span, ranks), 1000))
+    found = _one_row(sample, aggs)
+    return {span: sorted(set(values or [])) for span, values in zip(spans, found)}
 
 
-def _split(span: Span, bounds: list[float] | None) -> list[tuple[str, float | None, float | None, Column]]:
-    """Pieces of a span around the proposed bounds: single values and open intervals."""
-    if not bounds:
-        return [("open", span.low, span.high, span.condition())]
-    low, high = bounds
+def _split(span: Span, bounds: list[float]) -> list[tuple[str, float | None, float | None, Column]]:
+    """Pieces of a span, in order: the bounds as single values and the open intervals around them."""
     c = F.col(span.column)
-    inside = span.condition()
-    pieces = [("open", span.low, low, inside & (c < low)), ("value", low, low, c == low)]
-    if low < high:
-        pieces.append(("open", low, high, (c > low) & (c < high)))
-        pieces.append(("value", high, high, c == high))
-    pieces.append(("open", high, span.high, inside & (c > high)))
-    return pieces
+    pieces = []
+    low = span.low
+    for bound in bounds:
+        gap = Span(span.column, low, bound, 0, 0)
+        pieces += [("open", low, bound, gap.condition()), ("value", bound, bound, c == bound)]
+        low = bound
+    rest = Span(span.column, low, span.high, 0, 0)
+    return [*pieces, ("open", low, span.high, rest.condition())]
 
 
 def order_statistics(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fareweave import config
+from fareweave.functions.numeric import present
 from fareweave.operators.clean import Imputer, drop_columns, fit_imputer
 from fareweave.operators.encode import OneHotEncoder, StandardScaler, fit_one_hot, fit_scaler
 from fareweave.operators.features import ENGINEERED, add_features
@@ -151,7 +152,7 @@ def prepare(
     Rows without a target are dropped. Features are engineered on raw values and
     scaled afterwards.
     """
-    labelled = rides.where(F.col(target).isNotNull() & ~F.isnan(target))
+    labelled = rides.where(present(F.col(target)))
     split = with_split(labelled, key, test_share, seed, exact)
     learn = split if fit_on == "all" else split.where(F.col("split") == "train")
     state = fit_state(drop_columns(learn, config.ID_COLUMNS), target)

@@ -48,7 +48,7 @@ from fareweave.sources.files import (
     to_documents,
     write_table,
 )
-from fareweave.storage import join_lookup, scratch_path
+from fareweave.storage import join_lookup, materialize_spread, scratch_path
 from fareweave.streaming.profile import (
     baseline_profile,
     start_drift,
@@ -91,6 +91,11 @@ def rounded(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns({c: r6(c) for c in columns})
 
 
+def stored_rides(spark: SparkSession, folder: str) -> DataFrame:
+    """The ride table written once, as input of the multi-pass preparation."""
+    return materialize_spread(load_rides(spark, folder), "rides")
+
+
 def gappy_rides(spark: SparkSession, folder: str) -> DataFrame:
     """Rides with missing values of every kind at fixed ids."""
     ride = F.col("ride_id")
@@ -439,7 +444,7 @@ def feat_all(spark, folder):
 
 def feat_prepared(spark, folder):
     """The model-ready table: split, target and scaled features."""
-    prepared = prepare(load_rides(spark, folder))
+    prepared = prepare(stored_rides(spark, folder))
     return rounded(prepared.table, list(prepared.state.features))
 
 
@@ -532,7 +537,7 @@ def sco_confidence(spark, folder):
 
 def sco_state(spark, folder):
     """Fitted state after saving and loading."""
-    state = prepare(load_rides(spark, folder)).state
+    state = prepare(stored_rides(spark, folder)).state
     path = scratch_path(spark, "state")
     state.save(spark, path)
     back = FittedState.load(spark, path).to_table(spark)
@@ -698,7 +703,7 @@ def _experiment(name: str) -> list[dict]:
 
 def _trained(spark, folder, names: list[str]) -> Trained:
     experiments = [e for n in names for e in _experiment(n)]
-    return train_all(prepare(load_rides(spark, folder)), experiments)
+    return train_all(prepare(stored_rides(spark, folder)), experiments)
 
 
 def _training(name: str) -> Query:
@@ -717,7 +722,7 @@ def trn_run_log(spark, folder):
 
 
 def _predictor(spark, folder) -> PricePredictor:
-    prepared = prepare(load_rides(spark, folder))
+    prepared = prepare(stored_rides(spark, folder))
     trained = train_all(prepared, _experiment("linear_regression") + _experiment("ridge_regression"))
     record = trained.best().first().asDict()
     metrics = {k: v for k, v in record.items() if k != "best_model"}

@@ -56,7 +56,7 @@ def event_columns() -> dict[str, Column]:
         "is_weekend": R.is_weekend(weekday),
         "weather_condition": lookup(F.col("event_type"), EVENT_WEATHER, OTHER_WEATHER),
         "temperature": k * F.lit(0.5) - F.lit(10.0),
-        "visibility_km": round_half_even(clip(F.col("value") / F.lit(10.0), 0.1, 20.0), 4),
+        "visibility_km": round_half_even(clip(F.col("value"), 1.0, 200.0) / F.lit(10.0), 4),
         "base_fare": round_half_even(R.clip_fare(R.cyclic_fare(hour) + wobble), 6),
     }
 
