@@ -8,8 +8,15 @@ from pyspark.sql import functions as F
 from fareweave.functions.numeric import nan_to_null
 
 
-def _quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
+def _unpivoted(df: DataFrame, columns: list[str], keep: list[str], as_text: bool) -> DataFrame:
+    if as_text:
+        long = df.select(*keep, *columns).unpivot(keep, columns, "feature", "v")
+        found = long.where(F.col("v").isNotNull()).withColumn("x", F.lit(None).cast("double"))
+    else:
+        numbers = [nan_to_null(F.col(c).cast("double")).alias(c) for c in columns]
+        long = df.select(*keep, *numbers).unpivot(keep, columns, "feature", "x")
+        found = long.where(F.col("x").isNotNull()).withColumn("v", F.lit(None).cast("string"))
+    return found.select(*keep, "feature", "x", "v")
 
 
 def long_values(
@@ -17,23 +24,15 @@ def long_values(
 ) -> DataFrame:
     """One row per input row and column: ``feature`` with ``x`` (number) or ``v`` (text).
 
-    Missing values are dropped. All columns are read in a single scan.
+    Missing values are dropped. Numbers and texts are two branches of a union that scan
+    disjoint columns.
     """
     keep = keep or []
-    columns = [nan_to_null(F.col(c).cast("double")).alias(c) for c in numeric]
-    columns += [F.col(c) for c in text]
-    parts = [f"'{_escape(c)}', {_quoted(c)}, cast(null as string)" for c in numeric]
-    parts += [f"'{_escape(c)}', cast(null as double), {_quoted(c)}" for c in text]
-    stacked = F.expr(f"stack({len(parts)}, {', '.join(parts)}) as (feature, x, v)")
-    return (
-        df.select(*keep, *columns)
-        .select(*keep, stacked)
-        .where(F.col("x").isNotNull() | F.col("v").isNotNull())
-    )
-
-
-def _escape(name: str) -> str:
-    return name.replace("\\", "\\\\").replace("'", "\\'")
+    if not text:
+        return _unpivoted(df, numeric, keep, as_text=False)
+    if not numeric:
+        return _unpivoted(df, text, keep, as_text=True)
+    return _unpivoted(df, numeric, keep, False).unionByName(_unpivoted(df, text, keep, True))
 
 
 def value_counts(

@@ -7,7 +7,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fareweave.functions.numeric import nan_to_null
 from fareweave.functions.rides import WEATHER_SEVERITY
 from fareweave.operators.counts import long_values
 
@@ -103,18 +102,23 @@ class StandardScaler:
 
 
 def scaler_stats(df: DataFrame, columns: list[str]) -> DataFrame:
-    """One row per column: mean and population std, missing values skipped, in one pass."""
-    value = {c: nan_to_null(F.col(c).cast("double")) for c in columns}
-    stats = df.agg(
-        *[F.struct(F.avg(v).alias("mean"), F.stddev_pop(v).alias("std")).alias(c) for c, v in value.items()]
+    """One row per column with values: mean and population std, missing values skipped.
+
+    Columns become rows first: one aggregate over many columns would compile to a
+    method too large for the JVM to optimise.
+    """
+    return (
+        long_values(df, columns, [])
+        .groupBy(F.col("feature").alias("column_name"))
+        .agg(F.avg("x").alias("mean"), F.stddev_pop("x").alias("std"))
     )
-    return stats.unpivot([], columns, "column_name", "s").select("column_name", "s.mean", "s.std")
 
 
 def fit_scaler(df: DataFrame, columns: list[str]) -> StandardScaler:
     if not columns:
         return StandardScaler({}, {})
-    rows = scaler_stats(df, columns).collect()
+    rows = {r["column_name"]: r for r in scaler_stats(df, columns).collect()}
     return StandardScaler(
-        {r["column_name"]: r["mean"] for r in rows}, {r["column_name"]: r["std"] for r in rows}
+        {c: rows[c]["mean"] if c in rows else None for c in columns},
+        {c: rows[c]["std"] if c in rows else None for c in columns},
     )

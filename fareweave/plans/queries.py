@@ -48,7 +48,7 @@ from fareweave.sources.files import (
     to_documents,
     write_table,
 )
-from fareweave.storage import join_lookup, materialize_spread, scratch_path
+from fareweave.storage import join_lookup, materialize, scratch_path, spread_scan
 from fareweave.streaming.profile import (
     baseline_profile,
     start_drift,
@@ -93,7 +93,7 @@ def rounded(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def stored_rides(spark: SparkSession, folder: str) -> DataFrame:
     """The ride table written once, as input of the multi-pass preparation."""
-    return materialize_spread(load_rides(spark, folder), "rides")
+    return materialize(load_rides(spark, folder), "rides")
 
 
 def gappy_rides(spark: SparkSession, folder: str) -> DataFrame:
@@ -660,7 +660,7 @@ def drf_sample(spark, folder):
 
 def drf_lineitem(spark, folder):
     """Drift of numeric and text columns of another table."""
-    items = table(spark, folder, "lineitem")
+    items = spread_scan(table(spark, folder, "lineitem"))
     early = F.col("l_shipdate") < F.lit("1998-06-01").cast("timestamp_ntz")
     columns = [*LINE_NUMBERS, *LINE_TEXT]
     report = D.drift_report(items.where(early), items.where(~early), columns)

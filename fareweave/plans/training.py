@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from fareweave import config
 from fareweave.operators.evaluate import best_model, compare_models, evaluate_models, metric_log
 from fareweave.plans.prepare import Prepared
-from fareweave.storage import materialize, materialize_spread
+from fareweave.storage import materialize, spread_scan
 
 VECTOR = "_features"
 
@@ -145,7 +145,7 @@ def train_all(
     be larger than the cluster's memory.
     """
     experiments = config.EXPERIMENTS if experiments is None else experiments
-    table = materialize_spread(prepared.table, "prepared")
+    table = spread_scan(materialize(prepared.table, "prepared"))
     train = table.where(F.col("split") == "train")
     features = list(prepared.state.features)
     runs = [

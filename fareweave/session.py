@@ -14,6 +14,8 @@ def local_session(cores: int | str = "*", name: str = "fareweave") -> SparkSessi
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "12g")
+        # The JVM does not compile larger methods; Spark then takes its other path.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.ui.enabled", "false")
         .getOrCreate()
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fareweave.functions import rides as R
 from fareweave.functions.numeric import clip, lookup, round_half_even
 from fareweave.schema import EVENTS, RIDES
-from fareweave.storage import BROADCAST_ROWS, join_lookup, materialize
+from fareweave.storage import BROADCAST_ROWS, join_lookup, materialize, spread_scan
 
 # Event type standing for each weather category.
 EVENT_WEATHER = {"view": "clear", "click": "cloudy", "signup": "rain", "error": "storm"}
@@ -19,7 +19,7 @@ HOUR = "_hour"
 
 
 def read_events(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.schema(EVENTS).parquet(f"{folder}/events.parquet")
+    return spread_scan(spark.read.schema(EVENTS).parquet(f"{folder}/events.parquet"))
 
 
 def _hour_bucket() -> Column:

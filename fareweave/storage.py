@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 
 # Rows of a narrow table (a key and a few numbers) that may be broadcast: about 50 MB.
 BROADCAST_ROWS = 1_000_000
-# Rows per core below which a table is dealt out over the cores.
-SPREAD_ROWS = 500_000
 SALT = "_salt"
 
 
@@ -51,19 +49,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def materialize_spread(df: DataFrame, name: str) -> DataFrame:
-    """``materialize`` for tables that are read many times by heavy computation.
+def spread_scan(scan: DataFrame) -> DataFrame:
+    """Deal out the rows of a plain scan that has fewer partitions than the cluster has cores.
 
-    A small table may sit in one file and would keep one core busy; its rows are dealt
-    out. A large table already has enough partitions and is left as it is.
+    One small file would keep one core busy with all that follows. A large table has
+    more partitions than cores and is returned as it is, without a shuffle.
     """
-    stored = materialize(df, name)
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    rows = stored.count()
-    if rows >= SPREAD_ROWS * cores:
-        return stored
-    parts = min(cores, max(1, rows // 2000))
-    return materialize(stored.repartition(parts), name)
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
 
 
 def join_lookup(
