@@ -44,16 +44,24 @@ def value_counts(
     return long.groupBy(*keys, "feature", "x", "v").agg(F.count(F.lit(1)).alias("n"))
 
 
+IS_REF = "_ref"
+
+
+def flagged_counts(df: DataFrame, numeric: list[str], text: list[str]) -> DataFrame:
+    """Rows per (feature, value) with (``n_ref``) and without (``n_cur``) the flag ``_ref``."""
+    return (
+        long_values(df, numeric, text, [IS_REF])
+        .groupBy("feature", "x", "v")
+        .agg(F.count_if(IS_REF).alias("n_ref"), F.count_if(~F.col(IS_REF)).alias("n_cur"))
+    )
+
+
 def paired_counts(
     reference: DataFrame, current: DataFrame, numeric: list[str], text: list[str]
 ) -> DataFrame:
     """Rows per (feature, value) in a reference and a current table: ``n_ref``, ``n_cur``."""
     names = numeric + text
-    tagged = reference.select(*names, F.lit(True).alias("_ref")).unionByName(
-        current.select(*names, F.lit(False).alias("_ref"))
-    )
-    return (
-        long_values(tagged, numeric, text, ["_ref"])
-        .groupBy("feature", "x", "v")
-        .agg(F.count_if("_ref").alias("n_ref"), F.count_if(~F.col("_ref")).alias("n_cur"))
+    tagged = reference.select(*names, F.lit(True).alias(IS_REF)).unionByName(
+        current.select(*names, F.lit(False).alias(IS_REF))
     )
+    return flagged_counts(tagged, numeric, text)

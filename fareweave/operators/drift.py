@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from fareweave import config
 from fareweave.functions.pvalues import p_values
-from fareweave.operators.counts import paired_counts
+from fareweave.operators.counts import IS_REF, flagged_counts, paired_counts
 from fareweave.schema import categorical_columns, numeric_columns
 from fareweave.storage import materialize
 from pyspark.sql import types as T
@@ -57,7 +57,7 @@ def drift_columns(
     return [c for c in reference.columns if c in usable and c in shared and c not in skip]
 
 
-def finite_columns(df: DataFrame, columns: list[str]) -> DataFrame:
+def finite_columns(df: DataFrame, columns: list[str], keep: list[str] | None = None) -> DataFrame:
     """Numbers as double, infinities as missing, and a constant column that counts rows."""
     text = categorical_columns(df)
     out = []
@@ -67,7 +67,7 @@ def finite_columns(df: DataFrame, columns: list[str]) -> DataFrame:
         else:
             x = F.col(c).cast("double")
             out.append(F.when(F.abs(x) < math.inf, x).alias(c))
-    return df.select(*out, F.lit(1.0).alias(ROWS))
+    return df.select(*(keep or []), *out, F.lit(1.0).alias(ROWS))
 
 
 def count_pairs(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:
@@ -80,6 +80,18 @@ def count_pairs(reference: DataFrame, current: DataFrame, columns: list[str]) ->
     return materialize(counts, "drift-counts")
 
 
+def count_split(df: DataFrame, is_reference: Column, columns: list[str]) -> DataFrame:
+    """The written counts table of two parts of one table, from a single scan.
+
+    Rows for which the condition is NULL belong to neither part.
+    """
+    text = [c for c in columns if c in categorical_columns(df)]
+    numeric = [c for c in columns if c not in text]
+    flagged = df.withColumn(IS_REF, is_reference).where(F.col(IS_REF).isNotNull())
+    ready = finite_columns(flagged, columns, [IS_REF])
+    return materialize(flagged_counts(ready, [*numeric, ROWS], text), "drift-counts")
+
+
 def profile(counts: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Per (keys, feature): rows on both sides, distinct values, type and reference mean."""
     keys = keys or []

@@ -8,44 +8,50 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fareweave.functions.numeric import missing, nan_to_null, round_half_even
+from fareweave.functions.numeric import missing, round_half_even
 from fareweave.functions.rides import WEATHER_PATTERN
+from fareweave.operators.counts import long_values
 from fareweave.operators.quantiles import exact_quantiles
 from fareweave.schema import REQUEST, is_floating
 
 QUARTILES = [0.25, 0.5, 0.75]
 
 
+def _per_column(df: DataFrame, columns: list[str], *aggregates: Column) -> DataFrame:
+    """Aggregates of the values ``x`` of each column that has any; one pass over the rows."""
+    long = long_values(df, columns, [])
+    return long.groupBy(F.col("feature").alias("column_name")).agg(*aggregates)
+
+
 def describe(df: DataFrame, columns: list[str], decimals: int = 3) -> DataFrame:
     """Per column: count, mean, sample std, min, exact quartiles and max, rounded."""
     quartiles = exact_quantiles(df, columns, QUARTILES)
-    value = {c: nan_to_null(F.col(c).cast("double")) for c in columns}
-    stats = df.agg(
-        *[
-            F.struct(
-                F.count(v).alias("count"),
-                F.avg(v).alias("mean"),
-                F.stddev_samp(v).alias("std"),
-                F.min(v).alias("min"),
-                *[F.lit(q).cast("double").alias(n) for q, n in zip(quartiles[c], ["p25", "p50", "p75"])],
-                F.max(v).alias("max"),
-            ).alias(c)
-            for c, v in value.items()
-        ]
-    ).unpivot([], columns, "column_name", "s")
+    listed = df.sparkSession.createDataFrame(
+        [(c, *quartiles[c]) for c in columns],
+        "column_name string, p25 double, p50 double, p75 double",
+    )
+    stats = _per_column(
+        df,
+        columns,
+        F.count("x").alias("count"),
+        F.avg("x").alias("mean"),
+        F.stddev_samp("x").alias("std"),
+        F.min("x").alias("min"),
+        F.max("x").alias("max"),
+    )
+    # Both sides have one row per column.
+    joined = listed.join(F.broadcast(stats), "column_name", "left")
     rounded = [
-        round_half_even(F.col(f"s.{n}"), decimals).alias(n)
+        round_half_even(F.col(n), decimals).alias(n)
         for n in ["mean", "std", "min", "p25", "p50", "p75", "max"]
     ]
-    return stats.select("column_name", "s.count", *rounded)
+    count = F.coalesce("count", F.lit(0).cast("long")).alias("count")
+    return joined.select("column_name", count, *rounded)
 
 
 def sample_std(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Sample standard deviation per column."""
-    value = {c: nan_to_null(F.col(c).cast("double")) for c in columns}
-    return df.agg(*[F.stddev_samp(v).alias(c) for c, v in value.items()]).unpivot(
-        [], columns, "column_name", "std"
-    )
+    """Sample standard deviation of each column with values."""
+    return _per_column(df, columns, F.stddev_samp("x").alias("std"))
 
 
 @dataclass(frozen=True)

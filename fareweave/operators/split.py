@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from fareweave.functions.numeric import hash_bucket, hash_hex
 
-# Rows that a driver-side top-n may return.
+# Rows below the last prefix that the driver may read.
 TOP_LIMIT = 20_000
 PREFIX_DIGITS = 4
 HASH = "_hash"
@@ -82,10 +82,11 @@ def exact_split(df: DataFrame, key: str | list[str], test_share: float, seed: in
 
 
 def exact_sample(df: DataFrame, key: str | list[str], n: int, seed: int) -> DataFrame:
-    """Exactly ``n`` rows (or all, if fewer) without replacement. The key must be unique."""
-    if n <= TOP_LIMIT:
-        keys = [key] if isinstance(key, str) else key
-        return df.withColumn(HASH, hash_hex(key, seed)).orderBy(HASH, *keys).limit(n).drop(HASH)
+    """Exactly ``n`` rows (or all, if fewer) without replacement. The key must be unique.
+
+    A sorted limit would send ``n`` rows of every partition to one task; the cut of
+    the digests needs only counts, and then every task filters its own rows.
+    """
     return df.where(_lowest(df, key, n, seed))
 
 

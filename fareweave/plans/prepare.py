@@ -105,10 +105,14 @@ class FittedState:
 
 @dataclass(frozen=True)
 class Prepared:
-    """A table with ``split``, the target and the scaled features, and its fitted state."""
+    """A table with ``split``, the target and the scaled features, and its fitted state.
+
+    ``rides`` are the labelled raw rows with the same ``split``.
+    """
 
     table: DataFrame
     state: FittedState
+    rides: DataFrame
 
     def part(self, split: str) -> DataFrame:
         return self.table.where(F.col("split") == split)
@@ -157,4 +161,4 @@ def prepare(
     learn = split if fit_on == "all" else split.where(F.col("split") == "train")
     state = fit_state(drop_columns(learn, config.ID_COLUMNS), target)
     table = state.transform(split, keep=[key, "split", target])
-    return Prepared(table, state)
+    return Prepared(table, state, split)

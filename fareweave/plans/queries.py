@@ -138,17 +138,11 @@ def load_requests(spark: SparkSession, folder: str) -> DataFrame:
     return raw_requests(load_rides(spark, folder))
 
 
-def split_features(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Monitored features of the rides before and after ``BASELINE_END``."""
-    rides = load_rides(spark, folder)
-    early = F.col("timestamp") < F.lit(BASELINE_END).cast("timestamp_ntz")
-    features = M.encode_weather(add_features(rides))
-    return features.where(early), features.where(~early)
-
-
 def drift_counts(spark: SparkSession, folder: str) -> DataFrame:
-    reference, current = split_features(spark, folder)
-    return D.count_pairs(reference, current, M.drift_features())
+    """Counts of the monitored features of the rides before and after ``BASELINE_END``."""
+    early = F.col("timestamp") < F.lit(BASELINE_END).cast("timestamp_ntz")
+    features = M.encode_weather(add_features(load_rides(spark, folder)))
+    return D.count_split(features, early, M.drift_features())
 
 
 def scored_rides(spark: SparkSession, folder: str) -> DataFrame:
