@@ -747,7 +747,7 @@ def _ride_stream(spark: SparkSession, folder: str) -> DataFrame:
     hourly = stored_hourly(read_events(spark, folder))
     columns = [c.alias(n) for n, c in event_columns().items()]
     base = _event_stream(spark, folder).select(F.date_trunc("hour", "ts").alias("_hour"), *columns)
-    return join_lookup(base, hourly, ["_hour"], spread_by="ride_id")
+    return join_lookup(base, hourly, ["_hour"], spread_by="ride_id", how="left")
 
 
 def stm_score(spark, folder):

@@ -80,8 +80,9 @@ def rides_from_events(
     supply = hourly_supply(events) if hourly is None else hourly
     columns = event_columns()
     base = events.select(_hour_bucket().alias(HOUR), *[c.alias(n) for n, c in columns.items()])
+    # A left join keeps events without a time; their demand and supply are unknown.
     joined = join_lookup(
-        base, supply, [HOUR], spread_by="ride_id", max_rows=max_broadcast_rows
+        base, supply, [HOUR], spread_by="ride_id", how="left", max_rows=max_broadcast_rows
     )
     return with_multiplier(joined).select(*RIDES.fieldNames())
 

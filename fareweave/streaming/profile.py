@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -14,10 +16,13 @@ WINDOW_START = "window_start"
 
 
 def binned(df: DataFrame, widths: dict[str, float]) -> DataFrame:
-    """Numbers replaced by the lower edge of their bin; other columns stay."""
-    return df.withColumns(
-        {c: F.floor(F.col(c).cast("double") / F.lit(w)) * F.lit(w) for c, w in widths.items()}
-    )
+    """Numbers replaced by the lower edge of their bin; infinite ones count as missing."""
+
+    def edge(column: str, width: float) -> Column:
+        x = F.col(column).cast("double")
+        return F.when(F.abs(x) < math.inf, F.floor(x / F.lit(width)) * F.lit(width))
+
+    return df.withColumns({c: edge(c, w) for c, w in widths.items()})
 
 
 def windowed_profile(
