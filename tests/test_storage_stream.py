@@ -144,3 +144,12 @@ def test_stream_drift_equals_batch_drift(spark, small, tmp_path):
     assert got.keys() == expected.keys()
     for f in got:
         assert got[f] == pytest.approx(expected[f], abs=1e-9)
+
+
+def test_events_without_a_time_are_kept(spark, small):
+    events = read_events(spark, small)
+    lost = events.withColumn("ts", F.when(F.col("event_id") != 3, F.col("ts")))
+    out = rides_from_events(lost)
+    assert out.count() == 1000
+    row = out.where("ride_id = 3").first()
+    assert row["passenger_demand"] is None and row["price_multiplier"] is None
