@@ -48,7 +48,7 @@ from fareweave.sources.files import (
     to_documents,
     write_table,
 )
-from fareweave.storage import join_lookup, materialize, scratch_path, spread_scan
+from fareweave.storage import materialize, scratch_path
 from fareweave.streaming.profile import (
     baseline_profile,
     start_drift,
@@ -654,7 +654,7 @@ def drf_sample(spark, folder):
 
 def drf_lineitem(spark, folder):
     """Drift of numeric and text columns of another table."""
-    items = spread_scan(table(spark, folder, "lineitem"))
+    items = table(spark, folder, "lineitem")
     early = F.col("l_shipdate") < F.lit("1998-06-01").cast("timestamp_ntz")
     columns = [*LINE_NUMBERS, *LINE_TEXT]
     report = D.drift_report(items.where(early), items.where(~early), columns)
@@ -747,7 +747,7 @@ def _ride_stream(spark: SparkSession, folder: str) -> DataFrame:
     hourly = stored_hourly(read_events(spark, folder))
     columns = [c.alias(n) for n, c in event_columns().items()]
     base = _event_stream(spark, folder).select(F.date_trunc("hour", "ts").alias("_hour"), *columns)
-    return join_lookup(base, hourly, ["_hour"], spread_by="ride_id", how="left")
+    return base.join(hourly, "_hour", "left")
 
 
 def stm_score(spark, folder):

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", name: str = "fareweave") -> SparkSession:
+def local_session(
+    cores: int | str = "*", name: str = "fareweave", options: dict[str, str] | None = None
+) -> SparkSession:
     """A session for tests and benches; a cluster brings its own."""
     return (
         SparkSession.builder.master(f"local[{cores}]")
@@ -17,5 +19,9 @@ def local_session(cores: int | str = "*", name: str = "fareweave") -> SparkSessi
         # The JVM does not compile larger methods; Spark then takes its other path.
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.ui.enabled", "false")
+        # One small file is read by all cores; a large table has more splits than cores anyway.
+        .config("spark.sql.files.maxPartitionBytes", "16m")
+        .config("spark.sql.files.openCostInBytes", "256k")
+        .config(map=options or {})
         .getOrCreate()
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fareweave.functions import rides as R
 from fareweave.functions.numeric import clip, lookup, round_half_even
 from fareweave.schema import EVENTS, RIDES
-from fareweave.storage import BROADCAST_ROWS, join_lookup, materialize, spread_scan
+from fareweave.storage import materialize
 
 # Event type standing for each weather category.
 EVENT_WEATHER = {"view": "clear", "click": "cloudy", "signup": "rain", "error": "storm"}
@@ -19,7 +19,7 @@ HOUR = "_hour"
 
 
 def read_events(spark: SparkSession, folder: str) -> DataFrame:
-    return spread_scan(spark.read.schema(EVENTS).parquet(f"{folder}/events.parquet"))
+    return spark.read.schema(EVENTS).parquet(f"{folder}/events.parquet")
 
 
 def _hour_bucket() -> Column:
@@ -73,18 +73,17 @@ def with_multiplier(rides: DataFrame) -> DataFrame:
     return rides.withColumn("price_multiplier", R.clip_multiplier(formula + residual))
 
 
-def rides_from_events(
-    events: DataFrame, hourly: DataFrame | None = None, max_broadcast_rows: int = BROADCAST_ROWS
-) -> DataFrame:
-    """The ride table. ``hourly`` may be given to reuse a stored supply table."""
+def rides_from_events(events: DataFrame, hourly: DataFrame | None = None) -> DataFrame:
+    """The ride table, as a lazy plan. ``hourly`` may be given to reuse a stored supply table.
+
+    The join is left to Spark: it sends the hours to the events where they are few by
+    measured bytes, and otherwise splits an hour that holds a large part of the events.
+    """
     supply = hourly_supply(events) if hourly is None else hourly
     columns = event_columns()
     base = events.select(_hour_bucket().alias(HOUR), *[c.alias(n) for n, c in columns.items()])
     # A left join keeps events without a time; their demand and supply are unknown.
-    joined = join_lookup(
-        base, supply, [HOUR], spread_by="ride_id", how="left", max_rows=max_broadcast_rows
-    )
-    return with_multiplier(joined).select(*RIDES.fieldNames())
+    return with_multiplier(base.join(supply, HOUR, "left")).select(*RIDES.fieldNames())
 
 
 def stored_hourly(events: DataFrame) -> DataFrame:

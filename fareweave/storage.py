@@ -1,83 +1,45 @@
-"""Intermediate tables in the shared folder, and joins with a size-checked small side."""
+"""Intermediate tables in the folder that all executors share."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Rows of a narrow table (a key and a few numbers) that may be broadcast: about 50 MB.
-BROADCAST_ROWS = 1_000_000
-SALT = "_salt"
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by the session.
-
-    A local session without one gets its own folder; a cluster session without
-    one is an error, because a machine-local folder would not survive an executor.
-    """
+    """The shared folder: ``spark.checkpoint.dir``, or a folder below the warehouse where it is unset."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="fareweave-"))
-    return sc.getCheckpointDir()
+    return configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+
+
+def scratch_home(spark: SparkSession) -> str:
+    """What this application keeps below the shared folder."""
+    return f"{scratch_root(spark).rstrip('/')}/fareweave/{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    app = spark.sparkContext.applicationId
-    return f"{scratch_root(spark).rstrip('/')}/fareweave/{app}/{name}-{uuid.uuid4().hex}"
+    return f"{scratch_home(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the file system it belongs to."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all that this application keeps below the shared folder, when nothing reads it any more."""
+    delete_path(spark, scratch_home(spark))
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a table once and read it back.
 
     Readers do not recompute the lineage when an executor is lost, prune columns,
-    and see a true size in the plan.
+    and see a true size in the plan, by which Spark chooses its joins.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread_scan(scan: DataFrame) -> DataFrame:
-    """Deal out the rows of a plain scan that has fewer partitions than the cluster has cores.
-
-    One small file would keep one core busy with all that follows. A large table has
-    more partitions than cores and is returned as it is, without a shuffle.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
-
-
-def join_lookup(
-    big: DataFrame,
-    lookup: DataFrame,
-    on: list[str],
-    *,
-    spread_by: str,
-    how: str = "inner",
-    max_rows: int = BROADCAST_ROWS,
-    salts: int = 64,
-) -> DataFrame:
-    """Join a large table with a lookup table that has one row per key.
-
-    The lookup is written, counted, and broadcast when it has at most ``max_rows``
-    rows. Beyond that both sides are shuffled on the key and a salt, so a key that
-    holds a large part of the rows is spread over ``salts`` tasks.
-    """
-    lookup = materialize(lookup, "lookup")
-    if lookup.count() <= max_rows:
-        return big.join(F.broadcast(lookup), on, how)
-    salted = lookup.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    spread = big.withColumn(SALT, F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
-    return spread.join(salted, [*on, SALT], how).drop(SALT)
