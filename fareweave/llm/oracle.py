@@ -38,5 +38,54 @@ keyed AS (
   SELECT doc_id, ('0x' || substr(md5('key:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT % 16381 AS slot
   FROM documents)
 SELECT doc_id, slot, shard FROM keyed LEFT JOIN owners USING (slot)
+""",
+    "op3_mixing": r"""
+WITH RECURSIVE
+sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size
+  FROM documents),
+sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size, 2.0 * sum(size)::DOUBLE AS most,
+         [3.0, 1.0, 2.0][((row_number() OVER (ORDER BY source NULLS LAST)) - 1) % 3 + 1]::DOUBLE AS weight
+  FROM sized GROUP BY source),
+total AS (SELECT sum(source_size)::DOUBLE * 1.5 AS all_words, sum(weight) AS all_weight FROM sources),
+-- the share of a unit of weight, until no source is above its limit
+fill(n, per_weight) AS (
+  SELECT 0, all_words / all_weight FROM total
+  UNION ALL
+  SELECT n, next FROM (
+    SELECT f.n + 1 AS n, f.per_weight,
+           ((SELECT all_words FROM total) - sum(CASE WHEN s.most <= s.weight * f.per_weight THEN s.most ELSE 0.0 END))
+           / sum(CASE WHEN s.most <= s.weight * f.per_weight THEN 0.0 ELSE s.weight END) AS next
+    FROM fill f, sources s GROUP BY f.n, f.per_weight)
+  WHERE next <> per_weight),
+shares AS (
+  SELECT source, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS e
+  FROM (SELECT source, source_size,
+               least(most, weight * (SELECT per_weight FROM fill ORDER BY n DESC LIMIT 1)) AS target FROM sources)),
+drawn AS (
+  SELECT d.doc_id, d.source, d.size, s.source_size, s.target, floor(s.e)::BIGINT AS whole, s.e - floor(s.e) AS p,
+         s.target - floor(s.e)::BIGINT * s.source_size AS rest,
+         ('0x' || substr(md5('mix:' || coalesce(d.doc_id::VARCHAR, '')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
+  FROM sized d JOIN shares s ON d.source IS NOT DISTINCT FROM s.source),
+ranked AS (
+  SELECT *, u * (1 - p) / (u * (1 - p) + (1 - u) * p) AS place FROM drawn),
+summed AS (
+  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY place, doc_id ROWS UNBOUNDED PRECEDING) AS words FROM ranked),
+gaps AS (
+  SELECT *, p > 0 AND words <= rest AS chosen,
+         rest - coalesce(max(CASE WHEN p > 0 AND words <= rest THEN words END) OVER (PARTITION BY source), 0) AS gap,
+         max(words) OVER (PARTITION BY source) <= rest AS takes_all
+  FROM summed),
+fillers AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY source
+    ORDER BY (p > 0 AND NOT chosen AND abs(size - gap) < gap) DESC, abs(size - gap), place, doc_id) = 1
+    AND p > 0 AND NOT chosen AND NOT takes_all AND abs(size - gap) < gap AS filler
+  FROM gaps)
+SELECT doc_id, size::BIGINT AS size, source_size, target,
+       whole + (chosen OR filler)::BIGINT AS copies,
+       ((whole + (chosen OR filler)::BIGINT) * size)::BIGINT AS taken
+FROM fillers
 """,
 }
