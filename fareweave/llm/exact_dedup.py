@@ -201,13 +201,16 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     key = [F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha")]
     losers = verdicts.where(~same_id).select(*key)
     repeated = verdicts.where(same_id & ~F.col("kept")).select(*key).distinct()
-    rows = docs.withColumn("_key", F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
+    mark = "_text_sha256"
+    while mark in docs.columns:
+        mark += "_"
+    rows = docs.withColumn(mark, F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
 
     def matches(other: DataFrame):
-        return (F.col("_key") == other["_sha"]) & F.col(id_col).eqNullSafe(other["_id"])
+        return (F.col(mark) == other["_sha"]) & F.col(id_col).eqNullSafe(other["_id"])
 
     stay = rows.join(losers, matches(losers), "left_anti")
     if not repeated.isEmpty():
-        one = stay.join(repeated, matches(repeated), "left_semi").dropDuplicates([id_col, "_key"])
+        one = stay.join(repeated, matches(repeated), "left_semi").dropDuplicates([id_col, mark])
         stay = stay.join(repeated, matches(repeated), "left_anti").unionByName(one)
-    return stay.drop("_key")
+    return stay.drop(mark)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from fareweave.llm import (
     bpe,
+    embeddings,
     exact_dedup,
     html_extract,
     mixing,
@@ -85,6 +86,11 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4, seed=42)
 
 
+def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector with its links of cosine 0.95 or more, and its component."""
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 def op10_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents written as records of token ids, and read back from the files."""
     folder = scratch_path(spark, "records")
@@ -104,5 +110,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_counts": op6_token_counts,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_simhash": op8_simhash,
+    "op9_embeddings": op9_embeddings,
     "op10_records": op10_records,
 }

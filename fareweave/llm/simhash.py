@@ -246,5 +246,5 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     differs = ~F.col(id_col).eqNullSafe(F.col("component_id"))
     dropped = verdicts.where(differs).select(F.col(id_col).alias("_id")).distinct()
     kept = verdicts.where(~differs).select(F.col(id_col).alias("_id")).distinct()
-    gone = materialize(dropped.exceptAll(kept), "near-copies")
+    gone = materialize(dropped.subtract(kept), "near-copies")
     return docs.join(gone, F.col(id_col).eqNullSafe(gone["_id"]), "left_anti")

@@ -414,3 +414,24 @@ def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_co
     )
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     return narrow.mapInArrow(compute, schema).withColumnRenamed("id", id_col)
+
+
+def keep_clean(
+    docs: DataFrame, model: ToxicityModel, limit: float = 0.3, text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` whose text scores below ``limit``, with all their columns. Null and empty texts are scored too."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    types = dict(docs.dtypes)
+    at = docs.columns.index(text_col)
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            clean = [
+                model.score(features_of(*find_hits(t.as_py() or "", model.lexicon))) < limit for t in batch.column(at)
+            ]
+            yield batch.filter(pa.array(clean, pa.bool_()))
+
+    given = docs.select(*[F.col(c).alias(n) for c, n in zip(docs.columns, names, strict=True)])
+    schema = ", ".join(f"{n} {types[c]}" for c, n in zip(docs.columns, names, strict=True))
+    kept = given.mapInArrow(compute, schema)
+    return kept.select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)])
