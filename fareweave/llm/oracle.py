@@ -15,27 +15,25 @@ FROM t
     # Shards take turns: one step of the recursion is one look at a slot.
     "op1_sharding": """
 WITH RECURSIVE
-shards AS (SELECT i::INTEGER AS i, printf('shard-%05d', i) AS shard FROM range(64) r(i)),
+shards AS (SELECT i::INTEGER AS i, printf('shard-%05d', i) AS shard FROM range(32) r(i)),
 walks AS (
   SELECT i, shard,
-         ('0x' || substr(md5('offset:' || shard), 1, 13))::BIGINT % 16381 AS start,
-         ('0x' || substr(md5('skip:' || shard), 1, 13))::BIGINT % 16380 + 1 AS skip
+         ('0x' || substr(md5('offset:' || shard), 1, 13))::BIGINT % 4093 AS start,
+         ('0x' || substr(md5('skip:' || shard), 1, 13))::BIGINT % 4092 + 1 AS skip
   FROM shards),
-prefs AS (
-  SELECT i, shard, j, (start + j * skip) % 16381 AS slot
-  FROM walks, range(16381) s(j)),
--- left: claims still open after n rounds of striking; a shard's k-th open claim has time 64 k + i
-rounds(n, i, shard, j, slot) AS (
-  SELECT 0, i, shard, j, slot FROM prefs
-  UNION ALL
-  SELECT n + 1, i, shard, j, slot FROM (
-    SELECT n, i, shard, j, slot, t, min(CASE WHEN t < 16381 THEN t END) OVER (PARTITION BY slot) AS earliest,
-           count(*) OVER () AS open
-    FROM (SELECT n, i, shard, j, slot, (row_number() OVER (PARTITION BY i ORDER BY j) - 1) * 64 + i AS t FROM rounds))
-  WHERE open > 16381 AND (earliest IS NULL OR t <= earliest)),
-owners AS (SELECT slot, shard FROM rounds WHERE n = (SELECT max(n) FROM rounds)),
+look(k, turn, next, skip, owner, open) USING KEY (k) AS (
+  SELECT 0, 0, list(start ORDER BY i), list(skip ORDER BY i), list_resize([]::INTEGER[], 4093, -1), 4093 FROM walks
+  UNION
+  SELECT 0, CASE WHEN free THEN (turn + 1) % 32 ELSE turn END,
+         next[:turn] || [(slot + skip[turn + 1]) % 4093] || next[turn + 2:], skip,
+         CASE WHEN free THEN owner[:slot] || [turn] || owner[slot + 2:] ELSE owner END, open - free::INTEGER
+  FROM (SELECT *, next[turn + 1] AS slot, owner[next[turn + 1] + 1] < 0 AS free FROM look)
+  WHERE open > 0),
+owners AS (
+  SELECT slot, shard
+  FROM (SELECT unnest(owner) AS i, generate_subscripts(owner, 1) - 1 AS slot FROM look) JOIN shards USING (i)),
 keyed AS (
-  SELECT doc_id, ('0x' || substr(md5('key:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT % 16381 AS slot
+  SELECT doc_id, ('0x' || substr(md5('key:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT % 4093 AS slot
   FROM documents)
 SELECT doc_id, slot, shard FROM keyed LEFT JOIN owners USING (slot)
 """,

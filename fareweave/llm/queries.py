@@ -29,7 +29,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's slot and shard, on 64 shards."""
+    """Every document's slot and shard, on 32 shards."""
     return sharding.shard_documents(table(spark, sf_dir, "documents").select("doc_id"))
 
 

@@ -11,12 +11,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from fareweave.storage import delete_path, scratch_path
-
-DEFAULT_TABLE_SIZE = 16381  # a prime, 255 slots for each of 64 shards
-MAX_TABLE_SIZE = 1_000_003  # what is broadcast has at most so many rows of two numbers and a name
+DEFAULT_TABLE_SIZE = 4093  # a prime, 128 slots for each of 32 shards
+MAX_TABLE_SIZE = 65_537  # what is broadcast has at most so many rows: a number and a name
 
 
 def digest_number(value: Column, salt: str) -> Column:
@@ -28,54 +25,61 @@ def _is_prime(n: int) -> bool:
     return n > 1 and all(n % d for d in range(2, int(n**0.5) + 1))
 
 
-def preferences(shards: DataFrame, table_size: int) -> DataFrame:
-    """(turn, shard, step, slot): every shard's order of all slots. ``turn`` numbers the shards from 0 by name."""
-    named = shards.select("shard").where("shard IS NOT NULL").distinct()
-    numbered = named.withColumn("turn", F.row_number().over(Window.orderBy("shard")) - 1)
-    return (
-        numbered.withColumn("offset", digest_number(F.col("shard"), "offset:") % table_size)
-        .withColumn("skip", digest_number(F.col("shard"), "skip:") % (table_size - 1) + 1)
-        .withColumn("step", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(table_size - 1).cast("long"))))
-        .select("turn", "shard", "step", ((F.col("offset") + F.col("step") * F.col("skip")) % table_size).alias("slot"))
-    )
-
-
 def lookup_table(shards: DataFrame, table_size: int = DEFAULT_TABLE_SIZE) -> DataFrame:
     """(slot, shard) for each slot of the table.
 
-    The turns are settled for all shards at once. A shard's k-th claim falls on turn
-    k * shards + its number. Take for each shard the claims on its first open slots; a
-    slot goes to its earliest claim, and that slot is struck from the orders of all whose
-    claim on it would come later. Strikes can only bring a shard's later claims forward,
-    so a strike never has to be undone, and when each slot has one claim left, the claims
-    are those of shards that take turns. The work is shards x slots, whatever the data.
+    The turns are one fold over a single row: its state holds the owner of each slot, the
+    slot each shard looks at next and whose turn it is. A step looks at one slot: if it is
+    open, the shard claims it and the turn passes on; if not, the shard goes on to its
+    next slot. No shard looks at a slot twice, so shards x slots steps always suffice;
+    those after the last claim do nothing. The work depends on the table's size alone.
 
+    Shards take turns in the order of their names; repeated and null names are left out.
     No shards give an empty table. A table size that is not prime, above MAX_TABLE_SIZE
     or below the number of shards is an error.
     """
-    spark = shards.sparkSession
     if not _is_prime(table_size) or table_size > MAX_TABLE_SIZE:
         raise ValueError(f"the table size must be a prime of at most {MAX_TABLE_SIZE}: {table_size}")
-    number = shards.select("shard").where("shard IS NOT NULL").distinct().count()
+    named = shards.select("shard").where("shard IS NOT NULL").distinct()
+    number = named.count()
     if number > table_size:
         raise ValueError(f"{number} shards do not fit a table of {table_size} slots")
-    in_order = Window.partitionBy("turn").orderBy("step")
-    open_claims = preferences(shards, table_size)
-    rows, old = None, None
-    while rows != table_size and rows != 0:
-        at = (F.row_number().over(in_order).cast("long") - 1) * max(number, 1) + F.col("turn")
-        claims = open_claims.withColumn("at", at)
-        # A claim is made if its time comes before the table is full.
-        first = claims.where(F.col("at") < table_size).groupBy("slot").agg(F.min("at").alias("first"))
-        left = claims.join(first, "slot", "left").where("first IS NULL OR at <= first")
-        path = scratch_path(spark, "claims")
-        left.select("turn", "shard", "step", "slot").write.parquet(path)
-        open_claims = spark.read.schema("turn int, shard string, step long, slot long").parquet(path)
-        if old:
-            delete_path(spark, old)
-        old, rows = path, open_claims.count()
-    at = (F.row_number().over(in_order).cast("long") - 1) * max(number, 1) + F.col("turn")
-    return open_claims.withColumn("at", at).where(F.col("at") < table_size).select("slot", "shard")
+    walk = F.struct(
+        "shard",
+        (digest_number(F.col("shard"), "offset:") % table_size).cast("int").alias("offset"),
+        (digest_number(F.col("shard"), "skip:") % (table_size - 1) + 1).cast("int").alias("skip"),
+    )
+    walks = named.agg(F.array_sort(F.collect_list(walk)).alias("walks")).where(F.size("walks") > 0)
+    start = F.struct(
+        F.array_repeat(F.lit(-1), table_size).alias("owner"),
+        F.col("walks.offset").alias("next"),
+        F.lit(0).alias("turn"),
+        F.lit(table_size).alias("open"),
+    )
+
+    def put(array: Column, at: Column, value: Column, size: int) -> Column:
+        """The array with one element, counted from 0, replaced."""
+        return F.concat(F.slice(array, F.lit(1), at), F.array(value), F.slice(array, at + 2, F.lit(size)))
+
+    def look(state: Column, _: Column) -> Column:
+        turn, owner, following = state["turn"], state["owner"], state["next"]
+        slot = F.get(following, turn)
+        free = F.get(owner, slot) < 0
+        after = (slot + F.get(F.col("walks.skip"), turn)) % table_size
+        return F.when(state["open"] == 0, state).otherwise(
+            F.struct(
+                F.when(free, put(owner, slot, turn, table_size)).otherwise(owner).alias("owner"),
+                put(following, turn, after, max(number, 1)).alias("next"),
+                F.when(free, (turn + 1) % max(number, 1)).otherwise(turn).alias("turn"),
+                (state["open"] - free.cast("int")).alias("open"),
+            )
+        )
+
+    steps = F.sequence(F.lit(1), F.lit(max(1, number * table_size)))
+    filled = walks.select("walks", F.aggregate(steps, start, look)["owner"].alias("owner"))
+    return filled.select("walks", F.posexplode("owner").alias("slot", "number")).select(
+        F.col("slot").cast("long").alias("slot"), F.get(F.col("walks.shard"), F.col("number")).alias("shard")
+    )
 
 
 def slot_of(key: Column, table_size: int) -> Column:
@@ -102,7 +106,7 @@ def shard_names(spark: SparkSession, number: int) -> DataFrame:
 
 
 def shard_documents(
-    docs: DataFrame, key: str = "doc_id", number: int = 64, table_size: int = DEFAULT_TABLE_SIZE
+    docs: DataFrame, key: str = "doc_id", number: int = 32, table_size: int = DEFAULT_TABLE_SIZE
 ) -> DataFrame:
     """``docs`` placed on ``number`` shards named shard-00000, shard-00001, ... by ``key``."""
     return place(docs, lookup_table(shard_names(docs.sparkSession, number), table_size), key, table_size)
