@@ -4,15 +4,14 @@ from __future__ import annotations
 
 import json
 import os
+from array import array
 
 import numpy as np
 import regex
 from tokenizers import Tokenizer
 
-from fareweave.llm.words import PieceCache
+from fareweave.llm.words import BYTE_LEVEL, PieceCache
 
-# Fixed value: the pattern of the library's byte-level splitting.
-BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 WHOLE = r"(?s).+"
 
 
@@ -44,6 +43,7 @@ class LibraryTokenizer:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         pattern, special, size = settings(path)
         self.dtype = np.uint16 if size <= 2**16 else np.uint32
+        self.code = "H" if self.dtype is np.uint16 else "I"
         self.tokenizer = Tokenizer.from_file(path)
         self.pattern = regex.compile(pattern)
         self.special = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True)))) if special else None
@@ -63,7 +63,7 @@ class LibraryTokenizer:
         out: list[bytes] = []
         for i in range(0, len(pieces), 20_000):
             some = self.tokenizer.encode_batch_fast(pieces[i : i + 20_000], add_special_tokens=False)
-            out += [np.array(e.ids, self.dtype).tobytes() for e in some]
+            out += [array(self.code, e.ids).tobytes() for e in some]
         return out
 
 

@@ -16,6 +16,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,18 @@ class BadRecord(ValueError):
     """A frame that does not match its lengths or checksums."""
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 2000) -> Iterator[None]:
+    """Texts go to Python so many at a time, in what is run within."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def masked(data: bytes) -> int:
     """The masked checksum: CRC-32 rotated right by 15 bits, plus a constant."""
     crc = zlib.crc32(data)
@@ -124,7 +137,9 @@ def write_records(
 
     frames = split_texts(ordered, "id", "text", pattern, special).mapInArrow(compute, "frame binary")
     # The cast hands the bytes on as they are.
-    frames.select(F.col("frame").cast("string").alias("value")).write.text(f"{folder}/records", lineSep="\n")
+    lines = frames.select(F.col("frame").cast("string").alias("value"))
+    with small_batches(spark):
+        lines.write.text(f"{folder}/records", lineSep="\n")
     write_index(spark, folder)
 
 

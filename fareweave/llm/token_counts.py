@@ -20,8 +20,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareweave.llm.library import BYTE_LEVEL, settings
-from fareweave.llm.words import PieceCache, coded_pieces, piece_lists, split_texts
+from fareweave.llm.library import settings
+from fareweave.llm.words import BYTE_LEVEL, PieceCache, coded_pieces, piece_lists, split_texts
 
 NEVER = 1 << 62
 SPACE = regex.compile(r"\s+")
