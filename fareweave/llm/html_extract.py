@@ -140,7 +140,7 @@ def _labels(page: Page) -> tuple[np.ndarray, Page]:
 
 
 @lru_cache(maxsize=1)
-def train(number: int = 360, steps: int = 250, ridge: float = 0.02) -> PageModel:
+def train(number: int = 480, steps: int = 200, ridge: float = 0.02) -> PageModel:
     """The model of greatest likelihood for ``number`` labelled pages, with a penalty on large weights.
 
     The gradient is what the labels count of each feature and pair, less what the

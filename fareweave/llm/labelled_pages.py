@@ -116,18 +116,20 @@ def _filled(fragment: str, rng: random.Random) -> str:
     return "".join(out)
 
 
-def labelled_pages(number: int = 360) -> Iterator[str]:
+def labelled_pages(number: int = 480) -> Iterator[str]:
     """Pages in which the elements ``x-main`` and ``x-rest`` hold the label of the text in them."""
     rng = random.Random(7)
     for page in range(number):
-        frame = ARTICLES[page % len(ARTICLES)]
-        parts = ["<x-main>" + _filled(rng.choice(PARTS[:2]), rng) + "</x-main>"]
-        for _ in range(rng.choice([1, 1, 2, 3, 5, 8])):
+        frame = ARTICLES[page // 4 % len(ARTICLES)]
+        small = page % 4 == 0
+        titled = not small and rng.random() < 0.8
+        parts = ["<x-main>" + _filled(rng.choice(PARTS[:2]), rng) + "</x-main>"] if titled else []
+        for _ in range(1 if small else rng.choice([1, 1, 2, 3, 5, 8])):
             parts.append("<x-main>" + _filled(rng.choice(PARTS[2:]), rng) + "</x-main>")
-        if rng.random() < 0.4:
+        if not small and rng.random() < 0.4:
             parts.insert(rng.randint(1, len(parts)), "<x-rest>" + _filled(RESTS[rng.choice(WITHIN)], rng) + "</x-rest>")
         article = frame.format("".join(parts))
-        around = rng.sample(range(len(RESTS)), rng.choice([0, 1, 1, 2, 3, 4, 5, 6, 7]))
+        around = rng.sample(range(len(RESTS)), rng.choice([0, 0, 0, 1] if small else [1, 2, 3, 4, 5, 6, 7]))
         rests = ["<x-rest>" + _filled(RESTS[i], rng) + "</x-rest>" for i in around]
         cut = rng.randint(0, len(rests))
         body = "".join([*rests[:cut], article, *rests[cut:]])

@@ -291,7 +291,7 @@ def _word_counts(training: DataFrame) -> DataFrame:
 
 
 def _learn_terms(words: DataFrame, toxic_texts: int) -> list[Term]:
-    """The terms: shortest beginnings that are pure, prolonged as far as nearly all their words go on alike.
+    """The terms: shortest beginnings that are pure, prolonged while most of their words go on with a few letters.
 
     The driver sees only beginnings that stand in SUPPORT of the toxic texts and are
     pure, of which a text has a bounded number.
@@ -310,13 +310,18 @@ def _learn_terms(words: DataFrame, toxic_texts: int) -> list[Term]:
         .collect()
     )
     pure = {r["term"]: r["toxic"] for r in rows}
-    terms = set()
-    for term, support in pure.items():
-        if any(term[:n] in pure for n in range(SHORTEST, len(term))):
-            continue
-        longer = [t for t in pure if t.startswith(term) and pure[t] >= 0.95 * support]
-        chosen = max(longer, key=lambda t: (len(t), t))
-        terms.add(Term(chosen.rstrip(END), chosen.endswith(END)))
+    longer: dict[str, list[str]] = {}
+    for term in pure:
+        longer.setdefault(term[:-1], []).append(term)
+    terms, todo = set(), [t for t in pure if not any(t[:n] in pure for n in range(SHORTEST, len(t)))]
+    while todo:
+        term = todo.pop()
+        # The few letters that nearly all words go on with; misspellings and endings scatter.
+        main = [t for t in longer.get(term, []) if pure[t] >= 0.25 * pure[term]]
+        if sum(pure[t] for t in main) >= 0.75 * pure[term]:
+            todo += main
+        else:
+            terms.add(Term(term.rstrip(END), term.endswith(END)))
     return sorted(terms, key=lambda t: (t.text, t.whole))
 
 
