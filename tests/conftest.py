@@ -14,7 +14,7 @@ DATA = "/root/testdata"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8, "tests", {"spark.checkpoint.dir": tempfile.mkdtemp(prefix="fareweave-tests-")})
+    session = local_session(os.environ.get("TEST_CORES", "8"), "tests", {"spark.checkpoint.dir": tempfile.mkdtemp(prefix="fareweave-tests-")})
     session.sparkContext.setLogLevel("ERROR")
     yield session
 
