@@ -25,21 +25,27 @@ from fareweave.llm.words import PieceCache, join_ids, piece_lists, split_texts
 LONG_PIECE = 64  # bytes
 ROWS_AT_ONCE = 400_000  # bytes of pieces, or tokens of texts, in one query
 
-# One contraction for each piece and step.
+# One contraction for each piece and step. A row knows its right neighbour; of a piece's
+# pairs, one number orders rank, place and the neighbour's place (both below 256).
 ENCODE = """
-WITH RECURSIVE step(n, piece, pos, id, next_id) AS (
-  SELECT 0, piece, pos, id, lead(id) OVER (PARTITION BY piece ORDER BY pos) FROM symbols
+WITH RECURSIVE step(n, piece, pos, id, next_pos, next_id) AS (
+  SELECT 0::UTINYINT, piece, pos, id, next_pos, next_id FROM symbols
   UNION ALL
-  SELECT n + 1, piece, pos, merged, lead(merged) OVER (PARTITION BY piece ORDER BY pos) FROM (
-    SELECT s.n, s.piece, s.pos, best.pos AS chosen, CASE WHEN s.pos = best.pos THEN best.id ELSE s.id END AS merged,
-           lag(s.pos) OVER (PARTITION BY s.piece ORDER BY s.pos) AS previous
-    FROM step s JOIN (
-      SELECT piece, min(m.id) AS id, arg_min(pos, (m.id, pos)) AS pos
-      FROM step JOIN merges m ON m.lhs = step.id AND m.rhs = step.next_id
-      GROUP BY piece) best USING (piece))
-  WHERE previous IS DISTINCT FROM chosen)
+  SELECT r.n + 1::UTINYINT, r.piece, r.pos, CASE WHEN r.pos = best.pos THEN best.id ELSE r.id END,
+         CASE WHEN r.pos = best.pos THEN best.after_pos ELSE r.next_pos END,
+         CASE WHEN r.pos = best.pos THEN best.after_id WHEN r.next_pos = best.pos THEN best.id ELSE r.next_id END
+  FROM step r JOIN (
+    SELECT x.piece, x.pos, x.next_pos, x.id, y.next_pos AS after_pos, y.next_id AS after_id
+    FROM (
+      SELECT piece, (k // 65536)::INTEGER AS id, (k // 256 % 256)::INTEGER AS pos, (k % 256)::INTEGER AS next_pos
+      FROM (
+        SELECT piece, min(m.id::BIGINT * 65536 + pos * 256 + next_pos) AS k
+        FROM step JOIN merges m ON m.lhs = step.id AND m.rhs = step.next_id
+        GROUP BY piece)) x
+    JOIN step y ON y.piece = x.piece AND y.pos = x.next_pos) best USING (piece)
+  WHERE r.pos <> best.next_pos)
 SELECT piece, list(id ORDER BY pos) AS ids
-FROM (SELECT piece, pos, id FROM step QUALIFY n = max(n) OVER (PARTITION BY piece))
+FROM step JOIN (SELECT piece, max(n) AS n FROM step GROUP BY piece) USING (piece, n)
 GROUP BY piece ORDER BY piece
 """
 
@@ -115,7 +121,18 @@ class RankTokenizer:
         piece = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
         at = np.arange(len(piece), dtype=np.int32) - np.repeat(ends - lengths, lengths).astype(np.int32)
         single = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
-        symbols = pa.table({"piece": piece, "pos": at, "id": single[np.frombuffer(b"".join(words), np.uint8)]})
+        ids = single[np.frombuffer(b"".join(words), np.uint8)]
+        last = np.zeros(len(piece), dtype=bool)
+        last[ends - 1] = True
+        symbols = pa.table(
+            {
+                "piece": piece,
+                "pos": at,
+                "id": ids,
+                "next_pos": pa.array(at + 1, mask=last),
+                "next_id": pa.array(np.append(ids[1:], np.int32(0)), mask=last),
+            }
+        )
         lists = duck.query(self.con, sql, symbols=symbols).column("ids").combine_chunks()
         offsets, ids = lists.offsets.to_numpy(), lists.values.to_numpy().astype(np.int32)
         return [ids[a:b].tobytes() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
