@@ -49,11 +49,10 @@ EXPERIMENTS = [
 
 MULTIPLIER_RANGE = (1.0, 3.0)
 
-# Drift defaults: score threshold, p-value threshold, largest "small" baseline,
+# Drift defaults: score threshold, p-value threshold,
 # most distinct values of a numeric column still compared as categories,
 # number of drifted columns that raises an alert under the "min_features" policy.
 DRIFT_THRESHOLD = 0.1
 DRIFT_P_VALUE = 0.05
-SMALL_BASELINE_ROWS = 1000
 FEW_VALUES = 5
 ALERT_FEATURES = 3

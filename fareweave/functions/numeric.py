@@ -59,9 +59,13 @@ def lookup(c: Column, mapping: dict, default) -> Column:
 
 
 def hash_hex(key: str | list[str], seed: int) -> Column:
-    """Hex digest of the key and a seed: a reproducible random order of the rows."""
+    """Hex digest of the key and a seed: a reproducible random order of the rows.
+
+    A missing part of the key has a mark of its own, so it keeps its place.
+    """
     keys = [key] if isinstance(key, str) else key
-    return F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed))))
+    parts = [F.coalesce(F.col(k).cast("string"), F.lit("\x00")) for k in keys]
+    return F.md5(F.concat_ws("|", *parts, F.lit(str(seed))))
 
 
 def hash_bucket(key: str | list[str], seed: int, buckets: int) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from fareweave.functions.numeric import missing
 from fareweave.operators.counts import value_counts
 from fareweave.operators.quantiles import exact_quantiles
-from fareweave.schema import categorical_columns, is_floating, numeric_columns
+from fareweave.schema import boolean_columns, categorical_columns, is_floating, numeric_columns
 
 
 def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -30,21 +30,31 @@ def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 @dataclass(frozen=True)
 class Imputer:
-    """Fitted fill values: medians of numeric and modes of string columns."""
+    """Fitted fill values of all columns: medians of numeric, modes of string and boolean ones."""
 
     medians: dict[str, float] = field(default_factory=dict)
-    modes: dict[str, str] = field(default_factory=dict)
+    modes: dict[str, str | bool] = field(default_factory=dict)
+    # Numeric columns that had missing values where the medians were learnt.
+    gaps: tuple[str, ...] = ()
     # Columns with missing values but no value to learn from; left as they are.
     empty: tuple[str, ...] = ()
 
     def transform(self, df: DataFrame) -> DataFrame:
-        """Fill missing values. An integer column with a median to fill becomes double."""
+        """Fill missing values.
+
+        An integer column that had gaps in the fitted rows becomes double; one that had
+        none keeps its type, and a gap that turns up later takes the median rounded half
+        to even.
+        """
         filled = {}
         for name, value in self.medians.items():
             if name in df.columns:
                 c = F.col(name)
                 gap = missing(c, is_floating(df, name))
-                filled[name] = F.when(gap, F.lit(value)).otherwise(c.cast("double"))
+                if name in self.gaps or is_floating(df, name):
+                    filled[name] = F.when(gap, F.lit(value)).otherwise(c.cast("double"))
+                else:
+                    filled[name] = F.when(gap, F.rint(F.lit(value)).cast(df.schema[name].dataType)).otherwise(c)
         for name, value in self.modes.items():
             if name in df.columns:
                 filled[name] = F.coalesce(F.col(name), F.lit(value))
@@ -52,14 +62,14 @@ class Imputer:
 
 
 def column_modes(df: DataFrame, columns: list[str]) -> dict[str, str | None]:
-    """Most frequent value per string column, the smallest one on ties.
+    """Most frequent value per string or boolean column as text, the smallest one on ties.
 
     Values are counted in a shuffle by (column, value), so a column with very many
     distinct values is never held by one task.
     """
     if not columns:
         return {}
-    counts = value_counts(df, [], columns)
+    counts = value_counts(df.select(*[F.col(c).cast("string").alias(c) for c in columns]), [], columns)
     best = counts.where(F.col("v").isNotNull()).groupBy("feature").agg(
         F.min(F.struct((-F.col("n")).alias("negative"), F.col("v"))).alias("best")
     )
@@ -70,19 +80,21 @@ def column_modes(df: DataFrame, columns: list[str]) -> dict[str, str | None]:
 def fit_imputer(
     df: DataFrame, skip: list[str] | None = None, columns: list[str] | None = None
 ) -> Imputer:
-    """Learn fill values for the columns that have missing values; others are untouched."""
+    """Learn a fill value for every column, whether or not it has missing values in these rows."""
     skip = skip or []
     names = [c for c in (columns or df.columns) if c not in skip]
     numeric = [c for c in numeric_columns(df) if c in names]
-    text = [c for c in categorical_columns(df) if c in names]
+    booleans = [c for c in boolean_columns(df) if c in names]
+    text = [c for c in categorical_columns(df) if c in names] + booleans
     if not numeric + text:
         return Imputer()
-    gaps = {r["column_name"] for r in null_counts(df, numeric + text).collect() if r["has_missing"]}
-    medians = exact_quantiles(df, [c for c in numeric if c in gaps], [0.5])
-    modes = column_modes(df, [c for c in text if c in gaps])
+    medians = exact_quantiles(df, numeric, [0.5])
+    modes = column_modes(df, text)
+    gaps = {r["column_name"] for r in null_counts(df, numeric).collect() if r["has_missing"]} if numeric else set()
     return Imputer(
         medians={c: q[0] for c, q in medians.items() if q[0] is not None},
-        modes={c: m for c, m in modes.items() if m is not None},
+        modes={c: m == "true" if c in booleans else m for c, m in modes.items() if m is not None},
+        gaps=tuple(c for c in numeric if c in gaps),
         empty=tuple(
             [c for c, q in medians.items() if q[0] is None] + [c for c, m in modes.items() if m is None]
         ),

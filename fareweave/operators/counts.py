@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fareweave.functions.numeric import nan_to_null
+from fareweave.storage import materialize
 
 
 def _unpivoted(df: DataFrame, columns: list[str], keep: list[str], as_text: bool) -> DataFrame:
@@ -65,3 +66,17 @@ def paired_counts(
         current.select(*names, F.lit(False).alias(IS_REF))
     )
     return flagged_counts(tagged, numeric, text)
+
+
+PART = "part"
+
+
+def in_ranges(counts: DataFrame, keys: list[str] | None = None, parts: int | None = None) -> DataFrame:
+    """Written counts with ``part``: consecutive ranges of (keys, feature, x).
+
+    Spark samples the ranges and sizes them by bytes, so a feature of any number of values
+    is spread over as many parts as it needs; ``parts`` asks for a number of them instead.
+    """
+    order = [*(keys or []), "feature", "x"]
+    ranged = counts.repartitionByRange(parts, *order) if parts else counts.repartitionByRange(*order)
+    return materialize(ranged.withColumn(PART, F.spark_partition_id()), "ranged-counts")

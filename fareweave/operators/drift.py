@@ -9,13 +9,13 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fareweave import config
 from fareweave.functions.pvalues import p_values
-from fareweave.operators.counts import IS_REF, flagged_counts, paired_counts
+from fareweave.operators.counts import IS_REF, PART, flagged_counts, in_ranges, paired_counts
 from fareweave.schema import categorical_columns, numeric_columns
 from fareweave.storage import materialize
 from pyspark.sql import types as T
@@ -24,9 +24,6 @@ ROWS = "_rows"
 DISTANCES = ["wasserstein", "jensen_shannon"]
 P_TESTS = ["ks", "chi_square", "z"]
 ORDERED = ["wasserstein", "ks"]
-# Distinct values of one feature that one task sorts, and most buckets per feature.
-BUCKET_VALUES = 1_000_000
-MAX_BUCKETS = 4096
 
 
 @dataclass(frozen=True)
@@ -35,15 +32,15 @@ class DriftOptions:
 
     threshold: float = config.DRIFT_THRESHOLD
     p_threshold: float = config.DRIFT_P_VALUE
-    small_rows: int = config.SMALL_BASELINE_ROWS
     few_values: int = config.FEW_VALUES
-    # auto: by reference size; large: distances; small: p-values.
-    route: str = "auto"
+    # large: distances; small: p-values. The caller says which; the size of a table does not.
+    route: str = "large"
     # any, min_features or share.
     policy: str = "any"
     min_features: int = config.ALERT_FEATURES
     min_share: float = 0.5
-    bucket_values: int = BUCKET_VALUES
+    # Ranges that the counts are dealt into; by their bytes if not given.
+    parts: int | None = None
 
 
 def drift_columns(
@@ -105,16 +102,14 @@ def profile(counts: DataFrame, keys: list[str] | None = None) -> DataFrame:
 
 
 def choose_test(options: DriftOptions) -> Column:
-    """The test of a profiled column, from its type, distinct values and reference rows."""
+    """The test of a profiled column, from its type, its distinct values and the route."""
     distinct = F.col("distinct_values")
     category = F.col("is_text") | (distinct <= options.few_values)
     distance = F.when(category, "jensen_shannon").otherwise("wasserstein")
     by_p = F.when(category & (distinct <= 2), "z").when(category, "chi_square").otherwise("ks")
-    if options.route == "large":
-        return distance
-    if options.route == "small":
-        return by_p
-    return F.when(F.col("ref_rows") > options.small_rows, distance).otherwise(by_p)
+    if options.route not in ("large", "small"):
+        raise ValueError(f"unknown route {options.route!r}")
+    return distance if options.route == "large" else by_p
 
 
 def route_tests(counts: DataFrame, options: DriftOptions, keys: list[str] | None = None) -> DataFrame:
@@ -122,95 +117,34 @@ def route_tests(counts: DataFrame, options: DriftOptions, keys: list[str] | None
     return profile(counts, keys).where(F.col("feature") != ROWS).withColumn("test", choose_test(options))
 
 
-def _search(x: Column, cuts: list[float]) -> Column:
-    """Number of sorted cut points that are at most ``x``, by binary search."""
-    steps = max(1, math.ceil(math.log2(len(cuts) + 1)))
-    padded = cuts + [math.inf] * (2**steps - 1 - len(cuts))
-    table = F.array(*[F.lit(c) for c in padded])
-    widths = F.array(*[F.lit(2**s) for s in range(steps - 1, -1, -1)])
-    return F.aggregate(
-        widths,
-        F.lit(0),
-        lambda low, width: F.when(table[low + width - 1] <= x, low + width).otherwise(low),
-    )
-
-
-def value_cuts(
-    counts: DataFrame, distinct: dict[str, int], bucket_values: int
-) -> dict[str, list[float]]:
-    """Cut points that divide the distinct values of a large feature into even buckets.
-
-    They come from a sample and only steer the balance: any cut points give the same
-    result, because every value belongs to exactly one bucket.
-    """
-    buckets = {
-        f: min(MAX_BUCKETS, math.ceil(n / bucket_values)) for f, n in distinct.items() if n > bucket_values
-    }
-    if not buckets:
-        return {}
-    total = sum(distinct[f] for f in buckets)
-    wanted = 200 * sum(buckets.values())
-    grid = max(buckets.values())
-    rows = (
-        counts.where(F.col("feature").isin(list(buckets)))
-        .sample(min(1.0, wanted / total), 7)
-        .groupBy("feature")
-        .agg(F.percentile_approx("x", [i / grid for i in range(1, grid)], 4 * grid).alias("cuts"))
-        .collect()
-    )
-    cuts = {}
-    for row in rows:
-        step = max(1, grid // buckets[row["feature"]])
-        cuts[row["feature"]] = sorted(set(row["cuts"][step - 1 :: step]))
-    return {f: c for f, c in cuts.items() if c}
-
-
-def bucket_column(cuts: dict[str, list[float]]) -> Column:
-    """Bucket of a (feature, x) row; features without cut points have one bucket."""
-    out = F.lit(0)
-    for feature, points in cuts.items():
-        out = F.when(F.col("feature") == feature, _search(F.col("x"), points)).otherwise(out)
-    return out
-
-
 def ordered_statistics(
-    counts: DataFrame, tests: DataFrame, cuts: dict[str, list[float]], keys: list[str] | None = None
+    ranged: DataFrame, tests: DataFrame, keys: list[str] | None = None
 ) -> DataFrame:
     """Wasserstein-1 distance, its reference spread and the Kolmogorov-Smirnov distance.
 
-    Cumulative shares run over the sorted values of each bucket and start from the
-    totals of the buckets before it, so no feature has to fit into one task. ``tests``
-    has one row per (keys, feature), which is why it and the bucket totals (at most
-    ``MAX_BUCKETS`` per row of it) are broadcast.
+    ``ranged`` are counts in consecutive ranges. Cumulative shares run over the sorted
+    values of each range and start from the totals of the ranges before it, so no feature
+    has to fit into one task. ``tests`` has one row per (keys, feature).
     """
     keys = keys or []
     group = [*keys, "feature"]
-    rows = counts.join(F.broadcast(tests), group).withColumn("bucket", bucket_column(cuts))
-    inside = W.partitionBy(*group, "bucket").orderBy("x")
+    rows = ranged.join(tests, group)
+    inside = W.partitionBy(*group, PART).orderBy("x")
     upto = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
-    if cuts:
-        before = W.partitionBy(*group).orderBy("bucket")
-        earlier = before.rowsBetween(W.unboundedPreceding, -1)
-        offsets = (
-            rows.groupBy(*group, "bucket")
-            .agg(F.sum("n_ref").alias("_r"), F.sum("n_cur").alias("_c"), F.min("x").alias("_x"))
-            .select(
-                *group,
-                "bucket",
-                F.coalesce(F.sum("_r").over(earlier), F.lit(0)).alias("base_ref"),
-                F.coalesce(F.sum("_c").over(earlier), F.lit(0)).alias("base_cur"),
-                F.lead("_x").over(before).alias("next_x"),
-            )
-        )
-        rows = rows.join(F.broadcast(offsets), [*group, "bucket"])
-    else:
-        rows = rows.withColumns(
-            {
-                "base_ref": F.lit(0),
-                "base_cur": F.lit(0),
-                "next_x": F.lit(None).cast("double"),
-            }
+    before = W.partitionBy(*group).orderBy(PART)
+    earlier = before.rowsBetween(W.unboundedPreceding, -1)
+    offsets = (
+        ranged.groupBy(*group, PART)
+        .agg(F.sum("n_ref").alias("_r"), F.sum("n_cur").alias("_c"), F.min("x").alias("_x"))
+        .select(
+            *group,
+            PART,
+            F.coalesce(F.sum("_r").over(earlier), F.lit(0)).alias("base_ref"),
+            F.coalesce(F.sum("_c").over(earlier), F.lit(0)).alias("base_cur"),
+            F.lead("_x").over(before).alias("next_x"),
         )
+    )
+    rows = rows.join(offsets, [*group, PART])
     gap = F.coalesce(F.lead("x").over(inside), F.col("next_x")) - F.col("x")
     share_ref = F.try_divide(F.col("base_ref") + F.sum("n_ref").over(upto), F.col("ref_rows"))
     share_cur = F.try_divide(F.col("base_cur") + F.sum("n_cur").over(upto), F.col("cur_rows"))
@@ -239,7 +173,7 @@ def category_statistics(
     """Jensen-Shannon distance, chi-square statistic and two-proportion z per feature."""
     keys = keys or []
     group = [*keys, "feature"]
-    rows = counts.join(F.broadcast(tests), group)
+    rows = counts.join(tests, group)
     p = F.try_divide(F.col("n_ref"), F.col("ref_rows"))
     q = F.try_divide(F.col("n_cur"), F.col("cur_rows"))
     mean = (p + q) / 2
@@ -287,38 +221,29 @@ def score_counts(
 ) -> DataFrame:
     """The drift report of a written counts table: one row per (keys, feature).
 
-    The driver reads the profile, one row per (keys, feature), to choose tests and
-    buckets. The score is the distance for the distance tests and the p-value for the
-    others. A column without values has no test and no drift.
+    The score is the distance for the distance tests and the p-value for the others. A
+    column without values has no test and no drift. The profile, one row per (keys,
+    feature), is written once; the driver reads nothing.
     """
     keys = keys or []
-    spark = counts.sparkSession
-    tested = profile(counts, keys).withColumn("test", choose_test(options))
-    profiled = [r.asDict() for r in tested.collect()]
-    features = [r for r in profiled if r["feature"] != ROWS]
-    tests = spark.createDataFrame([tuple(r[n] for n in tested.columns) for r in features], tested.schema)
-    ordered = [r["feature"] for r in features if r["test"] in ORDERED]
-    distinct: dict[str, int] = {}
-    for r in features:
-        if r["test"] in ORDERED:
-            distinct[r["feature"]] = max(distinct.get(r["feature"], 0), r["distinct_values"])
-    values = counts.where(F.col("feature").isin(ordered))
-    cuts = value_cuts(values, distinct, options.bucket_values)
     group = [*keys, "feature"]
+    tested = materialize(profile(counts, keys).withColumn("test", choose_test(options)), "profile")
+    tests = tested.where(F.col("feature") != ROWS)
     is_ordered = F.col("test").isin(ORDERED)
-    by_order = ordered_statistics(values, tests.where(is_ordered), cuts, keys)
+    values = counts.where(F.col("x").isNotNull() & (F.col("feature") != ROWS))
+    by_order = ordered_statistics(in_ranges(values, keys, options.parts), tests.where(is_ordered), keys)
     by_category = category_statistics(counts, tests.where(~is_ordered), keys)
-    listed = _all_features(spark, profiled, columns, keys)
     joined = (
-        listed.join(F.broadcast(tests), group, "left")
-        .join(F.broadcast(by_order), group, "left")
-        .join(F.broadcast(by_category), group, "left")
+        _all_features(tested, columns, keys)
+        .join(tests, group, "left")
+        .join(by_order, group, "left")
+        .join(by_category, group, "left")
     )
     statistic = F.lit(None).cast("double")
     for test in [*DISTANCES, *P_TESTS]:
         statistic = F.when(F.col("test") == test, F.col(test)).otherwise(statistic)
     report = joined.withColumn("statistic", statistic)
-    if any(r["test"] in P_TESTS for r in features):
+    if options.route == "small":
         p = p_values("test", "statistic", "ref_rows", "cur_rows", "distinct_values")
         report = report.withColumn("_p", F.when(F.col("test").isin(P_TESTS), p))
     else:
@@ -335,28 +260,15 @@ def score_counts(
     ).select(*keys, *REPORT_COLUMNS)
 
 
-def _all_features(
-    spark: SparkSession, profiled: list[dict], columns: list[str], keys: list[str]
-) -> DataFrame:
+def _all_features(tested: DataFrame, columns: list[str], keys: list[str]) -> DataFrame:
     """Every requested column with its position and the table sizes, also without values."""
-    totals = {
-        tuple(r[k] for k in keys): (r["ref_rows"], r["cur_rows"]) for r in profiled if r["feature"] == ROWS
-    }
-    if not totals and not keys:
-        totals = {(): (0, 0)}
-    rows = [
-        (*key, position, feature, *sizes)
-        for key, sizes in totals.items()
-        for position, feature in enumerate(columns)
-    ]
-    fields = [T.StructField(k, T.StringType()) for k in keys]
-    fields += [
-        T.StructField("position", T.IntegerType()),
-        T.StructField("feature", T.StringType()),
-        T.StructField("reference_rows", T.LongType()),
-        T.StructField("current_rows", T.LongType()),
-    ]
-    return spark.createDataFrame(rows, T.StructType(fields))
+    totals = tested.where(F.col("feature") == ROWS)
+    sizes = [F.coalesce(F.max(c), F.lit(0).cast("long")) for c in ("ref_rows", "cur_rows")]
+    totals = totals.groupBy(*keys).agg(sizes[0].alias("reference_rows"), sizes[1].alias("current_rows"))
+    listed = F.array(*[F.lit(c) for c in columns]).cast("array<string>")
+    return totals.select(
+        *keys, F.posexplode(listed).alias("position", "feature"), "reference_rows", "current_rows"
+    )
 
 
 def drift_report(

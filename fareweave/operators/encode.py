@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from fareweave.functions.rides import WEATHER_SEVERITY
 from fareweave.operators.counts import long_values
 
-# Every category becomes a column, so more than this is a modelling mistake.
-MAX_CATEGORIES = 2000
-
 
 class TooManyCategories(ValueError):
     """A column has more distinct values than one-hot encoding can hold."""
@@ -48,10 +45,12 @@ class OneHotEncoder:
         return df.withColumns(self.indicators()).drop(*self.categories)
 
 
-def fit_one_hot(
-    df: DataFrame, columns: list[str], max_categories: int = MAX_CATEGORIES
-) -> OneHotEncoder:
-    """Learn the categories. The driver reads at most one more than the limit per column."""
+def fit_one_hot(df: DataFrame, columns: list[str], max_categories: int) -> OneHotEncoder:
+    """Learn the categories, each of which becomes a column.
+
+    The caller says how many columns a table may get; a column with more categories is an
+    error. ``category_table`` lists any number of them without the driver.
+    """
     limit = max_categories * len(columns) + 1
     rows = category_table(df, columns).limit(limit).collect()
     found: dict[str, list[str]] = {c: [] for c in columns}

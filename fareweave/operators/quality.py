@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fareweave.functions.numeric import missing, round_half_even
-from fareweave.functions.rides import WEATHER_PATTERN
+from fareweave.functions.rides import WEATHER_SEVERITY
 from fareweave.operators.counts import long_values
 from fareweave.operators.quantiles import exact_quantiles
 from fareweave.schema import REQUEST, is_floating
@@ -154,12 +154,18 @@ def _typed(name: str, raw_type: T.DataType, to: T.DataType) -> Column:
     if isinstance(to, T.BooleanType) and isinstance(raw_type, T.StringType):
         for word, value in EXTRA_BOOLEANS.items():
             c = F.when(F.lower(F.trim(F.col(name))) == word, value).otherwise(c)
+    if isinstance(raw_type, T.NumericType):
+        # A fraction is no whole number, and of numbers only 0 and 1 are truth values.
+        if isinstance(to, T.IntegralType):
+            c = F.when(c == F.rint(c), c)
+        elif isinstance(to, T.BooleanType):
+            c = F.when(c.isin(0, 1), c)
     return c.try_cast(to)
 
 
 def _in_range(name: str, value: Column, floating: bool) -> Column:
     if name == "weather_condition":
-        return value.rlike(WEATHER_PATTERN)
+        return value.isin(*WEATHER_SEVERITY)
     if name not in REQUEST_RANGES:
         return F.lit(True)
     low, high, exclusive = REQUEST_RANGES[name]

@@ -1,178 +1,68 @@
-"""Exact quantiles without sorting or collecting a column.
+"""Exact quantiles from the counts of distinct values.
 
-A column's order statistics are found by narrowing: sampled values propose two
-bounds around the wanted rank, one pass counts the rows below, at, between and
-above them, and the search goes on strictly inside the bounds. Only counts decide;
-the sample steers how fast the interval shrinks. Once an interval is known to hold
-few values they are read out in order.
+Values are counted before anything is ordered. The counts are dealt into consecutive
+ranges; a value's ranks follow from the totals of the ranges before its own and a running
+sum inside, so no column has to fit into one task and nothing depends on its size.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fareweave.functions.numeric import nan_to_null
-from fareweave.storage import materialize
+from fareweave.operators.counts import PART, in_ranges, value_counts
 
-# Values of one interval that one task may sort.
-SORT_LIMIT = 100_000
-# Rows of the sample that proposes bounds.
-SAMPLE_ROWS = 200_000
-# Half width of the proposed interval, as a share of its rows.
-MARGIN = 0.005
 
-
-@dataclass(frozen=True)
-class Span:
-    """An open interval of one column (None: no bound) and the number of values before it."""
-
-    column: str
-    low: float | None
-    high: float | None
-    below: int
-    rows: int
-
-    def condition(self) -> Column:
-        c = F.col(self.column)
-        inside = c.isNotNull()
-        if self.low is not None:
-            inside = inside & (c > self.low)
-        if self.high is not None:
-            inside = inside & (c < self.high)
-        return inside
-
-
-def _one_row(df: DataFrame, columns: list[Column]) -> list:
-    return list(df.agg(*columns).first()) if columns else []
-
-
-def _count(condition: Column) -> Column:
-    return F.count(F.when(condition, F.lit(1)))
-
-
-def _ends(span: Span, ranks: list[int]) -> list[float]:
-    """Shares of a span's values between which the wanted ranks lie, rank by rank."""
-    ends: list[float] = []
-    for rank in ranks:
-        share = (rank - span.below) / span.rows
-        if not ends or share > ends[-1]:
-            ends += [max(0.0, share - MARGIN), min(1.0, share + MARGIN)]
-    return ends
-
-
-def _propose(df: DataFrame, spans: dict[Span, list[int]], rows: int, seed: int) -> dict:
-    """Sampled values on both sides of the wanted ranks of each span, in order."""
-    sample = df.sample(min(1.0, SAMPLE_ROWS / rows), seed)
-    aggs = []
-    for span, ranks in spans.items():
-        value = F.when(span.condition(), F.col(span.column))
-        aggs.append(F.percentile_approx(value, _ends(span, ranks), 1000))
-    found = _one_row(sample, aggs)
-    return {span: sorted(set(values or [])) for span, values in zip(spans, found)}
-
-
-def _split(span: Span, bounds: list[float]) -> list[tuple[str, float | None, float | None, Column]]:
-    """Pieces of a span, in order: the bounds as single values and the open intervals around them."""
-    c = F.col(span.column)
-    pieces = []
-    low = span.low
-    for bound in bounds:
-        gap = Span(span.column, low, bound, 0, 0)
-        pieces += [("open", low, bound, gap.condition()), ("value", bound, bound, c == bound)]
-        low = bound
-    rest = Span(span.column, low, span.high, 0, 0)
-    return [*pieces, ("open", low, span.high, rest.condition())]
-
-
-def order_statistics(
-    df: DataFrame, ranks: dict[str, list[int]], counts: dict[str, int], sort_limit: int = SORT_LIMIT
-) -> dict[tuple[str, int], float]:
-    """Values at the wanted zero-based ranks among each column's non-missing values.
-
-    ``df`` holds double columns without NaN and ``counts`` their non-NULL counts.
-    """
-    found: dict[tuple[str, int], float] = {}
-    spans: dict[Span, list[int]] = {}
-    for column, wanted in ranks.items():
-        if wanted:
-            spans[Span(column, None, None, 0, counts[column])] = sorted(set(wanted))
-    rows = max(counts.values(), default=0)
-    narrowed = rows
-    attempt = 0
-    while spans:
-        small = {s: r for s, r in spans.items() if s.rows <= sort_limit}
-        spans = {s: r for s, r in spans.items() if s.rows > sort_limit}
-        if small:
-            listed = [
-                F.sort_array(F.collect_list(F.when(s.condition(), F.col(s.column)))) for s in small
-            ]
-            picked = [
-                F.array(*[v[r - s.below] for r in wanted])
-                for v, (s, wanted) in zip(listed, small.items())
-            ]
-            for (s, wanted), values in zip(small.items(), _one_row(df, picked)):
-                found.update({(s.column, r): v for r, v in zip(wanted, values)})
-        if not spans:
-            break
-        attempt += 1
-        bounds = _propose(df, spans, max(narrowed, 1), attempt)
-        pieces = {s: _split(s, bounds[s]) for s in spans}
-        flat = [(s, p) for s in spans for p in pieces[s]]
-        sizes = _one_row(df, [_count(p[3]) for _, p in flat])
-        below = {s: s.below for s in spans}
-        narrower: dict[Span, list[int]] = {}
-        for (s, (kind, low, high, _)), size in zip(flat, sizes):
-            start, end = below[s], below[s] + size
-            hits = [r for r in spans[s] if start <= r < end]
-            if hits and kind == "value":
-                found.update({(s.column, r): low for r in hits})
-            elif hits:
-                narrower[Span(s.column, low, high, start, size)] = hits
-            below[s] = end
-        spans = narrower
-        left = sum(s.rows for s in spans)
-        if max((s.rows for s in spans), default=0) > sort_limit and left * 20 < narrowed:
-            keep = F.lit(False)
-            for s in spans:
-                keep = keep | s.condition()
-            df = materialize(df.where(keep), "quantiles")
-            narrowed = left
-    return found
+def neighbours(
+    df: DataFrame, columns: list[str], probabilities: list[float], parts: int | None = None
+) -> DataFrame:
+    """Per column with values: ``size`` and, for the i-th probability, the values ``low_i`` and ``high_i`` around it."""
+    values = df.select(*[nan_to_null(F.col(c).cast("double")).alias(c) for c in columns])
+    ranged = in_ranges(value_counts(values, columns, []).select("feature", "x", "n"), parts=parts)
+    earlier = W.partitionBy("feature").orderBy(PART).rowsBetween(W.unboundedPreceding, -1)
+    starts = (
+        ranged.groupBy("feature", PART)
+        .agg(F.sum("n").alias("_n"))
+        .withColumn("_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+        .withColumn("size", F.sum("_n").over(W.partitionBy("feature")))
+        .drop("_n")
+    )
+    upto = W.partitionBy("feature", PART).orderBy("x").rowsBetween(W.unboundedPreceding, W.currentRow)
+    ranked = ranged.join(starts, ["feature", PART]).withColumn("_end", F.col("_start") + F.sum("n").over(upto))
+
+    def at(rank):
+        return F.max(F.when((rank >= F.col("_end") - F.col("n")) & (rank < F.col("_end")), F.col("x")))
+
+    picked = [F.max("size").alias("size")]
+    for i, p in enumerate(probabilities):
+        position = F.lit(float(p)) * (F.col("size") - 1)
+        picked += [at(F.floor(position)).alias(f"low_{i}"), at(F.ceil(position)).alias(f"high_{i}")]
+    return ranked.groupBy("feature").agg(*picked)
 
 
 def exact_quantiles(
-    df: DataFrame,
-    columns: list[str],
-    probabilities: list[float],
-    sort_limit: int = SORT_LIMIT,
+    df: DataFrame, columns: list[str], probabilities: list[float], parts: int | None = None
 ) -> dict[str, list[float | None]]:
     """Quantiles with linear interpolation between the two neighbouring values.
 
-    NULL and NaN are skipped; a column without values gives None.
+    NULL and NaN are skipped; a column without values gives None. The driver reads one
+    row per column.
     """
     if not columns:
         return {}
-    values = df.select(*[nan_to_null(F.col(c).cast("double")).alias(c) for c in columns])
-    counts = dict(zip(columns, _one_row(values, [F.count(c) for c in columns])))
-    positions = {
-        c: [p * (counts[c] - 1) for p in probabilities] if counts[c] else [] for c in columns
-    }
-    ranks = {
-        c: [r for p in at for r in (math.floor(p), math.ceil(p))] for c, at in positions.items()
-    }
-    found = order_statistics(values, ranks, counts, sort_limit)
+    found = {r["feature"]: r for r in neighbours(df, columns, probabilities, parts).collect()}
     out: dict[str, list[float | None]] = {}
     for c in columns:
-        if not counts[c]:
+        if c not in found:
             out[c] = [None] * len(probabilities)
             continue
-        quantiles = []
-        for p in positions[c]:
-            low, high = found[(c, math.floor(p))], found[(c, math.ceil(p))]
-            quantiles.append(low + (high - low) * (p - math.floor(p)))
-        out[c] = quantiles
+        out[c] = []
+        for i, p in enumerate(probabilities):
+            position = p * (found[c]["size"] - 1)
+            low, high = found[c][f"low_{i}"], found[c][f"high_{i}"]
+            out[c].append(low + (high - low) * (position - math.floor(position)) if high != low else low)
     return out

@@ -35,15 +35,6 @@ from fareweave.storage import materialize
 
 BASELINE = "_baseline"
 
-# Rows and seed of each scenario's sample in the standard simulation.
-SIMULATION_SAMPLES = {
-    "control": (2000, 42),
-    "demand_mild": (5000, 42),
-    "demand_moderate": (5000, 42),
-    "demand_severe": (5000, 42),
-    "weather_storm": (3000, 99),
-}
-
 
 class DriftDetector:
     """Reports the drift of current tables against one baseline."""
@@ -241,7 +232,6 @@ __all__ = [
     "BASELINE",
     "DEMAND_SPIKES",
     "DriftDetector",
-    "SIMULATION_SAMPLES",
     "compare_scenarios",
     "drift_features",
     "encode_weather",

@@ -587,7 +587,26 @@ ORACLES: dict[str, str] = {
     ),
     "drf_route": with_(*RIDE_DRIFT)
     + "SELECT feature, CAST(ref_rows AS BIGINT) AS ref_rows, CAST(cur_rows AS BIGINT) AS cur_rows, "
-    "distinct_values, CASE WHEN ref_rows > 1000 THEN large_test ELSE small_test END AS test FROM stats",
+    "distinct_values, large_test AS test, small_test FROM stats",
+    "agg_quantiles_narrow": " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, CAST({p} AS DOUBLE) AS share, "
+        f"round(quantile_cont({c}, {p}), 6) AS value FROM lineitem"
+        for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+        for p in (0.01, 0.25, 0.5, 0.9)
+    ),
+    "spl_exact_dup": """
+SELECT 'test' AS split, CAST(ceil(0.2 * count(*)) AS BIGINT) AS n FROM lineitem
+UNION ALL
+SELECT 'train', count(*) - CAST(ceil(0.2 * count(*)) AS BIGINT) FROM lineitem
+""",
+    "smp_exact_null": """
+WITH d AS (
+  SELECT CASE WHEN l_linenumber = 7 THEN l_orderkey END AS k,
+         md5(coalesce(CAST(CASE WHEN l_linenumber = 7 THEN l_orderkey END AS VARCHAR), chr(0)) || '|42') AS h
+  FROM lineitem)
+SELECT CAST(5000 AS BIGINT) AS n, count(k) AS with_key
+FROM (SELECT k FROM d ORDER BY h LIMIT 5000)
+""",
     "drf_wasserstein": with_(*RIDE_DRIFT)
     + f"SELECT feature, {r6('wasserstein', 'score')} FROM stats WHERE distinct_values > 5",
     "drf_wasserstein_bucketed": with_(*RIDE_DRIFT)

@@ -63,8 +63,11 @@ class FittedState:
         )
 
     def to_table(self, spark: SparkSession) -> DataFrame:
-        rows = [("median", c, None, None, v, None) for c, v in self.imputer.medians.items()]
-        rows += [("mode", c, None, v, None, None) for c, v in self.imputer.modes.items()]
+        gaps = self.imputer.gaps
+        rows = [("median", c, None, None, v, float(c in gaps)) for c, v in self.imputer.medians.items()]
+        rows += [
+            ("mode", c, None, str(v), float(isinstance(v, bool)), None) for c, v in self.imputer.modes.items()
+        ]
         rows += [
             ("category", c, i, v, None, None)
             for c, values in self.encoder.categories.items()
@@ -92,7 +95,8 @@ class FittedState:
         return FittedState(
             Imputer(
                 {r["column_name"]: r["number"] for r in of("median")},
-                {r["column_name"]: r["text"] for r in of("mode")},
+                {r["column_name"]: r["text"] == "True" if r["number"] else r["text"] for r in of("mode")},
+                tuple(r["column_name"] for r in of("median") if r["number2"]),
             ),
             OneHotEncoder({c: tuple(v) for c, v in categories.items()}),
             StandardScaler(
@@ -128,14 +132,17 @@ def feature_names(encoder: OneHotEncoder) -> list[str]:
 
 
 def fit_state(
-    rides: DataFrame, target: str = config.TARGET, categorical: list[str] | None = None
+    rides: DataFrame,
+    target: str = config.TARGET,
+    categorical: list[str] | None = None,
+    max_categories: int = 100,
 ) -> FittedState:
     """Learn fill values, categories and scaling from the given rows; never from the target."""
     categorical = categorical or config.CATEGORICAL_COLUMNS
     raw = rides.select(*BASE_FEATURES, *categorical)
     imputer = fit_imputer(raw)
     filled = imputer.transform(raw)
-    encoder = fit_one_hot(filled, categorical)
+    encoder = fit_one_hot(filled, categorical, max_categories)
     names = feature_names(encoder)
     unscaled = FittedState(imputer, encoder, StandardScaler({}, {}), tuple(names))
     scaler = fit_scaler(unscaled.engineer(raw).select(*names), names)

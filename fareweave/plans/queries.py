@@ -14,6 +14,7 @@ from fareweave.operators import drift as D
 from fareweave.operators import quality as Q
 from fareweave.operators import whatif as X
 from fareweave.operators.clean import column_modes, drop_columns, fit_imputer, null_counts
+from fareweave.operators.counts import in_ranges
 from fareweave.operators.encode import (
     category_table,
     fit_one_hot,
@@ -297,6 +298,17 @@ def agg_medians(spark, folder):
     ).select("column_name", r6("median").alias("median"))
 
 
+def agg_quantiles_narrow(spark, folder):
+    """Exact quantiles with the values in many ranges."""
+    items = table(spark, folder, "lineitem")
+    shares = [0.01, 0.25, 0.5, 0.9]
+    found = exact_quantiles(items, LINE_NUMBERS, shares, parts=60)
+    rows = [(c, p, v) for c, values in found.items() for p, v in zip(shares, values)]
+    return spark.createDataFrame(rows, "column_name string, share double, value double").select(
+        "column_name", "share", r6("value").alias("value")
+    )
+
+
 def agg_modes(spark, folder):
     orders = table(spark, folder, "orders")
     modes = column_modes(orders, ["o_orderstatus", "o_orderpriority"])
@@ -312,20 +324,20 @@ def enc_categories(spark, folder):
 
 def enc_onehot(spark, folder):
     rides = load_rides(spark, folder).select("ride_id", "weather_condition")
-    return fit_one_hot(rides, ["weather_condition"]).transform(rides)
+    return fit_one_hot(rides, ["weather_condition"], 20).transform(rides)
 
 
 def enc_onehot_unknown(spark, folder):
     """Categories of the open orders applied to all orders."""
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
     known = orders.where(F.col("o_orderpriority") != "5-LOW")
-    encoded = fit_one_hot(known, ["o_orderpriority"]).transform(orders)
+    encoded = fit_one_hot(known, ["o_orderpriority"], 20).transform(orders)
     return encoded.toDF(*[c.lower().replace(" ", "_").replace("-", "_") for c in encoded.columns])
 
 
 def enc_severity_from_onehot(spark, folder):
     rides = load_rides(spark, folder).select("ride_id", "weather_condition")
-    encoded = fit_one_hot(rides, ["weather_condition"]).transform(rides)
+    encoded = fit_one_hot(rides, ["weather_condition"], 20).transform(rides)
     return severity_from_one_hot(severity_from_one_hot(encoded)).select("ride_id", "weather_severity_score")
 
 
@@ -362,6 +374,22 @@ def smp_exact(spark, folder):
     return exact_sample(orders, "o_orderkey", 1000, config.SEED)
 
 
+def spl_exact_dup(spark, folder):
+    """Sizes of an exact split by a key that rows share."""
+    items = table(spark, folder, "lineitem").select("l_orderkey", "l_quantity")
+    split = exact_split(items, "l_orderkey", config.TEST_SHARE, config.SEED)
+    return split.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("_q")).select("split", "n")
+
+
+def smp_exact_null(spark, folder):
+    """The size of an exact sample of rows whose keys are mostly missing."""
+    items = table(spark, folder, "lineitem").select(
+        F.when(F.col("l_linenumber") == 7, F.col("l_orderkey")).alias("k"), "l_quantity"
+    )
+    sample = exact_sample(items, "k", 5000, config.SEED)
+    return sample.agg(F.count(F.lit(1)).alias("n"), F.count("k").alias("with_key"))
+
+
 def smp_head(spark, folder):
     return first_rows(load_rides(spark, folder), "ride_id", 5)
 
@@ -543,30 +571,32 @@ def sco_state(spark, folder):
 
 
 def drf_route(spark, folder):
-    routed = D.route_tests(drift_counts(spark, folder), D.DriftOptions())
-    return routed.select("feature", "ref_rows", "cur_rows", "distinct_values", "test")
+    """The tests of both routes."""
+    counts = drift_counts(spark, folder)
+    large = D.route_tests(counts, D.DriftOptions(route="large"))
+    small = D.route_tests(counts, D.DriftOptions(route="small")).select("feature", F.col("test").alias("small_test"))
+    routed = large.join(small, "feature")
+    return routed.select("feature", "ref_rows", "cur_rows", "distinct_values", "test", "small_test")
 
 
-def _ordered(spark, folder, bucket_values: int) -> DataFrame:
+def _ordered(spark, folder, parts: int | None = None) -> DataFrame:
     counts = drift_counts(spark, folder)
-    options = D.DriftOptions(route="large", bucket_values=bucket_values)
-    tests = D.route_tests(counts, options).where(F.col("test") == "wasserstein")
-    distinct = {r["feature"]: r["distinct_values"] for r in tests.collect()}
-    values = counts.where(F.col("feature").isin(list(distinct)))
-    return D.ordered_statistics(values, tests, D.value_cuts(values, distinct, bucket_values))
+    tests = D.route_tests(counts, D.DriftOptions(route="large")).where(F.col("test") == "wasserstein")
+    values = counts.where(F.col("x").isNotNull() & (F.col("feature") != D.ROWS))
+    return D.ordered_statistics(in_ranges(values, parts=parts), tests)
 
 
 def drf_wasserstein(spark, folder):
-    return _ordered(spark, folder, D.BUCKET_VALUES).select("feature", r6("wasserstein").alias("score"))
+    return _ordered(spark, folder).select("feature", r6("wasserstein").alias("score"))
 
 
 def drf_wasserstein_bucketed(spark, folder):
-    """The same distance with every large feature cut into many buckets."""
-    return _ordered(spark, folder, 20).select("feature", r6("wasserstein").alias("score"))
+    """The same distance with the values of every feature in many ranges."""
+    return _ordered(spark, folder, 200).select("feature", r6("wasserstein").alias("score"))
 
 
 def drf_ks(spark, folder):
-    return _ordered(spark, folder, 200).select("feature", r6("ks").alias("ks"))
+    return _ordered(spark, folder, 20).select("feature", r6("ks").alias("ks"))
 
 
 def _categories(spark, folder) -> DataFrame:
@@ -841,6 +871,7 @@ QUERIES: dict[str, Query] = {
         cln_fit_train,
         agg_medians,
         agg_modes,
+        agg_quantiles_narrow,
         enc_categories,
         enc_onehot,
         enc_onehot_unknown,
@@ -852,6 +883,8 @@ QUERIES: dict[str, Query] = {
         spl_exact,
         smp_exact,
         smp_head,
+        spl_exact_dup,
+        smp_exact_null,
         set_union_splits,
         feat_ratio,
         feat_rush,

@@ -54,6 +54,11 @@ def categorical_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 
 
+def boolean_columns(df: DataFrame) -> list[str]:
+    """Columns with a boolean type: two categories."""
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.BooleanType)]
+
+
 def is_floating(df: DataFrame, column: str) -> bool:
     return isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType))
 

@@ -22,8 +22,8 @@ def rows(df):
 def test_nothing_missing_changes_nothing(spark):
     df = spark.createDataFrame([(1, "x"), (2, "y"), (3, "z")], "a long, b string")
     out = handle_missing_values(df)
-    assert out.schema == df.schema and rows(out) == rows(df)
-    assert fit_imputer(df) == Imputer()
+    assert out.dtypes == df.dtypes and rows(out) == rows(df)
+    assert fit_imputer(df).gaps == ()
 
 
 def test_median_fills_null_and_nan(spark):
@@ -52,7 +52,7 @@ def test_all_missing_columns_are_left_and_reported(spark):
 
 def test_empty_table(spark):
     df = spark.createDataFrame([], "a double, b string")
-    assert fit_imputer(df) == Imputer()
+    assert fit_imputer(df) == Imputer(empty=("a", "b"))
     assert {r["row_count"] for r in null_counts(df).collect()} == {0}
 
 
@@ -62,6 +62,19 @@ def test_fit_and_apply_are_separate(spark):
     assert sorted(r[0] for r in fit_imputer(train).transform(other).collect()) == [2.0, 100.0]
 
 
+def test_gaps_that_turn_up_later_are_filled(spark):
+    train = spark.createDataFrame([(1, True, "a", 1.0), (2, True, "a", 2.0), (4, False, "b", 4.0)], "i int, b boolean, s string, d double")
+    later = spark.createDataFrame([(None, None, None, None), (9, False, "c", float("nan"))], train.schema)
+    out = fit_imputer(train).transform(later)
+    assert out.schema["i"].dataType == train.schema["i"].dataType
+    assert rows(out) == [(2, True, "a", 2.0), (9, False, "c", 2.0)]
+
+
+def test_booleans_take_their_mode(spark):
+    df = spark.createDataFrame([(True,), (False,), (False,), (None,)], "b boolean")
+    assert sorted(r[0] for r in handle_missing_values(df).collect()) == [False, False, False, True]
+
+
 def test_drop_columns(spark):
     df = spark.createDataFrame([(1, 10, 5)], "ride_id long, value long, other long")
     assert drop_columns(df, ID_COLUMNS).columns == ["value", "other"]
@@ -69,7 +82,7 @@ def test_drop_columns(spark):
 
 def test_one_hot(spark):
     df = spark.createDataFrame([("clear", 1.0), ("rain", 2.0), ("clear", 3.0), ("snow", 4.0)], "weather string, v double")
-    out = fit_one_hot(df, ["weather"]).transform(df)
+    out = fit_one_hot(df, ["weather"], 20).transform(df)
     assert out.columns == ["v", "weather_clear", "weather_rain", "weather_snow"]
     assert rows(out) == [(1.0, 1.0, 0.0, 0.0), (2.0, 0.0, 1.0, 0.0), (3.0, 1.0, 0.0, 0.0), (4.0, 0.0, 0.0, 1.0)]
 
@@ -77,7 +90,7 @@ def test_one_hot(spark):
 def test_one_hot_unknown_and_null_give_zeros(spark):
     fit = spark.createDataFrame([("clear",), ("rain",), (None,)], "weather string")
     new = spark.createDataFrame([("clear",), ("snow",), (None,)], "weather string")
-    out = fit_one_hot(fit, ["weather"]).transform(new)
+    out = fit_one_hot(fit, ["weather"], 20).transform(new)
     assert out.columns == ["weather_clear", "weather_rain"]
     assert rows(out) == [(0.0, 0.0), (0.0, 0.0), (1.0, 0.0)]
 
