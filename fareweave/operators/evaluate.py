@@ -10,7 +10,8 @@ def metric_columns(y: Column, p: Column) -> list[Column]:
     """RMSE, MAE and R² as aggregates; R² of a constant target is 1 for a perfect fit, else 0."""
     error = y - p
     sse = F.sum(error * error)
-    sst = F.var_pop(y) * F.count(error)
+    # Rows without a prediction count on neither side.
+    sst = F.var_pop(F.when(error.isNotNull(), y)) * F.count(error)
     r2 = F.when(sst > 0, F.lit(1.0) - sse / sst).when(sse == 0, 1.0).when(sse > 0, 0.0)
     return [
         F.sqrt(F.avg(error * error)).alias("rmse"),

@@ -106,21 +106,57 @@ def split(key: str, seed: int = 42) -> str:
     return f"CASE WHEN {bucket} < 20 THEN 'test' ELSE 'train' END"
 
 
-ERRORS = """concat_ws(',',
-      CASE WHEN ride_id % 7 = 0 THEN 'hour_of_day:range' END,
-      CASE WHEN ride_id % 23 = 0 THEN 'is_weekend:type' END,
-      CASE WHEN ride_id % 17 = 0 THEN 'passenger_demand:missing' END,
-      CASE WHEN ride_id % 19 = 0 THEN 'driver_availability:type' END,
-      CASE WHEN ride_id % 11 = 0 THEN 'weather_condition:range' END,
-      CASE WHEN ride_id % 13 = 0 THEN 'base_fare:range' END)"""
+def raw(field: str, *changes: tuple[int, str | None]) -> str:
+    """A request field as text, with other texts (or none) at multiples of some numbers."""
+    cases = "".join(f" WHEN ride_id % {n} = 0 THEN {'NULL' if t is None else t}" for n, t in changes)
+    return f"CASE{cases} ELSE CAST({field} AS VARCHAR) END" if changes else f"CAST({field} AS VARCHAR)"
+
+
+RAW = {
+    "hour_of_day": raw("hour_of_day", (7, "'25'")),
+    "day_of_week": raw("day_of_week", (29, "'7'")),
+    "is_weekend": raw("is_weekend", (23, "'maybe'")),
+    "passenger_demand": raw("passenger_demand", (17, None), (37, "'-3'")),
+    "driver_availability": raw("driver_availability", (19, "'18.5'")),
+    "weather_condition": raw("weather_condition", (11, "'hurricane'"), (47, "'clear' || chr(10)")),
+    "temperature": raw("temperature", (43, "'warm'")),
+    "visibility_km": raw("visibility_km", (31, "'-1'")),
+    "base_fare": raw("base_fare", (13, "'-5.0'"), (41, "'NaN'")),
+}
+WHOLE = "'[+-]?[0-9]+'"
+
+
+def check(field: str, right_type: str, in_range: str) -> str:
+    """What is wrong with a raw field: its type is read and its range is compared here, in SQL."""
+    text = RAW[field]
+    kind, good = right_type.replace("@", f"({text})"), in_range.replace("@", f"({text})")
+    return (
+        f"CASE WHEN ({text}) IS NULL THEN '{field}:missing' WHEN NOT ({kind}) THEN '{field}:type' "
+        f"WHEN NOT ({good}) THEN '{field}:range' END"
+    )
+
+
+IS_WHOLE = f"regexp_full_match(@, {WHOLE})"
+IS_NUMBER = "TRY_CAST(@ AS DOUBLE) IS NOT NULL"
+ERRORS = "concat_ws(',', " + ", ".join(
+    [
+        check("hour_of_day", IS_WHOLE, "TRY_CAST(@ AS BIGINT) BETWEEN 0 AND 23"),
+        check("day_of_week", IS_WHOLE, "TRY_CAST(@ AS BIGINT) BETWEEN 0 AND 6"),
+        check("is_weekend", "lower(trim(@)) IN ('true', 'false', 't', 'f', 'yes', 'no', 'y', 'n', '1', '0', 'on', 'off')", "TRUE"),
+        check("passenger_demand", IS_WHOLE, "TRY_CAST(@ AS BIGINT) >= 0"),
+        check("driver_availability", IS_WHOLE, "TRY_CAST(@ AS BIGINT) >= 0"),
+        check("weather_condition", "TRUE", "@ IN ('clear', 'cloudy', 'rain', 'storm', 'snow')"),
+        check("temperature", IS_NUMBER, "TRUE"),
+        check("visibility_km", IS_NUMBER, "TRY_CAST(@ AS DOUBLE) >= 0 AND NOT isnan(TRY_CAST(@ AS DOUBLE))"),
+        check("base_fare", IS_NUMBER, "TRY_CAST(@ AS DOUBLE) > 0 AND NOT isnan(TRY_CAST(@ AS DOUBLE))"),
+    ]
+) + ")"
 VALID = f"({ERRORS}) = ''"
 
-REQUEST_TEXT = """SELECT ride_id,
-    CASE WHEN ride_id % 7 = 0 THEN '25' ELSE CAST(hour_of_day AS VARCHAR) END AS hour_of_day,
-    CASE WHEN ride_id % 17 <> 0 THEN CAST(passenger_demand AS VARCHAR) END AS passenger_demand,
-    CASE WHEN ride_id % 11 = 0 THEN 'hurricane' ELSE weather_condition END AS weather_condition,
-    CASE WHEN ride_id % 23 = 0 THEN 'maybe' ELSE CAST(is_weekend AS VARCHAR) END AS is_weekend
-  FROM rides"""
+REQUEST_TEXT = (
+    f"SELECT ride_id, {RAW['hour_of_day']} AS hour_of_day, {RAW['passenger_demand']} AS passenger_demand, "
+    f"{RAW['weather_condition']} AS weather_condition, {RAW['is_weekend']} AS is_weekend FROM rides"
+)
 
 PRICED = f"""priced AS (
   SELECT ride_id, base_fare, {clipped(formula())} AS p FROM rides WHERE {VALID})"""
@@ -159,6 +195,57 @@ COMPARISON = """comparison AS (
     max(r2) FILTER (split = 'test') AS test_r2, max(mae) FILTER (split = 'test') AS test_mae
   FROM metrics GROUP BY model_name)"""
 
+# --- learners with one feature: closed forms ---------------------------------------
+
+ONE = f"one AS (SELECT {split('ride_id')} AS split, price_multiplier AS y, {RATIO} AS x, is_weekend FROM rides)"
+LINES = """lines AS (
+  SELECT model_name, sxy / (sxx + alpha) AS slope, my - sxy / (sxx + alpha) * mx AS intercept
+  FROM (SELECT avg(x) AS mx, avg(y) AS my, covar_pop(y, x) * count(*) AS sxy, var_pop(x) * count(*) AS sxx
+        FROM one WHERE split = 'train'),
+       (VALUES ('linear_regression', 0.0::DOUBLE), ('ridge_regression', 50.0::DOUBLE)) AS m(model_name, alpha))"""
+LINE_PREDICTED = "predicted AS (SELECT model_name, split, y, intercept + slope * x AS p FROM one, lines)"
+BEST_LINE = """best_line AS (
+  SELECT * FROM lines JOIN comparison USING (model_name) ORDER BY test_rmse, model_name LIMIT 1)"""
+ONE_LINES = [*BASE, ONE, LINES, LINE_PREDICTED, METRICS, COMPARISON, BEST_LINE]
+ONE_METRICS = f"SELECT model_name, split, {r6('rmse', 'rmse')}, {r6('mae', 'mae')}, {r6('r2', 'r2')} FROM metrics"
+
+
+def one_line(name: str) -> str:
+    return with_(*ONE_LINES) + f"{ONE_METRICS} WHERE model_name = '{name}'"
+
+
+def one_tree(name: str) -> str:
+    """A tree of one split on a truth value gives the mean of each side."""
+    means = "means AS (SELECT is_weekend, avg(y) AS p FROM one WHERE split = 'train' GROUP BY is_weekend)"
+    scored = f"predicted AS (SELECT '{name}' AS model_name, split, y, p FROM one JOIN means USING (is_weekend))"
+    return with_(*BASE, ONE, means, scored, METRICS) + ONE_METRICS
+
+
+ONE_LOG = (
+    with_(*ONE_LINES)
+    + """SELECT model_name, 'param' AS kind, key, NULL::DOUBLE AS number, text
+FROM (VALUES ('linear_regression', 'model_class', 'LinearRegression'), ('ridge_regression', 'model_class', 'Ridge'),
+             ('ridge_regression', 'alpha', '50.0')) AS v(model_name, key, text)
+UNION ALL
+SELECT model_name, 'metric', split || '_' || metric, round(value, 6) + 0.0, NULL
+FROM metrics UNPIVOT (value FOR metric IN (rmse, mae, r2))"""
+)
+ONE_SCORED = (
+    with_(
+        *ONE_LINES,
+        f"priced AS (SELECT ride_id, base_fare, {clipped(f'intercept + slope * ({RATIO})')} AS p "
+        f"FROM rides, best_line WHERE {VALID})",
+    )
+    + f"SELECT ride_id, {even('p', 2)} AS price_multiplier, {even('base_fare * p', 2)} AS estimated_price, "
+    f"{CONFIDENCE} AS confidence FROM priced"
+)
+ONE_CARD = (
+    with_(*ONE_LINES)
+    + "SELECT model_name, CASE model_name WHEN 'linear_regression' THEN 'LinearRegression' ELSE 'Ridge' END AS model_type, "
+    f"'demand_supply_ratio' AS features, {r6('test_rmse', 'test_rmse')}, {r6('test_r2', 'test_r2')}, "
+    f"{r6('test_mae', 'test_mae')} FROM best_line"
+)
+
 # --- drift -----------------------------------------------------------------------
 
 COLUMNS = drift_features()
@@ -676,4 +763,16 @@ FROM (SELECT k FROM d ORDER BY h LIMIT 5000)
     + "SELECT w AS window_start, feature, x, v, n FROM bins WHERE w IN (SELECT w FROM closed)",
     "stm_drift": with_(EVENT_RIDES, TIMED, CLOSED, BINS, STREAM_BASE, STREAM_PAIRS, *generic_stats("w"))
     + f"SELECT w AS window_start, feature, test, {r6('score', 'score')}, score >= 0.1 AS drift_detected FROM scores",
+    "trn_ols_one": one_line("linear_regression"),
+    "trn_ridge_one": one_line("ridge_regression"),
+    "trn_forest_one": one_tree("RandomForest"),
+    "trn_gbt_one": one_tree("GradientBoosting"),
+    "trn_gbt_alt_one": one_tree("GradientBoostingFineBins"),
+    "trn_compare_one": with_(*ONE_LINES)
+    + "SELECT model_name, CASE model_name WHEN 'linear_regression' THEN 'LinearRegression' ELSE 'Ridge' END AS model_class, "
+    + ", ".join(r6(c, c) for c in ("train_rmse", "train_r2", "test_rmse", "test_r2", "test_mae"))
+    + " FROM comparison",
+    "trn_run_log_one": ONE_LOG,
+    "sco_model_one": ONE_SCORED,
+    "sco_model_card_one": ONE_CARD,
 }

@@ -13,9 +13,11 @@ from fareweave.functions.numeric import clip, lookup, round_half_even, truncate
 from fareweave.operators import drift as D
 from fareweave.operators import quality as Q
 from fareweave.operators import whatif as X
-from fareweave.operators.clean import column_modes, drop_columns, fit_imputer, null_counts
+from fareweave.operators.clean import Imputer, column_modes, drop_columns, fit_imputer, null_counts
 from fareweave.operators.counts import in_ranges
 from fareweave.operators.encode import (
+    OneHotEncoder,
+    StandardScaler,
     category_table,
     fit_one_hot,
     fit_scaler,
@@ -37,7 +39,7 @@ from fareweave.operators.split import exact_sample, exact_split, first_rows, has
 from fareweave.plans import monitoring as M
 from fareweave.plans.predictor import PricePredictor
 from fareweave.plans.prepare import FittedState, prepare
-from fareweave.plans.training import Trained, run_log, train_all
+from fareweave.plans.training import Trained, run_log, train_all, train_table
 from fareweave.schema import EVENTS, REQUEST, RIDES, as_text, select_by_class
 from fareweave.sources.events import event_columns, load_rides, read_events, stored_hourly
 from fareweave.sources.files import (
@@ -124,14 +126,19 @@ def raw_requests(rides: DataFrame) -> DataFrame:
     return rides.select(
         "ride_id",
         F.when(ride % 7 == 0, "25").otherwise(text("hour_of_day")).alias("hour_of_day"),
-        text("day_of_week").alias("day_of_week"),
+        F.when(ride % 29 == 0, "7").otherwise(text("day_of_week")).alias("day_of_week"),
         F.when(ride % 23 == 0, "maybe").otherwise(text("is_weekend")).alias("is_weekend"),
-        F.when(ride % 17 != 0, text("passenger_demand")).alias("passenger_demand"),
+        F.when(ride % 17 == 0, F.lit(None)).when(ride % 37 == 0, "-3").otherwise(text("passenger_demand")).alias(
+            "passenger_demand"
+        ),
         F.when(ride % 19 == 0, "18.5").otherwise(text("driver_availability")).alias("driver_availability"),
-        F.when(ride % 11 == 0, "hurricane").otherwise(F.col("weather_condition")).alias("weather_condition"),
-        text("temperature").alias("temperature"),
-        text("visibility_km").alias("visibility_km"),
-        F.when(ride % 13 == 0, "-5.0").otherwise(text("base_fare")).alias("base_fare"),
+        F.when(ride % 11 == 0, "hurricane")
+        .when(ride % 47 == 0, "clear\n")
+        .otherwise(F.col("weather_condition"))
+        .alias("weather_condition"),
+        F.when(ride % 43 == 0, "warm").otherwise(text("temperature")).alias("temperature"),
+        F.when(ride % 31 == 0, "-1").otherwise(text("visibility_km")).alias("visibility_km"),
+        F.when(ride % 13 == 0, "-5.0").when(ride % 41 == 0, "NaN").otherwise(text("base_fare")).alias("base_fare"),
     )
 
 
@@ -755,6 +762,89 @@ def _predictor(spark, folder) -> PricePredictor:
     return PricePredictor.load(spark, path)
 
 
+# With one feature, every learner has a closed form.
+ONE_LINEAR = [
+    {"name": "linear_regression", "kind": "LinearRegression", "params": {}},
+    {"name": "ridge_regression", "kind": "Ridge", "params": {"alpha": 50.0}},
+]
+ONE_TREE = {
+    "RandomForest": {"trees": 1, "max_depth": 1, "bootstrap": False},
+    "GradientBoosting": {"rounds": 1, "max_depth": 1, "row_share": 1.0, "column_share": 1.0},
+    "GradientBoostingFineBins": {"rounds": 1, "max_depth": 1, "row_share": 1.0, "column_share": 1.0},
+}
+
+
+def _one_feature(spark, folder, feature: str, experiments: list[dict]) -> Trained:
+    """Learners on one unscaled feature of the rides."""
+    rides = hash_split(add_features(load_rides(spark, folder)), "ride_id", config.TEST_SHARE, config.SEED)
+    columns = ["ride_id", "split", config.TARGET, F.col(feature).cast("double").alias(feature)]
+    return train_table(materialize(rides.select(*columns), "one-feature"), [feature], experiments)
+
+
+def _one_metrics(trained: Trained) -> DataFrame:
+    return rounded(trained.metrics, ["rmse", "mae", "r2"])
+
+
+def _one_linear(name: str) -> Query:
+    def run(spark, folder):
+        chosen = [e for e in ONE_LINEAR if e["name"] == name]
+        return _one_metrics(_one_feature(spark, folder, "demand_supply_ratio", chosen))
+
+    return run
+
+
+def _one_tree(kind: str) -> Query:
+    def run(spark, folder):
+        experiment = {"name": kind, "kind": kind, "params": ONE_TREE[kind]}
+        return _one_metrics(_one_feature(spark, folder, "is_weekend", [experiment]))
+
+    return run
+
+
+def trn_compare_one(spark, folder):
+    """The comparison of both linear learners, without times."""
+    trained = _one_feature(spark, folder, "demand_supply_ratio", ONE_LINEAR)
+    table_ = trained.comparison.drop("training_time_s")
+    return rounded(table_, [c for c in table_.columns if c.startswith(("train_", "test_"))])
+
+
+def trn_run_log_one(spark, folder):
+    """The log of both linear learners, without times."""
+    log = run_log(_one_feature(spark, folder, "demand_supply_ratio", ONE_LINEAR)).where("key <> 'training_time'")
+    number = F.when(F.col("kind") == "metric", r6(F.col("value").cast("double")))
+    text = F.when(F.col("kind") == "param", F.col("value"))
+    return log.select("model_name", "kind", "key", number.alias("number"), text.alias("text"))
+
+
+def _one_predictor(spark, folder) -> PricePredictor:
+    """The better linear learner, saved and read back."""
+    trained = _one_feature(spark, folder, "demand_supply_ratio", ONE_LINEAR)
+    state = FittedState(Imputer(), OneHotEncoder({}), StandardScaler({}, {}), ("demand_supply_ratio",))
+    record = trained.best().first().asDict()
+    metrics = {k: v for k, v in record.items() if k not in ("best_model", "training_time")}
+    path = scratch_path(spark, "predictor")
+    PricePredictor.of(trained.best_run(), state, metrics).save(spark, path)
+    return PricePredictor.load(spark, path)
+
+
+def sco_model_one(spark, folder):
+    scored, _ = _one_predictor(spark, folder).predict(load_requests(spark, folder))
+    return scored.select("ride_id", "price_multiplier", "estimated_price", "confidence")
+
+
+def sco_model_card_one(spark, folder):
+    card = _one_predictor(spark, folder).card(spark)
+    metrics = [r6(F.col("metrics")[m]).alias(m) for m in ("test_rmse", "test_r2", "test_mae")]
+    return card.select("model_name", "model_type", F.concat_ws(",", "features").alias("features"), *metrics)
+
+
+trn_ols_one = _one_linear("linear_regression")
+trn_ridge_one = _one_linear("ridge_regression")
+trn_forest_one = _one_tree("RandomForest")
+trn_gbt_one = _one_tree("GradientBoosting")
+trn_gbt_alt_one = _one_tree("GradientBoostingFineBins")
+
+
 def sco_model_card(spark, folder):
     return _predictor(spark, folder).card(spark)
 
@@ -945,6 +1035,15 @@ QUERIES |= {
     "wif_demand_moderate": _whatif(X.DEMAND_SPIKES["moderate"]),
     "wif_demand_severe": _whatif(X.DEMAND_SPIKES["severe"]),
     "wif_weather": _whatif(X.WEATHER_SHIFT),
+    "trn_ols_one": trn_ols_one,
+    "trn_ridge_one": trn_ridge_one,
+    "trn_forest_one": trn_forest_one,
+    "trn_gbt_one": trn_gbt_one,
+    "trn_gbt_alt_one": trn_gbt_alt_one,
+    "trn_compare_one": trn_compare_one,
+    "trn_run_log_one": trn_run_log_one,
+    "sco_model_one": sco_model_one,
+    "sco_model_card_one": sco_model_card_one,
     "trn_ols": _training("linear_regression"),
     "trn_ridge": _training("ridge_regression"),
     "trn_forest": _training("random_forest"),

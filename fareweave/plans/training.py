@@ -18,6 +18,8 @@ from fareweave.plans.prepare import Prepared
 from fareweave.storage import materialize
 
 VECTOR = "_features"
+# Memory for the histograms of one pass over the rows; more nodes of a level fit into fewer passes.
+TREE_MEMORY_MB = 1024
 
 
 def _linear(params: dict, train: DataFrame, target: str) -> LinearRegression:
@@ -43,7 +45,9 @@ def _forest(params: dict, train: DataFrame, target: str) -> RandomForestRegresso
         maxDepth=params.get("max_depth", 12),
         minInstancesPerNode=params.get("min_leaf", 5),
         featureSubsetStrategy="all",
+        bootstrap=params.get("bootstrap", True),
         maxBins=params.get("bins", 32),
+        maxMemoryInMB=params.get("memory_mb", TREE_MEMORY_MB),
         seed=params.get("seed", config.SEED),
     )
 
@@ -56,6 +60,8 @@ def _boosted(params: dict, train: DataFrame, target: str) -> GBTRegressor:
         subsamplingRate=params.get("row_share", 0.8),
         featureSubsetStrategy=str(params.get("column_share", 0.8)),
         maxBins=params.get("bins", 32),
+        maxMemoryInMB=params.get("memory_mb", TREE_MEMORY_MB),
+        checkpointInterval=params.get("checkpoint_every", 10),
         seed=params.get("seed", config.SEED),
     )
 
@@ -144,10 +150,16 @@ def train_all(
     The prepared table is written once: five learners read it many times, and it may
     be larger than the cluster's memory.
     """
-    experiments = config.EXPERIMENTS if experiments is None else experiments
     table = materialize(prepared.table, "prepared")
+    return train_table(table, list(prepared.state.features), experiments, target)
+
+
+def train_table(
+    table: DataFrame, features: list[str], experiments: list[dict] | None = None, target: str = config.TARGET
+) -> Trained:
+    """Train every experiment on the ``train`` rows of a stored table and compare them on both splits."""
+    experiments = config.EXPERIMENTS if experiments is None else experiments
     train = table.where(F.col("split") == "train")
-    features = list(prepared.state.features)
     runs = [
         train_model(e["name"], e["kind"], e["params"], train, features, target) for e in experiments
     ]
