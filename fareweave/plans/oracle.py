@@ -516,6 +516,31 @@ RIDE_COLUMNS = (
 )
 TO_R6 = {c: r6(c, c) for c in ["hour_sin", "hour_cos"]}
 
+# p-values by series. erf is a sum of positive terms; with few categories the chi-square
+# tails of two to four degrees of freedom are closed forms.
+ERF = (
+    "(1.1283791670955126::DOUBLE * exp(-(u * u)) * (SELECT sum(exp(2 * k * ln(2.0::DOUBLE) + (2 * k + 1) * ln(greatest(u, 1e-300)) "
+    "- lgamma(2.0::DOUBLE * k + 2) + lgamma(k + 1.0::DOUBLE))) FROM range(400) t(k)))"
+)
+P_VALUES = f"""tested AS (
+  SELECT *, CASE small_test WHEN 'ks' THEN ks WHEN 'chi_square' THEN chi_square ELSE coalesce(z, 0) END AS statistic,
+    sqrt(ref_rows * cur_rows / (ref_rows + cur_rows)) * ks AS lam,
+    CASE small_test WHEN 'z' THEN abs(coalesce(z, 0)) / sqrt(2.0::DOUBLE) ELSE sqrt(chi_square / 2) END AS u
+  FROM stats),
+tails AS (
+  SELECT *, CASE WHEN u > 6 THEN 0.0 ELSE 1.0 - {ERF} END AS erfc,
+    (SELECT sum((CASE WHEN k % 2 = 1 THEN 2.0 ELSE -2.0 END)::DOUBLE * exp(-2.0::DOUBLE * (k * lam) * (k * lam))) FROM range(1, 101) t(k)) AS ks_tail
+  FROM tested),
+p_values AS (
+  SELECT *, CASE small_test
+    WHEN 'ks' THEN CASE WHEN lam < 0.2 THEN 1.0 ELSE least(greatest(ks_tail, 0.0), 1.0) END
+    WHEN 'z' THEN erfc
+    ELSE CASE distinct_values
+      WHEN 3 THEN exp(-chi_square / 2)
+      WHEN 4 THEN erfc + sqrt(2 * chi_square / pi()) * exp(-chi_square / 2)
+      ELSE exp(-chi_square / 2) * (1 + chi_square / 2) END END AS p
+  FROM tails)"""
+
 ORACLES: dict[str, str] = {
     "src_rides": with_(*BASE) + RIDE_COLUMNS,
     "src_csv_roundtrip": with_(*BASE) + RIDE_COLUMNS,
@@ -714,6 +739,10 @@ FROM (SELECT k FROM d ORDER BY h LIMIT 5000)
         "CASE small_test WHEN 'ks' THEN ks WHEN 'chi_square' THEN chi_square ELSE coalesce(z, 0) END", "statistic"
     )
     + " FROM stats",
+    "drf_small_p": with_(*RIDE_DRIFT, SIZES, P_VALUES)
+    + f"SELECT CAST(position AS INTEGER) AS position, feature, small_test AS test, {r6('statistic', 'statistic')}, "
+    f"{r6('p', 'score')}, 0.05::DOUBLE AS threshold, p < 0.05 AS drift_detected, reference_rows, current_rows "
+    "FROM p_values JOIN positions USING (feature), sizes",
     "drf_summary": with_(*RIDE_DRIFT, SIZES, SUMMARY)
     + "SELECT reference_rows, current_rows, n > 0 AS dataset_drift, n AS n_drifted_features, "
     "names AS drifted_features FROM summary, sizes",

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from fareweave.operators.counts import long_values
 from fareweave.operators.drift import ROWS, DriftOptions, finite_columns, score_counts
 from fareweave.plans.monitoring import BASELINE, pair_with_baseline
+from fareweave.storage import materialize
 
 WINDOW_START = "window_start"
 
@@ -81,19 +82,23 @@ def start_drift(
     All bins of a window close in the same batch. A batch writes its own folder in
     overwrite mode, so repeating it changes nothing.
     """
-    ref = baseline.select(F.lit(BASELINE).alias("scenario"), "feature", "x", "v", "n")
+    # Written once: every batch reads the counts, none counts the baseline again.
+    stored = materialize(baseline.select("feature", "x", "v", "n"), "baseline-profile")
+    ref = stored.select(F.lit(BASELINE).alias("scenario"), "feature", "x", "v", "n")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.withColumn("scenario", F.col(WINDOW_START).cast("string")).persist()
-        windows = [r[0] for r in batch.select("scenario").distinct().collect()]
-        if windows:
-            current = batch.select("scenario", "feature", "x", "v", "n")
-            counts = pair_with_baseline(ref.unionByName(current), windows)
-            report = score_counts(counts, columns, options, ["scenario"])
-            report.withColumn(WINDOW_START, F.col("scenario").cast("timestamp")).drop(
-                "scenario"
-            ).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-        batch.unpersist()
+        try:
+            windows = [r[0] for r in batch.select("scenario").distinct().collect()]
+            if windows:
+                current = batch.select("scenario", "feature", "x", "v", "n")
+                counts = pair_with_baseline(ref.unionByName(current), windows)
+                report = score_counts(counts, columns, options, ["scenario"])
+                report.withColumn(WINDOW_START, F.col("scenario").cast("timestamp")).drop(
+                    "scenario"
+                ).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     return (
         profile.writeStream.outputMode("append")
