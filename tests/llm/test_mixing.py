@@ -57,9 +57,8 @@ def test_targets_and_samples(spark):
 def test_inclusion_follows_the_chance(spark):
     docs = spark.createDataFrame([(i, "w", "a") for i in range(4000)] + [(i, "w w", "b") for i in range(4000, 6000)], SCHEMA)
     rows = M.mix_sizes(docs, spark.createDataFrame([("a", 1.0), ("b", 3.0)], "source string, weight double"), share=0.8)
-    by = {r["source_size"]: r for r in rows.selectExpr("*", "doc_id < 4000 as a").groupBy("a").agg(
-        {"source_size": "max", "taken": "sum"}).withColumnRenamed("max(source_size)", "source_size").collect()}
-    assert sum(r["sum(taken)"] for r in by.values()) == 6400
+    got = rows.selectExpr("doc_id < 4000 AS a", "taken", "target").groupBy("a").agg({"taken": "sum", "target": "max"}).collect()
+    assert {r["a"]: (r["sum(taken)"], r["max(target)"]) for r in got} == {True: (1600, 1600.0), False: (4800, 4800.0)}
 
 
 def test_documents_of_a_mix(spark, tmp_path):
