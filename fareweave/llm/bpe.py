@@ -20,10 +20,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fareweave.llm import duck
-from fareweave.llm.words import PieceCache, join_ids, piece_lists, split_texts
+from fareweave.llm.words import PieceCache, free_memory, join_ids, piece_lists, split_texts
 
 LONG_PIECE = 64  # bytes
-ROWS_AT_ONCE = 400_000  # bytes of pieces, or tokens of texts, in one query
+ROWS_AT_ONCE = 250_000  # bytes of pieces, or tokens of texts, in one query
 
 # One contraction for each piece and step. A row knows its right neighbour; of a piece's
 # pairs, one number orders rank, place and the neighbour's place (both below 256).
@@ -137,6 +137,13 @@ class RankTokenizer:
         offsets, ids = lists.offsets.to_numpy(), lists.values.to_numpy().astype(np.int32)
         return [ids[a:b].tobytes() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
 
+    def forget(self) -> None:
+        """End of a task: drop the cache and the database."""
+        self.cache.known.clear()
+        if "con" in self.__dict__:
+            self.__dict__.pop("con").close()
+        free_memory()
+
     def encode_pieces(self, texts: list[str]) -> list[bytes]:
         """The ids of each piece, as 32-bit integers."""
         words = [t.encode() for t in texts]
@@ -199,16 +206,19 @@ def _run(docs: DataFrame, path: str, pattern: str, id_col: str, text_col: str, d
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = tokenizer(path, pattern)
-        for batch in batches:
-            for first, end, lists in piece_lists(batch, coder.pattern.findall):
-                offsets, ids = join_ids(lists, coder.cache, np.int32)
-                columns = [
-                    batch.column("id").slice(first, end - first),
-                    pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32())),
-                ]
-                if decoded:
-                    columns.append(pa.array(coder.decode(offsets, ids), pa.binary()))
-                yield pa.RecordBatch.from_arrays(columns, ["id", "ids", "decoded"][: len(columns)])
+        try:
+            for batch in batches:
+                for first, end, lists in piece_lists(batch, coder.pattern.findall):
+                    offsets, ids = join_ids(lists, coder.cache, np.int32)
+                    columns = [
+                        batch.column("id").slice(first, end - first),
+                        pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32())),
+                    ]
+                    if decoded:
+                        columns.append(pa.array(coder.decode(offsets, ids), pa.binary()))
+                    yield pa.RecordBatch.from_arrays(columns, ["id", "ids", "decoded"][: len(columns)])
+        finally:
+            coder.forget()
 
     schema = f"id {kind}, ids array<int>" + ", decoded binary" * decoded
     return split.mapInArrow(compute, schema).withColumnRenamed("id", id_col)
@@ -240,13 +250,16 @@ def decode(encoded: DataFrame, path: str, pattern: str, ids_col: str = "ids") ->
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = tokenizer(path, pattern)
         at = columns.index(ids_col)
-        for batch in batches:
-            lists = batch.column(at)
-            sizes = lists.value_lengths().fill_null(0).to_numpy()
-            offsets = np.concatenate([[0], np.cumsum(sizes)])
-            ids = lists.flatten().to_numpy(zero_copy_only=False)
-            decoded = pa.array(coder.decode(offsets, ids), pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, decoded], [*names, "decoded"])
+        try:
+            for batch in batches:
+                lists = batch.column(at)
+                sizes = lists.value_lengths().fill_null(0).to_numpy()
+                offsets = np.concatenate([[0], np.cumsum(sizes)])
+                ids = lists.flatten().to_numpy(zero_copy_only=False)
+                decoded = pa.array(coder.decode(offsets, ids), pa.binary())
+                yield pa.RecordBatch.from_arrays([*batch.columns, decoded], [*names, "decoded"])
+        finally:
+            coder.forget()
 
     fields = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, schema.fields, strict=True))
     out = encoded.select(*[F.col(c).alias(n) for c, n in zip(columns, names, strict=True)])

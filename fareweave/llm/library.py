@@ -10,7 +10,7 @@ import numpy as np
 import regex
 from tokenizers import Tokenizer
 
-from fareweave.llm.words import BYTE_LEVEL, PieceCache
+from fareweave.llm.words import BYTE_LEVEL, PieceCache, free_memory
 
 WHOLE = r"(?s).+"
 
@@ -59,6 +59,11 @@ class LibraryTokenizer:
             at = found.end()
         return out + self.pattern.findall(text, at)
 
+    def forget(self) -> None:
+        """End of a task: drop the cache."""
+        self.cache.known.clear()
+        free_memory()
+
     def encode_pieces(self, pieces: list[str]) -> list[bytes]:
         out: list[bytes] = []
         for i in range(0, len(pieces), 20_000):

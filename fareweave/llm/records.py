@@ -125,15 +125,18 @@ def write_records(
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = library_tokenizer(path)
         end = np.array([end_id], coder.dtype)
-        for batch in batches:
-            for first, _, lists in piece_lists(batch, coder.split):
-                offsets, ids = join_ids(lists, coder.cache, coder.dtype)
-                names = batch.column("id").slice(first, len(lists)).to_pylist()
-                frames = [
-                    frame(name, np.concatenate([ids[a:b], end]))
-                    for name, a, b in zip(names, offsets[:-1], offsets[1:], strict=True)
-                ]
-                yield pa.RecordBatch.from_arrays([pa.array(frames, pa.binary())], ["frame"])
+        try:
+            for batch in batches:
+                for first, _, lists in piece_lists(batch, coder.split):
+                    offsets, ids = join_ids(lists, coder.cache, coder.dtype)
+                    names = batch.column("id").slice(first, len(lists)).to_pylist()
+                    frames = [
+                        frame(name, np.concatenate([ids[a:b], end]))
+                        for name, a, b in zip(names, offsets[:-1], offsets[1:], strict=True)
+                    ]
+                    yield pa.RecordBatch.from_arrays([pa.array(frames, pa.binary())], ["frame"])
+        finally:
+            coder.forget()
 
     frames = split_texts(ordered, "id", "text", pattern, special).mapInArrow(compute, "frame binary")
     # The cast hands the bytes on as they are.

@@ -183,7 +183,9 @@ def fingerprint_links(prints: DataFrame, radius: int = 4) -> DataFrame:
     own, so no task holds more than a few blocks and no pair is left out.
     """
     masks = [m - (1 << 64) if m >> 63 else m for m in covering_masks(radius)]
-    keyed = prints.select(
+    # A fingerprint becomes a row for each mask: narrow rows are dealt out first.
+    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = prints.repartition(tasks).select(
         F.col("fingerprint").alias("print"),
         F.posexplode(F.array(*[F.col("fingerprint").bitwiseAND(F.lit(m)) for m in masks])).alias("mask", "key"),
     )

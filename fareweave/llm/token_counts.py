@@ -21,9 +21,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fareweave.llm.library import settings
-from fareweave.llm.words import BYTE_LEVEL, PieceCache, coded_pieces, piece_lists, split_texts
+from fareweave.llm.words import BYTE_LEVEL, PieceCache, coded_pieces, free_memory, piece_lists, split_texts
 
 NEVER = 1 << 62
+CACHED_PAIRS = 400_000
 SPACE = regex.compile(r"\s+")
 SPLIT_CLITICS = ("'re", "'ve", "'ll")  # fixed values: what the pattern takes as one piece of three characters
 
@@ -113,7 +114,7 @@ class PrefixCounter:
         key = last << 32 | token
         known = self.fits.get(key)
         if known is None:
-            if len(self.fits) > 2_000_000:
+            if len(self.fits) > CACHED_PAIRS:
                 self.fits.clear()
             known = self.fits[key] = self._is_whole(token) and self._border_holds(last, token)
         return known
@@ -266,15 +267,19 @@ def count_tokens(
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = counter(path)
-        for batch in batches:
-            for first, end, lists in piece_lists(batch, coder.split):
-                totals, within = _within(coder, lists, budget)
-                columns = [batch.column(c).slice(first, end - first) for c in ("id", "n_bytes")]
-                columns += [pa.array(totals, pa.int64()), pa.array(within, pa.int64())]
-                if store:
-                    texts = ("".join(pieces) for pieces in lists.to_pylist())
-                    columns.append(pa.array([coder.prefix_counts(t) for t in texts], pa.list_(pa.int64())))
-                yield pa.RecordBatch.from_arrays(columns, names)
+        try:
+            for batch in batches:
+                for first, end, lists in piece_lists(batch, coder.split):
+                    totals, within = _within(coder, lists, budget)
+                    columns = [batch.column(c).slice(first, end - first) for c in ("id", "n_bytes")]
+                    columns += [pa.array(totals, pa.int64()), pa.array(within, pa.int64())]
+                    if store:
+                        texts = ("".join(pieces) for pieces in lists.to_pylist())
+                        columns.append(pa.array([coder.prefix_counts(t) for t in texts], pa.list_(pa.int64())))
+                    yield pa.RecordBatch.from_arrays(columns, names)
+        finally:
+            coder.cache.known.clear()
+            free_memory()
 
     names = ["id", "n_bytes", "n_tokens", "within_chars", *["prefix_counts"] * store]
     schema = f"id {kind}, n_bytes long, n_tokens long, within_chars long" + ", prefix_counts array<long>" * store

@@ -21,6 +21,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fareweave.llm.words import free_memory
 from fareweave.storage import materialize
 
 MAX_TRAINING_ROWS = 20_000  # labelled rows that a model is fitted on, chosen by a hash of the id
@@ -101,6 +102,11 @@ class Lexicon:
         self.words: dict[str, tuple[int, int] | None] = {}
         self.start = self._state({0: 0}, None)
 
+    def forget(self) -> None:
+        """End of a task: drop the states and words met in it."""
+        self._reset()
+        free_memory()
+
     def _state(self, places: dict[int, int], best: tuple[int, int] | None) -> int:
         """The number of a state: places (node, least edits), closed under letters that the word lacks."""
         todo = list(places.items())
@@ -148,7 +154,7 @@ class Lexicon:
         """(edits, term) of the nearest term that the word is or begins with; None without one."""
         if word in self.words:
             return self.words[word]
-        if len(self.told) > 50_000 or len(self.words) > 300_000:
+        if len(self.told) > 50_000 or len(self.words) > 150_000:
             self._reset()
         state, moves = self.start, self.moves
         for letter in word:
@@ -401,18 +407,24 @@ def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_co
     )
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            scores, spans = [], []
-            for text in batch.column("text"):
-                hits, n_words = find_hits(text.as_py() or "", model.lexicon)
-                scores.append(model.score(features_of(hits, n_words)))
-                spans.append(
-                    [{"begin": h.begin, "end": h.end, "term": h.term, "edits": h.edits, "quoted": h.quoted} for h in hits]
+        try:
+            for batch in batches:
+                scores, spans = [], []
+                for text in batch.column("text"):
+                    hits, n_words = find_hits(text.as_py() or "", model.lexicon)
+                    scores.append(model.score(features_of(hits, n_words)))
+                    spans.append(
+                        [
+                            {"begin": h.begin, "end": h.end, "term": h.term, "edits": h.edits, "quoted": h.quoted}
+                            for h in hits
+                        ]
+                    )
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id"), pa.array(scores, pa.float64()), pa.array(spans, pa.list_(hit))],
+                    ["id", "score", "hits"],
                 )
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(scores, pa.float64()), pa.array(spans, pa.list_(hit))],
-                ["id", "score", "hits"],
-            )
+        finally:
+            model.lexicon.forget()
 
     schema = (
         f"id {kind}, score double, hits array<struct<begin:int,end:int,term:string,edits:int,quoted:boolean>>"
@@ -430,11 +442,15 @@ def keep_clean(
     at = docs.columns.index(text_col)
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            clean = [
-                model.score(features_of(*find_hits(t.as_py() or "", model.lexicon))) < limit for t in batch.column(at)
-            ]
-            yield batch.filter(pa.array(clean, pa.bool_()))
+        try:
+            for batch in batches:
+                clean = [
+                    model.score(features_of(*find_hits(t.as_py() or "", model.lexicon))) < limit
+                    for t in batch.column(at)
+                ]
+                yield batch.filter(pa.array(clean, pa.bool_()))
+        finally:
+            model.lexicon.forget()
 
     given = docs.select(*[F.col(c).alias(n) for c, n in zip(docs.columns, names, strict=True)])
     schema = ", ".join(f"{n} {types[c]}" for c, n in zip(docs.columns, names, strict=True))

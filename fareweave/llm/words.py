@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 12_000_000  # of pieces handled at once
-CACHED_PIECES = 300_000  # a worker forgets what it knows about pieces beyond this
+CACHED_PIECES = 200_000  # a task forgets what it knows about pieces beyond this
 
 
 # The byte-level pattern for Spark's engine: the same matches, but a run of one kind is never given back.
@@ -76,6 +77,12 @@ class PieceCache:
         return [known[w] for w in wanted]
 
 
+def free_memory() -> None:
+    """Hand back what a task has used: workers live on, and the next stage needs the room."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 def coded_pieces(lists: pa.ListArray, cache: PieceCache) -> tuple[np.ndarray, list[str], list, np.ndarray]:
     """Where each list begins and ends, the distinct pieces, what the cache knows of them, and all pieces by number."""
     coded = lists.flatten().dictionary_encode()
