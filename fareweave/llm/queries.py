@@ -7,7 +7,6 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import functions as F
 
 from fareweave.llm import (
     bpe,
