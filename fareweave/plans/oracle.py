@@ -805,3 +805,14 @@ FROM (SELECT k FROM d ORDER BY h LIMIT 5000)
     "sco_model_one": ONE_SCORED,
     "sco_model_card_one": ONE_CARD,
 }
+ORACLES |= {
+    "src_baseline": with_(*BASE, FEATURES)
+    + "SELECT ride_id, passenger_demand, demand_supply_ratio, is_rush_hour, is_night FROM features "
+    f"WHERE {split('ride_id')} = 'train'",
+    # What is read back is what was written.
+    "snk_comparison": ORACLES["eva_compare"],
+    "snk_best": ORACLES["eva_best"],
+    "snk_drift_history": "SELECT run_date, s.* FROM (VALUES ('2024-02-01'), ('2024-02-02')) AS d(run_date), "
+    f"({ORACLES['drf_summary']}) AS s",
+    "snk_scenarios": ORACLES["wif_summary"],
+}

@@ -43,12 +43,18 @@ from fareweave.plans.training import Trained, run_log, train_all, train_table
 from fareweave.schema import EVENTS, REQUEST, RIDES, as_text, select_by_class
 from fareweave.sources.events import event_columns, load_rides, read_events, stored_hourly
 from fareweave.sources.files import (
+    append_drift_history,
     document_score,
     label_score,
     parse_requests,
+    read_baseline,
+    read_drift_history,
     read_rides,
+    read_scenarios,
     read_table,
     to_documents,
+    write_best_metrics,
+    write_scenarios,
     write_table,
 )
 from fareweave.storage import materialize, scratch_path
@@ -703,6 +709,50 @@ def drf_lineitem(spark, folder):
     return rounded(report, ["statistic", "score"])
 
 
+# --- results written and read back ---------------------------------------------------
+
+
+def src_baseline(spark, folder):
+    """The monitoring baseline of the training rows."""
+    rides = hash_split(load_rides(spark, folder), "ride_id", config.TEST_SHARE, config.SEED)
+    path = scratch_path(spark, "baseline")
+    write_table(add_features(rides.where("split = 'train'")), path)
+    names = ["ride_id", "passenger_demand", "demand_supply_ratio", "is_rush_hour", "is_night"]
+    return read_baseline(spark, path).select(*names)
+
+
+def snk_comparison(spark, folder):
+    path = scratch_path(spark, "comparison")
+    table_ = compare_models(scorer_metrics(spark, folder))
+    write_table(table_, path, "csv")
+    back = read_table(spark, path, table_.schema, "csv")
+    return rounded(back, [c for c in back.columns if c != "model_name"])
+
+
+def snk_best(spark, folder):
+    path = scratch_path(spark, "best")
+    write_best_metrics(best_model(compare_models(scorer_metrics(spark, folder))), path)
+    schema = "best_model string, test_rmse double, test_r2 double, test_mae double"
+    return rounded(spark.read.schema(schema).json(path), ["test_rmse", "test_r2", "test_mae"])
+
+
+def snk_drift_history(spark, folder):
+    """Two runs of two days in one history."""
+    path = scratch_path(spark, "history")
+    summary = D.summarize(_report(spark, folder))
+    for run_time in ("2024-02-01 10:00:00", "2024-02-02 10:00:00"):
+        append_drift_history(D.stamp(summary, run_time), path)
+    history = read_drift_history(spark, path)
+    return _flat_summary(history.withColumn("run_date", F.col("run_date").cast("string")), ["run_date"])
+
+
+def snk_scenarios(spark, folder):
+    """The combined results of a simulation."""
+    path = scratch_path(spark, "scenarios")
+    write_scenarios(M.run_simulation(load_rides(spark, folder), options=D.DriftOptions(route="large")), path)
+    return _flat_summary(read_scenarios(spark, path), ["scenario"])
+
+
 # --- what-if -----------------------------------------------------------------------
 
 
@@ -1022,6 +1072,11 @@ QUERIES: dict[str, Query] = {
         drf_document,
         drf_sample,
         drf_lineitem,
+        src_baseline,
+        snk_comparison,
+        snk_best,
+        snk_drift_history,
+        snk_scenarios,
         wif_compare,
         wif_summary,
         wif_errors,

@@ -121,6 +121,25 @@ DRIFT_DOCUMENT = T.StructType(
 )
 
 
+# One scenario of a simulation: its drift document without the run time, or its error.
+SCENARIO_DOCUMENT = T.StructType(
+    [
+        T.StructField("scenario", T.StringType()),
+        *[f for f in DRIFT_DOCUMENT.fields if f.name != "run_time"],
+        T.StructField("error", T.StringType()),
+    ]
+)
+
+
+def write_scenarios(summary: DataFrame, path: str) -> None:
+    """The combined results of a simulation, one JSON document per scenario."""
+    summary.write.mode("overwrite").json(path)
+
+
+def read_scenarios(spark: SparkSession, path: str) -> DataFrame:
+    return read_table(spark, path, SCENARIO_DOCUMENT, "json")
+
+
 def to_documents(df: DataFrame, alias: str = "document") -> DataFrame:
     """Each row as one JSON document."""
     return df.select(F.to_json(F.struct(*df.columns)).alias(alias))
