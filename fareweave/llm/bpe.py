@@ -23,7 +23,7 @@ from fareweave.llm import duck
 from fareweave.llm.words import PieceCache, free_memory, join_ids, piece_lists, split_texts
 
 LONG_PIECE = 64  # bytes
-ROWS_AT_ONCE = 250_000  # bytes of pieces, or tokens of texts, in one query
+ROWS_AT_ONCE = 120_000  # bytes of pieces, or tokens of texts, in one query
 
 # One contraction for each piece and step. A row knows its right neighbour; of a piece's
 # pairs, one number orders rank, place and the neighbour's place (both below 256).
@@ -171,6 +171,7 @@ class RankTokenizer:
         while first < len(out):
             end = max(first + 1, int(np.searchsorted(offsets, offsets[first] + ROWS_AT_ONCE, side="right")) - 1)
             part = ids[offsets[first] : offsets[end]]
+            places = np.arange(len(part), dtype=np.int32)
             doc = np.repeat(np.arange(first, end, dtype=np.int32), np.diff(offsets[first : end + 1]))
             if len(part) and (part.min() < 0 or not np.isin(np.unique(part), list(self.ranks.values())).all()):
                 raise ValueError("an id is not in the vocabulary")
@@ -179,7 +180,7 @@ class RankTokenizer:
                 tokens = pa.table(
                     {
                         "doc": doc[a : a + ROWS_AT_ONCE],
-                        "pos": np.arange(len(part), dtype=np.int32)[a : a + ROWS_AT_ONCE],
+                        "pos": places[a : a + ROWS_AT_ONCE],
                         "id": part[a : a + ROWS_AT_ONCE].astype(np.int32),
                     }
                 )

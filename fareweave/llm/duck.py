@@ -6,7 +6,7 @@ import duckdb
 import pyarrow as pa
 
 
-def connect(memory: str = "250MB") -> duckdb.DuckDBPyConnection:
+def connect(memory: str = "200MB") -> duckdb.DuckDBPyConnection:
     """One thread, a memory limit, and nothing written to the machine's disk."""
     con = duckdb.connect(config={"threads": 1, "memory_limit": memory})
     con.execute("SET preserve_insertion_order = false")

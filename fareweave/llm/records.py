@@ -16,7 +16,6 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from fareweave.llm.library import library_tokenizer, settings
-from fareweave.llm.words import join_ids, piece_lists, split_texts
+from fareweave.llm.words import join_ids, piece_lists, small_batches, split_texts
 
 FILE_TEXT = 32_000_000  # bytes of text whose ids share a file
 FILES_AT_ONCE = 1024  # files whose totals one task adds up
@@ -38,18 +37,6 @@ class BadRecord(ValueError):
     """A frame that does not match its lengths or checksums."""
 
 
-@contextmanager
-def small_batches(spark: SparkSession, rows: int = 2000) -> Iterator[None]:
-    """Texts go to Python so many at a time, in what is run within."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def masked(data: bytes) -> int:
     """The masked checksum: CRC-32 rotated right by 15 bits, plus a constant."""
     crc = zlib.crc32(data)

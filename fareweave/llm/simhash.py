@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fareweave.llm.components import connected_components
+from fareweave.llm.words import small_batches
 from fareweave.storage import materialize
 
 BITS = 64
@@ -223,7 +224,8 @@ def near_duplicates(
     empty texts see ``fingerprints``: they link with each other. Other columns of
     ``docs`` are not looked at. An empty table gives an empty table.
     """
-    rows = materialize(fingerprints(docs, id_col, text_col, shingle, seed), "fingerprints")
+    with small_batches(docs.sparkSession):
+        rows = materialize(fingerprints(docs, id_col, text_col, shingle, seed), "fingerprints")
     prints = materialize(rows.groupBy("fingerprint").agg(F.min(id_col).alias("least_id")), "distinct-fingerprints")
     links = fingerprint_links(prints.select("fingerprint"), radius)
     members = connected_components(links).select(F.col("node").alias("fingerprint"), "component")

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import gc
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 12_000_000  # of pieces handled at once
-CACHED_PIECES = 200_000  # a task forgets what it knows about pieces beyond this
+SLICE_BYTES = 6_000_000  # of pieces handled at once
+CACHED_PIECES = 150_000  # a task forgets what it knows about pieces beyond this
 
 
 # The byte-level pattern for Spark's engine: the same matches, but a run of one kind is never given back.
@@ -77,6 +78,18 @@ class PieceCache:
         return [known[w] for w in wanted]
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Rows go to Python so many at a time, in what is run within; long texts then need little room."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def free_memory() -> None:
     """Hand back what a task has used: workers live on, and the next stage needs the room."""
     gc.collect()
