@@ -10,13 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareweave.llm import bpe, exact_dedup, mixing, simhash, toxicity
+from fareweave.llm.words import small_batches
 from fareweave.storage import materialize
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score 0.3 or more for toxicity go; the model learns from the labels that are not held out."""
     model = toxicity.train(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.keep_clean(docs, model, limit=0.3)
+    with small_batches(spark):
+        return materialize(toxicity.keep_clean(docs, model, limit=0.3), "clean")
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,13 +41,15 @@ def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     keyed = docs.select(F.struct("doc_id", "source").alias("key"), "text")
     coded = bpe.encode_decode(keyed, path, public_tokenizers.PATTERN, id_col="key")
-    return coded.select(
+    tokens = coded.select(
         "key.doc_id",
         "key.source",
         "ids",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+    with small_batches(spark):
+        return materialize(tokens, "tokens")
 
 
 STAGES = [
