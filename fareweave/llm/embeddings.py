@@ -2,14 +2,19 @@
 
 Equal vectors are counted as one. The distinct ones are dealt to shards; each shard
 builds a graph of its vectors, and the vectors of every shard query every shard's graph
-(of two shards, those of the second query the first). In each such task a sample of the
-queries is compared with all vectors of the graph: beams are doubled until the graph
-finds the wanted share of their links. Each link is verified by its cosine in double
+(of two shards, those of the second query the first). In each such task queries are
+compared with all vectors of the graph until enough of them have links to other vectors:
+beams are doubled until the graph finds the wanted share of the links of a query, on
+average over the queries of small groups and over those of large ones. Each link is verified by its cosine in double
 precision; components are the union of all links.
 """
 
 from __future__ import annotations
 
+import logging
+from collections.abc import Iterator
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -22,10 +27,14 @@ from fareweave.storage import materialize
 SHARD_ROWS = 50_000  # vectors of a graph, at most about
 LEAST_SHARDS = 6  # a small table still keeps several tasks busy
 FIRST_BEAM = 48
-AUDITED = 64  # queries of a task that are compared with all vectors
+AUDITED = 64  # queries with links that a task compares with all vectors, of each side and kind of group
+SMALL_GROUP = 16  # links of a query that counts as one of a small group, at most
+BLOCK = 1024  # queries whose links are held at once
 WANTED_RECALL = 0.99
 SLACK = 1e-5  # what single precision may hide of a cosine
 
+LOG = logging.getLogger(__name__)
+
 
 def usable(vector: Column) -> Column:
     """Whether a vector can be compared: not null, without null or non-finite components, and not zero."""
@@ -73,7 +82,17 @@ def _build(table: pa.Table) -> pa.Table:
 BUILT = "width int, shard int, entry int, nodes binary, copies binary, unit binary, levels binary, links binary, widths binary"
 
 
-def _load(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, Graph]:
+FOUND = {"a": pa.int64(), "b": pa.int64(), "n": pa.int64(), "small": pa.bool_(), "recall": pa.float64()}
+
+
+class Shard(NamedTuple):
+    nodes: np.ndarray
+    copies: np.ndarray
+    unit: np.ndarray
+    graph: Graph
+
+
+def _load(row: dict) -> Shard:
     nodes = np.frombuffer(row["nodes"], np.int64)
     unit = np.frombuffer(row["unit"], np.float64).reshape(len(nodes), -1)
     flat, links, at = np.frombuffer(row["links"], np.int32), [], 0
@@ -82,7 +101,7 @@ def _load(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, Graph]:
         at += len(nodes) * width
     levels = np.frombuffer(row["levels"], np.int64)
     graph = Graph(unit.astype(np.float32), levels, links, row["entry"])
-    return nodes, np.frombuffer(row["copies"], np.int64), unit, graph
+    return Shard(nodes, np.frombuffer(row["copies"], np.int64), unit, graph)
 
 
 def _forest(a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
@@ -99,54 +118,104 @@ def _forest(a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
             return least
 
 
+def _pairs(low: Shard, high: Shard, one: bool, least: float, beam: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(vectors of high, vectors of low) that the graph of low finds, by blocks; within a shard, the later vector first."""
+    queries = high.graph.vectors
+    for first in range(0, len(queries), BLOCK):
+        q, v = low.graph.search_above(queries[first : first + BLOCK], least, beam)
+        q = q + first
+        if one:  # a pair within a shard counts when its later vector finds it
+            q, v = q[v < q], v[v < q]
+        yield q, v
+
+
+def _audited(asking: Shard, asked: Shard, threshold: float, seed: int) -> tuple[list, list]:
+    """(query, its true links) of queries that have links to other vectors: of small groups, and of large ones.
+
+    Queries are drawn until AUDITED of small groups are found; all are compared if there are fewer.
+    """
+    small, large = [], []
+    queries, vectors = asking.graph.vectors, asked.graph.vectors
+    order = np.random.default_rng(seed).permutation(len(queries))
+    for first in range(0, len(order), 256):
+        at = order[first : first + 256]
+        near = queries[at] @ vectors.T >= np.float32(threshold - SLACK)
+        if asking is asked:
+            near[np.arange(len(at)), at] = False
+        for row in np.flatnonzero(near.any(axis=1)):
+            links = np.flatnonzero(near[row])
+            kind = small if len(links) <= SMALL_GROUP else large
+            if len(kind) < AUDITED:
+                links = links[asked.unit[links] @ asking.unit[at[row]] >= threshold]
+                kind += [(int(at[row]), links)] if len(links) else []
+        if len(small) >= AUDITED:
+            break
+    return small, large
+
+
+def _recalls(audited: list, asking: Shard, asked: Shard, least: float, beam: int) -> np.ndarray:
+    """For each audited query, the share of its true links that its search finds."""
+    at = np.array([q for q, _ in audited], dtype=np.int64)
+    sizes = np.array([len(links) for _, links in audited], dtype=np.int64)
+    row, true = np.repeat(np.arange(len(at)), sizes), np.concatenate([np.zeros(0, np.int64), *[x for _, x in audited]])
+    n = len(asked.nodes)
+    hit = np.zeros(len(row), dtype=bool)
+    for first in range(0, len(at), 64):
+        q, v = asked.graph.search_above(asking.graph.vectors[at[first : first + 64]], least, beam)
+        hit |= np.isin(row * n + true, (q + first) * n + v)
+    return np.bincount(row, hit, minlength=len(at)) / np.maximum(sizes, 1)
+
+
 def _search(threshold: float, wanted: float):
     def search(key: tuple, table: pa.Table) -> pa.Table:
-        """The links between two shards, or within one: counts by node, and a forest that connects what the links connect."""
-        empty = pa.table({n: pa.array([], pa.int64()) for n in ("a", "b", "n")})
+        """The links between two shards, or within one: counts by node, and a forest that connects what the links connect.
+
+        A row with ``recall`` is what the audit found of one kind of group: ``small`` or not, audited queries in ``n``.
+        """
         rows = sorted(table.to_pylist(), key=lambda r: r["shard"])
         one = key[1].as_py() == key[2].as_py()
         if len(rows) < 2 and not one:
-            return empty
-        nodes, copies, unit, graph = _load(rows[0])
-        q_nodes, q_copies, q_unit = (nodes, copies, unit) if one else _load(rows[1])[:3]
-        queries = q_unit.astype(np.float32)
+            return pa.table({n: pa.array([], t) for n, t in FOUND.items()})
+        low = _load(rows[0])
+        high = low if one else _load(rows[1])
         least = np.float32(threshold - SLACK)
-        rng = np.random.default_rng(len(q_nodes))
-        audited = np.sort(rng.permutation(len(queries))[:AUDITED])
-        truth = queries[audited] @ graph.vectors.T >= least
+        sides = [(high, low)]
+        audits = [_audited(asking, asked, threshold, len(asking.nodes)) for asking, asked in sides]
         beam = FIRST_BEAM
-        while beam < len(nodes):
-            q, v = graph.search_above(queries[audited], least, beam)
-            if len(q) >= wanted * truth.sum():
+        while True:
+            recalls = [
+                np.concatenate([_recalls(a[kind], *side, least, beam) for a, side in zip(audits, sides, strict=True)])
+                for kind in (0, 1)
+            ]
+            if beam >= max(len(low.nodes), len(high.nodes)) or all(not len(r) or r.mean() >= wanted for r in recalls):
                 break
             beam *= 2
-        own, other = np.zeros(len(q_nodes), np.int64), np.zeros(len(nodes), np.int64)
-        total = len(nodes) + (0 if one else len(q_nodes))
-        shift = 0 if one else len(nodes)
+        own, other = np.zeros(len(high.nodes), np.int64), np.zeros(len(low.nodes), np.int64)
+        total = len(low.nodes) + (0 if one else len(high.nodes))
+        shift = 0 if one else len(low.nodes)
         root = np.arange(total)
-        block = 2048
-        for first in range(0, len(queries), block):
-            q, v = graph.search_above(queries[first : first + block], least, beam)
-            q = q + first
-            if one:  # a pair within a shard counts when its later vector finds it
-                q, v = q[v < q], v[v < q]
+        # Without an audited query, all were compared with all, and none has a link.
+        for q, v in _pairs(low, high, one, least, beam) if any(map(len, recalls)) else ():
             for at in range(0, len(q), 1_000_000):
                 a, b = q[at : at + 1_000_000], v[at : at + 1_000_000]
-                close = np.einsum("ij,ij->i", q_unit[a], unit[b]) >= threshold
+                close = np.einsum("ij,ij->i", high.unit[a], low.unit[b]) >= threshold
                 a, b = a[close], b[close]
-                np.add.at(own, a, copies[b])
-                np.add.at(other, b, q_copies[a])
+                np.add.at(own, a, low.copies[b])
+                np.add.at(other, b, high.copies[a])
                 root = _forest(np.concatenate([a + shift, np.arange(total)]), np.concatenate([b, root]), total)
-        names = nodes if one else np.concatenate([nodes, q_nodes])
+        names = low.nodes if one else np.concatenate([low.nodes, high.nodes])
         counts = own + other if one else np.concatenate([other, own])
         linked, moved = np.flatnonzero(counts), np.flatnonzero(root != np.arange(total))
-        return pa.table(
-            {
-                "a": np.concatenate([names[linked], names[moved]]),
-                "b": pa.array([*[None] * len(linked), *names[root[moved]].tolist()], pa.int64()),
-                "n": np.concatenate([counts[linked], np.zeros(len(moved), np.int64)]),
-            }
-        )
+        told = [(kind == 0, r) for kind, r in enumerate(recalls) if len(r)]
+        plain = len(linked) + len(moved)
+        columns = {
+            "a": [*names[linked].tolist(), *names[moved].tolist(), *[None] * len(told)],
+            "b": [*[None] * len(linked), *names[root[moved]].tolist(), *[None] * len(told)],
+            "n": [*counts[linked].tolist(), *[0] * len(moved), *[len(r) for _, r in told]],
+            "small": [*[None] * plain, *[small for small, _ in told]],
+            "recall": [*[None] * plain, *[float(r.mean()) for _, r in told]],
+        }
+        return pa.table({n: pa.array(columns[n], t) for n, t in FOUND.items()})
 
     return search
 
@@ -170,6 +239,7 @@ def near_vectors(
     Other columns are not looked at. An empty table gives an empty table.
 
     The number of shards follows the number of distinct vectors, ``shard_rows`` to a shard.
+    The recall that the audits found is logged, that of small groups apart.
     """
     rows = materialize(
         vectors.select(
@@ -201,10 +271,16 @@ def near_vectors(
     found = materialize(
         tasks.drop("other")
         .groupBy("width", "low", "high")
-        .applyInArrow(_search(threshold, wanted_recall), "a long, b long, n long"),
+        .applyInArrow(_search(threshold, wanted_recall), "a long, b long, n long, small boolean, recall double"),
         "vector-links",
     )
-    counts = found.where("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
+    report = found.where("recall IS NOT NULL").groupBy("small")
+    for r in report.agg(F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("recall")) / F.sum("n")).alias("mean"), F.min("recall").alias("least")).collect():
+        LOG.info(
+            "%s groups: %d queries audited, mean recall %.4f, least of a task %.4f",
+            "small" if r["small"] else "large", r["n"], r["mean"], r["least"],
+        )
+    counts = found.where("a IS NOT NULL AND b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
     members = connected_components(found.where("b IS NOT NULL"))
     rooted = (
         nodes.join(members, "node", "left")
