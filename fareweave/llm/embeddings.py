@@ -1,10 +1,10 @@
 """Near-duplicate vectors by small-world graphs, one per shard.
 
 Equal vectors are counted as one. The distinct ones are dealt to shards; each shard
-builds a graph of its vectors, and the vectors of every shard query every shard's graph
-(of two shards, those of the second query the first). In each such task queries are
+builds a graph of its vectors, and the vectors of every shard query every shard's graph.
+A pair counts if the search for either of its vectors finds it. In each such task queries are
 compared with all vectors of the graph until enough of them have links to other vectors:
-beams are doubled until the graph finds the wanted share of the links of a query, on
+beams are doubled until that finds the wanted share of the links of a query, on
 average over the queries of small groups and over those of large ones. Each link is verified by its cosine in double
 precision; components are the union of all links.
 """
@@ -12,6 +12,7 @@ precision; components are the union of all links.
 from __future__ import annotations
 
 import logging
+from collections import defaultdict
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -118,15 +119,60 @@ def _forest(a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
             return least
 
 
+def _pack(keys: np.ndarray) -> np.ndarray:
+    """Places in a square of BLOCK by BLOCK, as numbers or, if that takes less, as bits."""
+    if 32 * len(keys) <= BLOCK * BLOCK:
+        return keys.astype(np.uint32)
+    tile = np.zeros(BLOCK * BLOCK, dtype=bool)
+    tile[keys] = True
+    return np.packbits(tile)
+
+
+def _unpack(kept: np.ndarray) -> np.ndarray:
+    if kept.dtype == np.uint8:
+        return np.unpackbits(kept).view(bool).reshape(BLOCK, BLOCK)
+    tile = np.zeros(BLOCK * BLOCK, dtype=bool)
+    tile[kept] = True
+    return tile.reshape(BLOCK, BLOCK)
+
+
 def _pairs(low: Shard, high: Shard, one: bool, least: float, beam: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(vectors of high, vectors of low) that the graph of low finds, by blocks; within a shard, the later vector first."""
-    queries = high.graph.vectors
-    for first in range(0, len(queries), BLOCK):
-        q, v = low.graph.search_above(queries[first : first + BLOCK], least, beam)
-        q = q + first
-        if one:  # a pair within a shard counts when its later vector finds it
-            q, v = q[v < q], v[v < q]
-        yield q, v
+    """(vectors of high, vectors of low) by blocks of high: each pair that the search for either one finds, once.
+
+    Within a shard the later vector stands first. What the search for a vector of low finds
+    waits, as squares of bits at most, until the block of the other vector is searched.
+    """
+    waiting: dict[int, list[tuple[int, np.ndarray]]] = defaultdict(list)
+
+    def wait(first: int, v: np.ndarray, q: np.ndarray) -> None:
+        """``v``: places in the block of low from ``first`` on; ``q``: vectors of high."""
+        order = np.argsort(q // BLOCK, kind="stable")
+        v, q = v[order], q[order]
+        blocks, starts = np.unique(q // BLOCK, return_index=True)
+        ends = np.append(starts, len(q))[1:]
+        for block, a, b in zip(blocks.tolist(), starts.tolist(), ends.tolist(), strict=True):
+            waiting[block].append((first, _pack((q[a:b] - block * BLOCK) * BLOCK + v[a:b])))
+
+    if not one:
+        for first in range(0, len(low.nodes), BLOCK):
+            wait(first, *high.graph.search_above(low.graph.vectors[first : first + BLOCK], least, beam))
+    for first in range(0, len(high.nodes), BLOCK):
+        q, v = low.graph.search_above(high.graph.vectors[first : first + BLOCK], least, beam)
+        rows = min(BLOCK, len(high.nodes) - first)
+        if one:
+            later = v >= first + rows
+            wait(first, q[later], v[later])
+            q, v = q[~later], v[~later]
+        table = np.zeros((rows, len(low.nodes)), dtype=bool)
+        table[q, v] = True
+        for at, kept in waiting.pop(first // BLOCK, []):
+            part = table[:, at : at + BLOCK]
+            part |= _unpack(kept)[:rows, : part.shape[1]]
+        if one:
+            square = table[:, first : first + rows]
+            square[:] = np.tril(square | square.T, -1)
+        q, v = np.nonzero(table)
+        yield q + first, v
 
 
 def _audited(asking: Shard, asked: Shard, threshold: float, seed: int) -> tuple[list, list]:
@@ -154,15 +200,20 @@ def _audited(asking: Shard, asked: Shard, threshold: float, seed: int) -> tuple[
 
 
 def _recalls(audited: list, asking: Shard, asked: Shard, least: float, beam: int) -> np.ndarray:
-    """For each audited query, the share of its true links that its search finds."""
+    """For each audited query, the share of its true links that its own search or the other vector's finds."""
     at = np.array([q for q, _ in audited], dtype=np.int64)
     sizes = np.array([len(links) for _, links in audited], dtype=np.int64)
     row, true = np.repeat(np.arange(len(at)), sizes), np.concatenate([np.zeros(0, np.int64), *[x for _, x in audited]])
-    n = len(asked.nodes)
+    n, m = len(asked.nodes), len(asking.nodes)
     hit = np.zeros(len(row), dtype=bool)
     for first in range(0, len(at), 64):
         q, v = asked.graph.search_above(asking.graph.vectors[at[first : first + 64]], least, beam)
         hit |= np.isin(row * n + true, (q + first) * n + v)
+    others = np.unique(true[~hit])
+    for first in range(0, len(others), 64):
+        some = others[first : first + 64]
+        v, q = asking.graph.search_above(asked.graph.vectors[some], least, beam)
+        hit |= np.isin(true * m + at[row], some[v] * m + q)
     return np.bincount(row, hit, minlength=len(at)) / np.maximum(sizes, 1)
 
 
@@ -179,7 +230,7 @@ def _search(threshold: float, wanted: float):
         low = _load(rows[0])
         high = low if one else _load(rows[1])
         least = np.float32(threshold - SLACK)
-        sides = [(high, low)]
+        sides = [(high, low)] if one else [(high, low), (low, high)]
         audits = [_audited(asking, asked, threshold, len(asking.nodes)) for asking, asked in sides]
         beam = FIRST_BEAM
         while True:
