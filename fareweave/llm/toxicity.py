@@ -24,10 +24,10 @@ from pyspark.sql import functions as F
 from fareweave.llm.words import free_memory
 from fareweave.storage import materialize
 
-MAX_TRAINING_ROWS = 20_000  # labelled rows that a model is fitted on, chosen by a hash of the id
+MAX_TRAINING_ROWS = 20_000  # labelled rows that the logistic model is fitted on, chosen by a hash of the id
 SHORTEST, LONGEST = 3, 16  # letters of a term that is learned
-SUPPORT = 0.01  # a term stands in this share of the toxic texts, and in at least LEAST of them
-LEAST = 5
+LEAST = 5  # toxic texts that a term stands in
+CHANCE = 0.01  # that any term at all stands in so many toxic texts by chance, at most
 PURITY = 0.95  # share of toxic among the texts with a term
 WINDOW = 8  # words to each side
 NEAR = 80  # characters to each side in which quotation marks are sought
@@ -256,24 +256,39 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 4 == 2
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -> DataFrame:
-    """(text, toxic): at most about ``max_rows`` labelled documents, equal texts once, none of them held out."""
-    marked = (
+def _marked(labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic): the largest label of each document that is not held out."""
+    return (
         labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL")
         .where(~held_out(F.col("doc_id")))
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
     )
+
+
+def _texts(docs: DataFrame, marked: DataFrame) -> DataFrame:
+    """(text, toxic) of the documents in ``marked``, equal texts once."""
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(marked, "doc_id")
+    return rows.groupBy("text").agg(F.max("toxic").cast("int").alias("toxic"))
+
+
+def labelled_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(text, toxic): all labelled documents that are not held out, equal texts once."""
+    return _texts(docs, materialize(_marked(labels), "toxicity-labels"))
+
+
+def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -> DataFrame:
+    """(text, toxic): at most about ``max_rows`` labelled documents, equal texts once, none of them held out."""
+    marked = _marked(labels)
     total = marked.count()
     share = min(1.0, max_rows / max(1, total))
     some = marked.where(F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(1_000_003)) < share * 1_000_003)
     # At most max_rows ids and labels go to the documents.
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(some), "doc_id")
-    return materialize(rows.groupBy("text").agg(F.max("toxic").cast("int").alias("toxic")), "toxicity-training")
+    return materialize(_texts(docs, F.broadcast(some)), "toxicity-training")
 
 
 def _word_counts(training: DataFrame) -> DataFrame:
-    """(word, toxic, clean): in how many texts of each kind a word stands."""
+    """(word, toxic, clean): in how many texts of each kind a word stands. The empty word stands in all."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -281,7 +296,7 @@ def _word_counts(training: DataFrame) -> DataFrame:
                 seen = {0: Counter(), 1: Counter()}
                 part = batch.slice(first, 500)
                 for text, toxic in zip(part.column("text"), part.column("toxic"), strict=True):
-                    seen[int(toxic.as_py() == 1)].update(set(words_of(text.as_py())))
+                    seen[int(toxic.as_py() == 1)].update({"", *words_of(text.as_py())})
                 every = list(seen[0] | seen[1])
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -296,22 +311,30 @@ def _word_counts(training: DataFrame) -> DataFrame:
     return counted.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def _learn_terms(words: DataFrame, toxic_texts: int) -> list[Term]:
+def _learn_terms(words: DataFrame, toxic_texts: int, clean_texts: int) -> list[Term]:
     """The terms: shortest beginnings that are pure, prolonged while most of their words go on with a few letters.
 
-    The driver sees only beginnings that stand in SUPPORT of the toxic texts and are
-    pure, of which a text has a bounded number.
+    A beginning must stand in LEAST toxic texts, be pure, and be so by more than chance:
+    were its n texts drawn from all, k of them would be toxic with at most the probability
+    exp(-n * KL(k / n, share of toxic texts)), which is held against CHANCE divided by the
+    number of beginnings that are tried. The driver sees those that pass, the lexicon.
     """
     lengths = F.sequence(F.lit(SHORTEST), F.least(F.length("word"), F.lit(LONGEST)))
     beginnings = F.transform(lengths, lambda n: F.substring(F.col("word"), F.lit(1), n))
     whole = F.when(F.length("word") <= LONGEST, F.array(F.concat("word", F.lit(END)))).otherwise(F.array())
-    needed = max(LEAST, SUPPORT * toxic_texts)
-    rows = (
+    tried = materialize(
         words.where(F.length("word") >= SHORTEST)
         .select(F.explode(F.concat(beginnings, whole)).alias("term"), "toxic", "clean")
         .groupBy("term")
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-        .where((F.col("toxic") >= needed) & (F.col("toxic") >= PURITY * (F.col("toxic") + F.col("clean"))))
+        .where(F.col("toxic") + F.col("clean") >= LEAST),
+        "toxicity-beginnings",
+    )
+    k, c, share = F.col("toxic"), F.col("clean"), toxic_texts / (toxic_texts + clean_texts)
+    divergence = k * F.log(k / ((k + c) * share)) + F.when(c > 0, c * F.log(c / ((k + c) * (1 - share)))).otherwise(0.0)
+    rows = (
+        tried.where((k >= LEAST) & (k >= PURITY * (k + c)) & (k > share * (k + c)))
+        .where(divergence >= math.log(max(1, tried.count()) / CHANCE))
         .select("term", "toxic")
         .collect()
     )
@@ -366,21 +389,26 @@ def _impure(words: DataFrame, lexicon: Lexicon) -> frozenset[tuple[int, int]]:
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -> ToxicityModel:
     """A model from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic).
 
+    The lexicon comes from all labelled rows, the weights from about ``max_rows`` of them.
     Rows that ``held_out`` names are not used; neither are labels of unknown documents,
     null labels or null ids. Of several labels of a document the largest counts. Texts
     alone are inputs. With labels of one kind only, every text scores that kind's
     smoothed share; without labels, every text scores 0.
     """
-    training = training_rows(docs, labels, max_rows)
-    found = training.agg(F.count("*"), F.sum(F.when(F.col("toxic") == 1, 1).otherwise(0))).first()
-    rows, toxic = found[0], found[1] or 0
-    if not toxic or toxic == rows:
-        share = (toxic + 0.5) / (rows + 1.0) if rows else 0.0
-        odds = math.log(share / (1 - share)) if rows else -40.0
+    words = materialize(_word_counts(labelled_rows(docs, labels)), "toxicity-words")
+    found = words.where("word = ''").first()
+    toxic, clean = (found["toxic"], found["clean"]) if found else (0, 0)
+    if not toxic or not clean:
+        share = (toxic + 0.5) / (toxic + clean + 1.0) if found else 0.0
+        odds = math.log(share / (1 - share)) if found else -40.0
         return ToxicityModel(Lexicon([]), [0.0] * len(FEATURES), odds)
-    words = materialize(_word_counts(training), "toxicity-words")
-    lexicon = Lexicon(_learn_terms(words, toxic))
+    lexicon = Lexicon(_learn_terms(words, toxic, clean))
     lexicon = Lexicon(lexicon.terms, _impure(words, lexicon))
+    training = training_rows(docs, labels, max_rows)
+    kinds = {r[0] for r in training.select(F.col("toxic") == 1).distinct().collect()}
+    for kind in {False, True} - kinds:  # so rare that the sample has none: its own rows join
+        rare = _marked(labels).where((F.col("toxic") == 1) == F.lit(kind))
+        training = training.union(training_rows(docs, rare, max_rows)).groupBy("text").agg(F.max("toxic").alias("toxic"))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

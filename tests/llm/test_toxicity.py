@@ -110,3 +110,14 @@ def test_training_rows_are_bounded(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     some = T.training_rows(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), max_rows=100)
     assert 50 < some.count() < 160
+
+
+def test_rare_terms_are_learnt_from_all_labelled_rows(spark):
+    rows, labels = corpus(4000, seed=8)
+    rare = [i for i, y in labels if y and zlib.crc32(str(i).encode()) % 4 != 2][:12]
+    rows = [(i, "quiet words and zumbrak here") if i == rare[0] else (i, t + " zumbrak" if i in rare else t) for i, t in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = T.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), max_rows=400)
+    # In under 2 % of the toxic texts, and in about one text of the sample.
+    assert "zumbrak" in {t.text for t in model.lexicon.terms}
+    assert len(model.lexicon.terms) < 12
