@@ -23,6 +23,7 @@ from fareweave.llm import duck
 from fareweave.llm.words import PieceCache, free_memory, join_ids, piece_lists, split_texts
 
 LONG_PIECE = 64  # bytes
+SQUARES_AT_ONCE = 4_000_000  # ENCODE_LONG holds all steps: at most half the squares of the lengths in rows
 ROWS_AT_ONCE = 120_000  # bytes of pieces, or tokens of texts, in one query
 
 # One contraction for each piece and step. A row knows its right neighbour; of a piece's
@@ -80,6 +81,48 @@ FROM (SELECT piece, pos, id FROM step QUALIFY n = max(n) OVER (PARTITION BY piec
 GROUP BY piece ORDER BY piece
 """
 
+# The same for pieces of any length, by statements over a table that keeps the newest step
+# alone: a symbol that is joined to its left neighbour goes, and only the symbols beside a
+# contraction change. ``merged`` is the rank of a symbol and its right neighbour.
+LONG_START = """
+CREATE OR REPLACE TEMP TABLE step AS
+SELECT s.piece, s.pos, s.id, s.next_pos, lag(s.pos) OVER (PARTITION BY s.piece ORDER BY s.pos) AS prev_pos,
+       m.id AS merged, s.piece::BIGINT * 4294967296 + s.pos AS key
+FROM symbols s LEFT JOIN merges m ON m.lhs = s.id AND m.rhs = s.next_id
+"""
+LONG_TAKEN = """
+CREATE OR REPLACE TEMP TABLE taken AS
+WITH hit AS (
+  SELECT s.* FROM step s JOIN (SELECT piece, min(merged) AS merged FROM step GROUP BY piece) USING (piece, merged)),
+run AS (
+  SELECT *, CASE WHEN lag(next_pos) OVER w IS DISTINCT FROM pos THEN row_number() OVER w END AS fresh,
+         row_number() OVER w AS number
+  FROM hit WINDOW w AS (PARTITION BY piece ORDER BY pos))
+SELECT piece, pos, key, merged AS id, next_pos AS gone
+FROM (SELECT *, number - max(fresh) OVER (PARTITION BY piece ORDER BY pos) AS place FROM run)
+WHERE place % 2 = 0
+"""
+LONG_STEP = [
+    # What stands after a pair, before the pair's second symbol goes.
+    """CREATE OR REPLACE TEMP TABLE joined AS
+       SELECT t.key, t.id, t.piece, t.pos, g.key AS gone_key, g.next_pos, s.prev_pos
+       FROM taken t JOIN step g ON g.key = t.piece::BIGINT * 4294967296 + t.gone JOIN step s ON s.key = t.key""",
+    "UPDATE step SET id = j.id, next_pos = j.next_pos FROM joined j WHERE step.key = j.key",
+    "UPDATE step SET id = NULL, merged = NULL FROM joined j WHERE step.key = j.gone_key",
+    """UPDATE step SET prev_pos = j.pos FROM joined j
+       WHERE j.next_pos IS NOT NULL AND step.key = j.piece::BIGINT * 4294967296 + j.next_pos""",
+    """CREATE OR REPLACE TEMP TABLE changed AS
+       SELECT l.key, m.id AS merged
+       FROM (SELECT key FROM joined UNION
+             SELECT s.piece::BIGINT * 4294967296 + s.prev_pos FROM step s JOIN joined j ON s.key = j.key
+             WHERE s.prev_pos IS NOT NULL) c
+       JOIN step l ON l.key = c.key
+       LEFT JOIN step n ON n.key = l.piece::BIGINT * 4294967296 + l.next_pos
+       LEFT JOIN merges m ON m.lhs = l.id AND m.rhs = n.id""",
+    "UPDATE step SET merged = c.merged FROM changed c WHERE step.key = c.key",
+]
+ENCODE_LONGEST = "SELECT piece, list(id ORDER BY pos) AS ids FROM step WHERE id IS NOT NULL GROUP BY piece ORDER BY piece"
+
 DECODE = """
 SELECT doc, unhex(string_agg(hex, '' ORDER BY pos)) AS bytes
 FROM tokens JOIN vocabulary USING (id) GROUP BY doc ORDER BY doc
@@ -133,10 +176,22 @@ class RankTokenizer:
                 "next_id": pa.array(np.append(ids[1:], np.int32(0)), mask=last),
             }
         )
+        if sql is ENCODE_LONGEST:
+            self.con.register("symbols", symbols)
+            self.con.execute(LONG_START)
+            self.con.unregister("symbols")
+            while self.con.execute(LONG_TAKEN).fetchone()[0]:
+                for statement in LONG_STEP:
+                    self.con.execute(statement)
         lists = duck.query(self.con, sql, symbols=symbols).column("ids").combine_chunks()
         offsets, ids = lists.offsets.to_numpy(), lists.values.to_numpy().astype(np.int32)
         return [ids[a:b].tobytes() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
 
+    @staticmethod
+    def _way(word: bytes) -> str:
+        """The query for a piece of this length; all give the same ids."""
+        return ENCODE if len(word) <= LONG_PIECE else ENCODE_LONG if len(word) ** 2 <= SQUARES_AT_ONCE else ENCODE_LONGEST
+
     def forget(self) -> None:
         """End of a task: drop the cache and the database."""
         self.cache.known.clear()
@@ -152,15 +207,17 @@ class RankTokenizer:
         ]
         todo = sorted((i for i, ids in enumerate(out) if ids is None), key=lambda i: len(words[i]))
         while todo:
-            long = len(words[todo[0]]) > LONG_PIECE
-            taken, size = 0, 0
+            sql = self._way(words[todo[0]])
+            taken, size, squares = 0, 0, 0
             while taken < len(todo) and (not taken or size + len(words[todo[taken]]) <= ROWS_AT_ONCE):
-                if (len(words[todo[taken]]) > LONG_PIECE) != long:
+                length = len(words[todo[taken]])
+                if self._way(words[todo[taken]]) is not sql or (sql is ENCODE_LONG and squares + length**2 > SQUARES_AT_ONCE):
                     break
-                size += len(words[todo[taken]])
+                size += length
+                squares += length**2
                 taken += 1
             some, todo = todo[:taken], todo[taken:]
-            for i, ids in zip(some, self._contract(ENCODE_LONG if long else ENCODE, [words[i] for i in some]), strict=True):
+            for i, ids in zip(some, self._contract(sql, [words[i] for i in some]), strict=True):
                 out[i] = ids
         return out
 

@@ -81,3 +81,11 @@ def test_query(spark, library):
         assert r.n_tokens == len(ids)
         assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+def test_a_long_run_of_varied_letters(library):
+    rng = random.Random(9)
+    text = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=10_000))
+    coder = bpe.RankTokenizer(PATH, P.PATTERN)
+    ids = bpe.np.frombuffer(coder.encode_pieces([text])[0], bpe.np.int32).tolist()
+    assert ids == library.encode_ordinary(text)
