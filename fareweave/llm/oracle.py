@@ -87,3 +87,100 @@ SELECT doc_id, size::BIGINT AS size, source_size, target,
 FROM fillers
 """,
 }
+
+
+# A written line joins what stands before it; no line is empty.
+def _edit(x: str, cost: str, letter: str, line: str | None) -> str:
+    """The SQL of a state after an edit; null stays null."""
+    out = f"{x}.\"out\"" if line is None else f"CASE WHEN {x}.\"out\" = '' THEN {line} ELSE {x}.\"out\" || chr(10) || {line} END"
+    return f"CASE WHEN {x} IS NOT NULL THEN {{'cost': {x}.cost + {cost}, 'audit': {x}.audit || '{letter}', 'out': {out}}} END"
+
+
+def _delete(x: str) -> str:
+    return _edit(x, "4", "D", None)
+
+
+def _keep(*xs: str) -> str:
+    return ", ".join(_edit(x, "extra", "K", "(role || ':' || text)") for x in xs)
+
+
+def _rerole(role: str, *xs: str) -> str:
+    return ", ".join(_edit(x, "3 + extra", "R", f"('{role}:' || text)") for x in xs)
+
+
+def _insert(role: str, *xs: str) -> str:
+    return ", ".join(_edit(x, "3", "I", f"'{role}:'") for x in xs)
+
+
+STATE = 'STRUCT("cost" BIGINT, audit VARCHAR, "out" VARCHAR)'
+
+def _walk(sql: str) -> str:
+    parts = {
+        "@STATE": STATE, "@DN": _delete("n"), "@DS": _delete("s"), "@DU": _delete("u1"), "@DA": _delete("a1"),
+        "@KN": _keep("n"), "@KU": _keep("n", "s", "a1"), "@KA": _keep("u1"), "@RU": _rerole("user", "n", "s", "a1"),
+        "@RA": _rerole("assistant", "u1"), "@IU": _insert("user", "n", "s", "a"), "@IA": _insert("assistant", "u1"),
+        "@IS": _insert("user", "s"),
+    }
+    for name, part in parts.items():
+        sql = sql.replace(name, part)
+    return sql
+
+
+# Rows one after the other, all conversations at once; states as a finite automaton, no stacks.
+ORACLES["op13_conversations"] = _walk(r"""
+WITH RECURSIVE
+-- CRC-32 by table
+steps(i, k, c) AS (
+  SELECT i::BIGINT, 0, i::BIGINT FROM range(256) r(i)
+  UNION ALL
+  SELECT i, k + 1, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END FROM steps WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS t FROM steps WHERE k = 8),
+hit AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(list_reduce(list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+                                        lambda ch: ord(ch)::BIGINT),
+                         lambda c, b: xor(t[(xor(c, b) & 255) + 1], c // 256), 4294967295::BIGINT), 4294967295) % 20 AS kind
+  FROM conversations, crc),
+hurt AS (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM hit, unnest(CASE kind WHEN 0 THEN [] WHEN 3 THEN [0, 1] ELSE [0] END) AS copies(n)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, encode(role), sha256(text)) AS pos,
+         rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS trimmed FROM hurt),
+seen AS (
+  SELECT *, trimmed = '' AS blank,
+         trimmed <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 AS again,
+         left(role, 1) AS letter, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS before
+  FROM placed),
+judged AS (
+  SELECT *, NOT blank AND NOT again AND right(trimmed, 1) NOT IN ('.', '!', '?') AS cut, blank OR again AS must_go FROM seen),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (blank) AS blank, count(*) FILTER (again) AS duplicate, count(*) FILTER (cut) AS truncated,
+         count(*) FILTER (before IS NOT NULL AND before || letter NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY conv_id),
+ids AS (SELECT row_number() OVER () AS id, conv_id FROM (SELECT DISTINCT conv_id FROM conversations)),
+rows_of AS (
+  SELECT id, pos, letter, role, text, must_go, CASE WHEN cut THEN 3 ELSE 0 END AS extra
+  FROM judged j JOIN ids i ON i.conv_id IS NOT DISTINCT FROM j.conv_id),
+-- the best way to have written nothing (n), a system row (s), up to a user's row (u), up to an assistant's (a)
+walk(id, pos, n, s, u, a) USING KEY (id) AS (
+  SELECT id, 0::BIGINT, {'cost': 0::BIGINT, 'audit': '', 'out': ''}, NULL::@STATE, NULL::@STATE, NULL::@STATE FROM ids
+  UNION
+  SELECT id, pos, @DN,
+         list_min([@DS, CASE WHEN NOT must_go AND letter = 's' THEN @KN END]),
+         list_min([@DU, CASE WHEN NOT must_go AND letter = 'u' THEN list_min([@KU]) END,
+                   CASE WHEN NOT must_go THEN list_min([@RU]) END]),
+         list_min([@DA, CASE WHEN NOT must_go AND letter = 'a' THEN @KA END, CASE WHEN NOT must_go THEN @RA END])
+  FROM (
+    SELECT *, list_min([a, @IA]) AS a1
+    FROM (SELECT w.id, r.pos, n, s, u, a, letter, role, text, must_go, extra, list_min([u, @IU]) AS u1
+          FROM walk w JOIN rows_of r ON r.id = w.id AND r.pos = w.pos + 1))),
+ends AS (
+  SELECT id, list_min([n, a, @IA]) AS best FROM (SELECT id, n, a, list_min([u, @IS]) AS u1 FROM walk))
+SELECT i.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, best.cost AS cost, best.audit AS audit,
+       sha256(best."out") AS repaired_sha256
+FROM ids i JOIN ends e ON e.id = i.id LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM i.conv_id
+""")

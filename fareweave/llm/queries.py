@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from fareweave.llm import (
     bpe,
+    conversations,
     embeddings,
     exact_dedup,
     html_extract,
@@ -100,6 +101,11 @@ def op10_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.join(starts, ["file", "row"]).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation's faults after the damage, and its cheapest repair."""
+    return conversations.damage_and_repair(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_bpe": op2_bpe,
@@ -111,4 +117,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_embeddings": op9_embeddings,
     "op10_records": op10_records,
+    "op13_conversations": op13_conversations,
 }
