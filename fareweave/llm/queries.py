@@ -15,11 +15,13 @@ from fareweave.llm import (
     exact_dedup,
     html_extract,
     mixing,
+    neighbours,
     records,
     sharding,
     simhash,
     token_counts,
     toxicity,
+    whitening,
 )
 from fareweave.storage import scratch_path
 
@@ -101,6 +103,16 @@ def op10_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.join(starts, ["file", "row"]).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op11_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of each whose id is divisible by 20."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, most=20)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector whitened along the 32 leading components."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=32)
+
+
 def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation's faults after the damage, and its cheapest repair."""
     return conversations.damage_and_repair(table(spark, sf_dir, "conversations"))
@@ -117,5 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_embeddings": op9_embeddings,
     "op10_records": op10_records,
+    "op11_neighbours": op11_neighbours,
+    "op12_whitening": op12_whitening,
     "op13_conversations": op13_conversations,
 }
