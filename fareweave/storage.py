@@ -34,12 +34,20 @@ def clear_scratch(spark: SparkSession) -> None:
     delete_path(spark, scratch_home(spark))
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
+    """The rows dealt evenly over the session's shuffle partitions, and over all cores at least."""
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
+
+
+def materialize(df: DataFrame, name: str, evenly: bool = False) -> DataFrame:
     """Write a table once and read it back.
 
     Readers do not recompute the lineage when an executor is lost, prune columns,
-    and see a true size in the plan, by which Spark chooses its joins.
+    and see a true size in the plan, by which Spark chooses its joins. With ``evenly``
+    the rows are dealt out before they are written: a small table that many passes read
+    then lies in as many files as there are cores, not in one that cannot be split.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (spread(df) if evenly else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
