@@ -34,8 +34,8 @@ EXPERIMENTS = [
         },
     },
     {
-        "name": "boosted_trees_fine_bins",
-        "kind": "GradientBoostingFineBins",
+        "name": "leafwise_trees",
+        "kind": "LeafwiseBoosting",
         "params": {
             "rounds": 150,
             "max_depth": 6,

@@ -1,7 +1,7 @@
 """Boosted regression trees from histograms, grown leaf by leaf or level by level.
 
 Features are cut into bins once and stored. A pass over the rows adds up residuals per (node,
-feature, bin) in a DataFrame aggregation; it counts the smaller child of every split, the larger
+feature, bin), first inside each task, then across tasks; it counts the smaller child of every split, the larger
 one is its parent minus that. Residuals are added as whole multiples of a power of two, so sums
 do not depend on the order of the rows, differences are exact, and two fits give the same trees.
 
@@ -19,12 +19,13 @@ from __future__ import annotations
 import heapq
 import json
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark import keyword_only
 from pyspark.ml import Estimator
-from pyspark.ml.feature import Bucketizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol
 from pyspark.ml.regression import GBTRegressionModel
@@ -37,6 +38,7 @@ from fareweave.storage import delete_path, scratch_path, spread
 ID, TARGET, BINS, MARGIN = "_id", "_y", "_bins", "_f"
 STORE_EVERY = 10  # trees between two writes of the margins
 SUM_BITS = 60  # of a sum of residuals
+HALF = 30
 QUANTILE_ACCURACY = 10_000  # a cut point's rank is off by rows / this at most
 
 
@@ -73,6 +75,27 @@ class Node:
     right: int = -1
 
 
+@dataclass(frozen=True)
+class TreeArrays:
+    """A tree as a task reads it."""
+
+    feature: np.ndarray
+    cut: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    value: np.ndarray
+    depth: int
+
+    def walk(self, bins: np.ndarray, stops: np.ndarray | None = None) -> np.ndarray:
+        """For each row its leaf, or the first of the nodes marked in ``stops`` on the way to it."""
+        over = self.left < 0 if stops is None else stops | (self.left < 0)
+        at, rows = np.zeros(len(bins), dtype=np.int64), np.arange(len(bins))
+        for _ in range(self.depth):
+            below = bins[rows, self.feature[at]] <= self.cut[at]
+            at = np.where(over[at], at, np.where(below, self.left[at], self.right[at]))
+        return at
+
+
 @dataclass
 class Tree:
     nodes: list[Node] = field(default_factory=list)
@@ -80,18 +103,9 @@ class Tree:
     def is_split(self, i: int) -> bool:
         return self.nodes[i].left >= 0
 
-    def _choice(self, at: dict[int, str], i: int) -> str:
-        if i in at or not self.is_split(i):
-            return at.get(i, "-1")
-        n = self.nodes[i]
-        return f"CASE WHEN {BINS}[{n.feature}] <= {n.bin} THEN {self._choice(at, n.left)} ELSE {self._choice(at, n.right)} END"
-
-    def numbers(self, wanted: list[int]) -> Column:
-        """For each row the wanted node that it falls into, -1 if none."""
-        return F.expr(self._choice({i: str(i) for i in wanted}, 0))
-
-    def values(self) -> Column:
-        return F.expr(self._choice({i: f"{n.value!r}D" for i, n in enumerate(self.nodes) if not self.is_split(i)}, 0))
+    def arrays(self) -> TreeArrays:
+        columns = zip(*[(max(n.feature, 0), n.bin, n.left, n.right, n.value) for n in self.nodes], strict=True)
+        return TreeArrays(*(np.array(c) for c in columns), self.depth())
 
     def depth(self) -> int:
         return max(n.depth for n in self.nodes)
@@ -112,36 +126,108 @@ def cut_points(df: DataFrame, columns: list[str], bins: int) -> list[list[float]
     return [sorted({x for x in row[str(i)] or [] if x < row[f"m{i}"]}) for i in range(len(columns))]
 
 
-def _binned(df: DataFrame, columns: list[str], cuts: list[list[float]]) -> DataFrame:
-    """The table with the bins of ``columns`` as one array; a cut point belongs to the bin below. Missing values come last."""
-    steps = [[-math.inf, *(math.nextafter(c, math.inf) for c in cut), math.inf] for cut in cuts]
-    names = [f"_b{i}" for i in range(len(columns))]
-    ready = df.withColumns({c: F.coalesce(F.col(c), F.lit(math.nan)) for c in columns})
-    cut = Bucketizer(splitsArray=steps, inputCols=columns, outputCols=names, handleInvalid="keep").transform(ready)
-    return cut.withColumn(BINS, F.array(*[F.col(n).cast("smallint") for n in names])).drop(*names)
+def _binned(df: DataFrame, columns: list[str], target: str, cuts: list[list[float]], base: float) -> DataFrame:
+    """(id, target, margin, bins): two bytes a bin; a cut point belongs to the bin below it, missing values come last."""
+    edges = [np.array(c) for c in cuts]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bins = np.empty((batch.num_rows, len(edges)), dtype=np.uint16)
+            for i, edge in enumerate(edges):
+                x = batch.column(f"x{i}").to_numpy(zero_copy_only=False)
+                bins[:, i] = np.where(np.isnan(x), len(edge) + 1, np.searchsorted(edge, x))
+            yield _rows(batch.column(ID), batch.column(TARGET), pa.array(np.full(batch.num_rows, base)), bins)
+
+    ready = [F.coalesce(F.col(c).cast("double"), F.lit(math.nan)).alias(f"x{i}") for i, c in enumerate(columns)]
+    numbered = df.select(F.monotonically_increasing_id().alias(ID), F.col(target).cast("double").alias(TARGET), *ready)
+    return spread(numbered).mapInArrow(run, STORED)
+
+
+STORED = f"{ID} long, {TARGET} double, {MARGIN} double, {BINS} binary"
+
+
+def _rows(ids: pa.Array, target: pa.Array, margin: pa.Array, bins: np.ndarray) -> pa.RecordBatch:
+    offsets = np.arange(len(bins) + 1, dtype=np.int32) * (2 * bins.shape[1])
+    packed = pa.Array.from_buffers(pa.binary(), len(bins), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(bins))])
+    return pa.RecordBatch.from_arrays([ids, target, margin, packed], names=[ID, TARGET, MARGIN, BINS])
+
+
+def _bins(batch: pa.RecordBatch) -> np.ndarray:
+    column = batch.column(BINS)
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]].view(np.uint16).reshape(len(column), -1)
+
+
+@dataclass(frozen=True)
+class Margins:
+    """The stored rows, and the trees since their margins were stored."""
 
+    stored: DataFrame
+    pending: tuple[TreeArrays, ...]
+    rate: float
 
+    @staticmethod
+    def of(batch: pa.RecordBatch, bins: np.ndarray, pending: tuple[TreeArrays, ...], rate: float) -> np.ndarray:
+        margin = batch.column(MARGIN).to_numpy(zero_copy_only=False).copy()
+        for tree in pending:
+            margin += rate * tree.value[tree.walk(bins)]
+        return margin
+
+    def added(self, tree: Tree) -> Margins:
+        return Margins(self.stored, (*self.pending, tree.arrays()), self.rate)
+
+    def written(self, path: str) -> Margins:
+        pending, rate = self.pending, self.rate
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                bins = _bins(batch)
+                yield _rows(batch.column(ID), batch.column(TARGET), pa.array(Margins.of(batch, bins, pending, rate)), bins)
+
+        self.stored.mapInArrow(run, STORED).write.parquet(path)
+        return Margins(self.stored.sparkSession.read.parquet(path), (), rate)
+
+
+@dataclass(frozen=True)
 class Histograms:
-    """Rows and residuals per (node, feature, bin)."""
-
-    def __init__(self, rows: DataFrame, features: list[int], width: int) -> None:
-        self.rows, self.features, self.width = rows, features, width
-
-    def count(self, node: Column) -> dict[int, np.ndarray]:
-        """For each node number that is not negative: (features, bins, 2) of rows and residuals."""
-        picked = F.array(*[F.col(BINS)[f] for f in self.features])
-        long = self.rows.select(node.alias("node"), "_g", F.posexplode(picked).alias("feature", "bin")).where("node >= 0")
-        grouped = long.groupBy("node", "feature", "bin").agg(F.count(F.lit(1)).alias("n"), F.sum("_g").alias("g"))
-        found = grouped.toArrow()
-        nodes, feature, bin_ = (found.column(c).to_numpy() for c in ("node", "feature", "bin"))
-        out = {}
-        for i in np.unique(nodes).tolist():
-            mine = nodes == i
-            table = np.zeros((len(self.features), self.width, 2), dtype=np.int64)
-            table[feature[mine], bin_[mine], 0] = found.column("n").to_numpy()[mine]
-            table[feature[mine], bin_[mine], 1] = found.column("g").to_numpy()[mine]
-            out[i] = table
-        return out
+    """Rows and residuals per (node, feature, bin), added up by tasks, then by Spark."""
+
+    margins: Margins
+    chosen: Column
+    features: list[int]
+    width: int
+    scale: float
+
+    def count(self, tree: Tree, wanted: list[int]) -> dict[int, np.ndarray]:
+        """For each wanted node: (features, bins, 2) of rows and residuals."""
+        features, width, scale, arrays = np.array(self.features), self.width, self.scale, tree.arrays()
+        pending, rate = self.margins.pending, self.margins.rate
+        place = np.full(len(tree.nodes), -1)
+        place[wanted] = np.arange(len(wanted))
+        cells = len(wanted) * len(features) * width
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            rows, sums = np.zeros(cells, dtype=np.int64), np.zeros(cells, dtype=np.int64)
+            for batch in batches:
+                bins = _bins(batch)
+                left = batch.column(TARGET).to_numpy() - Margins.of(batch, bins, pending, rate)
+                mine = place[arrays.walk(bins, place >= 0)]
+                bins, left, mine = bins[mine >= 0][:, features], left[mine >= 0], mine[mine >= 0]
+                cell = ((mine[:, None] * len(features) + np.arange(len(features))) * width + bins).ravel()
+                whole = np.repeat(np.floor(left * scale + 0.5).astype(np.int64), len(features))
+                rows += np.bincount(cell, minlength=cells)
+                # In halves: doubles add up a batch of them without loss.
+                high = np.bincount(cell, whole >> HALF, cells).astype(np.int64)
+                sums += (high << HALF) + np.bincount(cell, whole & ((1 << HALF) - 1), cells).astype(np.int64)
+            some = np.flatnonzero(rows)
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(rows[some]), pa.array(sums[some])], names=["cell", "n", "g"])
+
+        parts = self.margins.stored.where(self.chosen).select(TARGET, MARGIN, BINS).mapInArrow(run, "cell long, n long, g long")
+        found = parts.groupBy("cell").agg(F.sum("n").alias("n"), F.sum("g").alias("g")).toArrow()
+        table = np.zeros((cells, 2), dtype=np.int64)
+        table[found.column("cell").to_numpy()] = np.stack([found.column(c).to_numpy() for c in ("n", "g")], axis=1)
+        tables = table.reshape(len(wanted), len(features), width, 2)
+        return {node: tables[i] for i, node in enumerate(wanted)}
 
 
 def best_split(table: np.ndarray, settings: TreeSettings, scale: float) -> tuple[float, int, int] | None:
@@ -163,26 +249,20 @@ def best_split(table: np.ndarray, settings: TreeSettings, scale: float) -> tuple
 
 
 class Grower:
-    """Grows one tree over rows that carry their residual ``_g``."""
+    """Grows one tree."""
 
-    def __init__(self, rows: DataFrame, features: list[int], width: int, settings: TreeSettings, scale: float) -> None:
-        self.histograms = Histograms(rows, features, width)
-        self.features, self.settings, self.scale = features, settings, scale
+    def __init__(self, histograms: Histograms, settings: TreeSettings) -> None:
+        self.histograms, self.settings = histograms, settings
+        self.features, self.scale = histograms.features, histograms.scale
         self.full = Tree()  # every split that gains
         self.tables: dict[int, np.ndarray] = {}
 
-    def _node(self, depth: int, table: np.ndarray) -> int:
-        rows, total = (int(v) for v in table[0].sum(axis=0))
-        value = total / self.scale / (rows + self.settings.l2) if rows else 0.0
-        self.full.nodes.append(Node(depth, rows, total, value))
-        return len(self.full.nodes) - 1
-
     def grow(self) -> Tree:
-        root = self.histograms.count(F.lit(0))
-        if not root:
-            self.full.nodes.append(Node(0, 0, 0, 0.0))
-            return self.full
-        self.tables[self._node(0, root[0])] = root[0]
+        self.full.nodes.append(Node(0, 0, 0, 0.0))
+        root = self.histograms.count(self.full, [0])
+        rows, total = (int(v) for v in root[0][0].sum(axis=0))
+        self.full.nodes[0] = Node(0, rows, total, total / self.scale / (rows + self.settings.l2) if rows else 0.0)
+        self.tables[0] = root[0]
         level = [0]
         while level:
             level = self._split_level(level)
@@ -204,11 +284,13 @@ class Grower:
                 self.full.nodes.append(Node(node.depth + 1, rows, total, total / self.scale / (rows + self.settings.l2)))
             parents.append(i)
             counted[min(node.left, node.right, key=lambda c: self.full.nodes[c].rows)] = i
-        parents = [i for i in parents if self.full.nodes[i].depth + 1 < self.settings.max_depth]
+        # A split that loses to those known so far loses to them whatever lies below: its children need no table.
+        kept = self._kept()
+        parents = [i for i in parents if i in kept and self.full.nodes[i].depth + 1 < self.settings.max_depth]
         counted = {c: i for c, i in counted.items() if i in parents}
         if not counted:
             return []
-        tables = self.histograms.count(self.full.numbers(list(counted)))
+        tables = self.histograms.count(self.full, list(counted))
         for child, parent in counted.items():
             node = self.full.nodes[parent]
             other = node.left + node.right - child
@@ -218,18 +300,22 @@ class Grower:
             del self.tables[i]
         return [c for i in parents for c in (self.full.nodes[i].left, self.full.nodes[i].right)]
 
-    def _best_first(self) -> Tree:
-        """The tree that splits, one after the other, the leaf that gains most; of equal gains the one found first."""
+    def _kept(self) -> set[int]:
+        """The nodes that are split if always the leaf that gains most is; of equal gains the one found first."""
         nodes, most = self.full.nodes, self.settings.leaves or len(self.full.nodes)
         queue = [(-nodes[0].gain, 0)] if self.full.is_split(0) else []
-        kept, leaves = set(), 1
-        while queue and leaves < most:
+        kept: set[int] = set()
+        while queue and len(kept) + 1 < most:
             _, i = heapq.heappop(queue)
             kept.add(i)
-            leaves += 1
             for c in (nodes[i].left, nodes[i].right):
                 if self.full.is_split(c):
                     heapq.heappush(queue, (-nodes[c].gain, c))
+        return kept
+
+    def _best_first(self) -> Tree:
+        """The tree of the splits that are kept."""
+        nodes, kept = self.full.nodes, self._kept()
         out = Tree()
 
         def copy(i: int) -> int:
@@ -292,49 +378,28 @@ def fit_trees(df: DataFrame, columns: list[str], target: str, settings: TreeSett
     room = math.ceil(math.log2(2 * facts["most"])) if facts["most"] else 0
     scale = 2.0 ** (SUM_BITS - room - math.ceil(math.log2(facts["n"] + 1)))
     scale = min(scale, 2.0**40)
-    path = scratch_path(spark, "bins")
-    numbered = _binned(known, columns, cuts).select(
-        F.monotonically_increasing_id().alias(ID), F.col(target).cast("double").alias(TARGET), BINS
-    )
-    spread(numbered).write.parquet(path)
-    stored = spark.read.parquet(path)
-    whole = _whole(F.col(TARGET), scale)
-    base = stored.agg(F.sum(whole)).first()[0] / scale / facts["n"]
-    stored = stored.withColumn(MARGIN, F.lit(base))
+    folders = [scratch_path(spark, "bins")]
+    base = known.agg(F.sum(F.floor(F.col(target) * F.lit(scale) + F.lit(0.5)).cast("long"))).first()[0] / scale / facts["n"]
+    _binned(known, columns, target, cuts, base).write.parquet(folders[0])
+    margins = Margins(spark.read.parquet(folders[0]), (), settings.learning_rate)
     random = np.random.default_rng(settings.seed)
     width = max(len(c) for c in cuts) + 2
-    trees, pending = [], 0
-    margins = None
+    trees: list[Tree] = []
     for number in range(settings.rounds):
         drawn = max(1, math.ceil(settings.column_share * len(columns)))
         features = sorted(random.choice(len(columns), size=drawn, replace=False).tolist())
-        rows = stored.withColumn("_g", _whole(F.col(TARGET) - F.col(MARGIN), scale))
-        if settings.row_share < 1:
-            lot = F.pmod(F.xxhash64(F.col(ID), F.lit(settings.seed), F.lit(number)), F.lit(1 << 20))
-            rows = rows.where(lot < int(settings.row_share * (1 << 20)))
-        tree = Grower(rows, features, width, settings, scale).grow()
-        trees.append(tree)
-        if len(tree.nodes) == 1 and tree.nodes[0].total == 0:
-            break
-        stored = stored.withColumn(MARGIN, F.col(MARGIN) + F.lit(settings.learning_rate) * tree.values())
-        pending += 1
-        if pending == STORE_EVERY and number + 1 < settings.rounds:
-            new = scratch_path(spark, "margins")
-            stored.write.parquet(new)
-            stored, pending = spark.read.parquet(new), 0
-            if margins is not None:
-                delete_path(spark, margins)
-            margins = new
-    for old in (path, margins):
-        if old is not None:
-            delete_path(spark, old)
+        lot = F.pmod(F.xxhash64(F.col(ID), F.lit(settings.seed), F.lit(number)), F.lit(1 << 20))
+        chosen = lot < F.lit(round(settings.row_share * (1 << 20))) if settings.row_share < 1 else F.lit(True)
+        trees.append(Grower(Histograms(margins, chosen, features, width, scale), settings).grow())
+        margins = margins.added(trees[-1])
+        if len(margins.pending) == STORE_EVERY and number + 1 < settings.rounds:
+            folders.append(scratch_path(spark, "margins"))
+            margins = margins.written(folders[-1])
+            delete_path(spark, folders.pop(0))
+    delete_path(spark, folders[0])
     return Forest(base, trees, cuts, scale)
 
 
-def _whole(x: Column, scale: float) -> Column:
-    return F.floor(x * F.lit(scale) + F.lit(0.5)).cast("long")
-
-
 STRUCT = (
     "treeID int, nodeData struct<id: int, prediction: double, impurity: double, impurityStats: array<double>, rawCount: bigint, "
     "gain: double, leftChild: int, rightChild: int, "

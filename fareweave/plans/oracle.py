@@ -7,6 +7,7 @@ from fareweave.plans.monitoring import drift_features
 from fareweave.plans.prepare import BASE_FEATURES
 from fareweave.plans.queries import BASELINE_END, LINE_NUMBERS, STREAM_WIDTHS, WHATIF_COLUMNS
 from fareweave.operators.features import ENGINEERED
+from fareweave.plans.tree_oracle import tree_oracles
 
 WEATHERS = sorted(WEATHER_SEVERITY)
 
@@ -816,3 +817,4 @@ ORACLES |= {
     f"({ORACLES['drf_summary']}) AS s",
     "snk_scenarios": ORACLES["wif_summary"],
 }
+ORACLES |= tree_oracles([*BASE, FEATURES, f"few AS (SELECT *, {split('ride_id')} AS split FROM features)"])

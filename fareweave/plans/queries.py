@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +39,7 @@ from fareweave.operators.quantiles import exact_quantiles
 from fareweave.operators.score import formula_scorer, score_requests
 from fareweave.operators.split import exact_sample, exact_split, first_rows, hash_split, union_splits
 from fareweave.plans import monitoring as M
+from fareweave.plans.boosting import NODES, HistogramBoosting, TreeSettings, fit_trees
 from fareweave.plans.predictor import PricePredictor
 from fareweave.plans.prepare import FittedState, prepare
 from fareweave.plans.training import Trained, run_log, train_all, train_table
@@ -900,6 +903,50 @@ trn_gbt_one = _one_tree("GradientBoosting")
 trn_gbt_alt_one = _one_tree("GradientBoostingFineBins")
 
 
+# A few trees on several unscaled features: small enough for SQL to grow them leaf by leaf.
+FEW_FEATURES = [
+    "hour_of_day", "day_of_week", "passenger_demand", "driver_availability", "weather_severity_score", "base_fare",
+]
+FEW_TREES = {
+    "leafwise": TreeSettings(rounds=3, learning_rate=0.3, leaves=4, max_depth=3, min_leaf=20, l2=0.0, bins=16),
+    "levelwise": TreeSettings(rounds=3, learning_rate=0.3, leaves=None, max_depth=2, min_leaf=1, l2=1.0, bins=16),
+}
+
+
+def _few_rows(spark, folder) -> DataFrame:
+    rides = hash_split(add_features(stored_rides(spark, folder)), "ride_id", config.TEST_SHARE, config.SEED)
+    return rides.select("ride_id", "split", config.TARGET, *[F.col(c).cast("double").alias(c) for c in FEW_FEATURES])
+
+
+def _few_trees(kind: str) -> Query:
+    """The nodes of all trees."""
+
+    def run(spark, folder):
+        train = _few_rows(spark, folder).where("split = 'train'")
+        forest = fit_trees(train, FEW_FEATURES, config.TARGET, FEW_TREES[kind])
+        nodes = spark.createDataFrame(forest.rows(), NODES)
+        names = F.get(F.array(*[F.lit(c) for c in FEW_FEATURES]), F.col("feature"))
+        return rounded(nodes.withColumn("feature", names), ["threshold", "gain", "value"])
+
+    return run
+
+
+def _few_predictions(kind: str) -> Query:
+    """What the trees, saved and read back as a model, predict for each ride."""
+
+    def run(spark, folder):
+        table_ = _few_rows(spark, folder)
+        settings = FEW_TREES[kind]
+        learner = HistogramBoosting(settings=settings).setFeaturesCol("v").setLabelCol(config.TARGET).setPredictionCol("p")
+        assembler = VectorAssembler(inputCols=FEW_FEATURES, outputCol="v")
+        path = scratch_path(spark, "few-trees")
+        Pipeline(stages=[assembler, learner]).fit(table_.where("split = 'train'")).save(path)
+        scored = PipelineModel.load(path).transform(table_)
+        return scored.select("ride_id", "split", r6(F.col("p")).alias("prediction"))
+
+    return run
+
+
 def sco_model_card(spark, folder):
     return _predictor(spark, folder).card(spark)
 
@@ -1104,9 +1151,13 @@ QUERIES |= {
     "trn_run_log_one": trn_run_log_one,
     "sco_model_one": sco_model_one,
     "sco_model_card_one": sco_model_card_one,
+    "trn_leafwise_trees": _few_trees("leafwise"),
+    "trn_leafwise_predictions": _few_predictions("leafwise"),
+    "trn_levelwise_trees": _few_trees("levelwise"),
+    "trn_levelwise_predictions": _few_predictions("levelwise"),
     "trn_ols": _training("linear_regression"),
     "trn_ridge": _training("ridge_regression"),
     "trn_forest": _training("random_forest"),
     "trn_gbt": _training("boosted_trees"),
-    "trn_gbt_alt": _training("boosted_trees_fine_bins"),
+    "trn_gbt_alt": _training("leafwise_trees"),
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml import Model, Pipeline, PipelineModel
@@ -14,6 +15,7 @@ from pyspark.sql import types as T
 
 from fareweave import config
 from fareweave.operators.evaluate import best_model, compare_models, evaluate_models, metric_log
+from fareweave.plans.boosting import HistogramBoosting, TreeSettings
 from fareweave.plans.prepare import Prepared
 from fareweave.storage import materialize
 
@@ -71,6 +73,13 @@ def _boosted_fine(params: dict, train: DataFrame, target: str) -> GBTRegressor:
     return _boosted({"bins": 255, **params}, train, target)
 
 
+def _histogram(defaults: dict) -> Callable[[dict, DataFrame, str], HistogramBoosting]:
+    def make(params: dict, train: DataFrame, target: str) -> HistogramBoosting:
+        return HistogramBoosting(settings=TreeSettings(**{**defaults, **params}))
+
+    return make
+
+
 # Learner kinds by name; a caller may add to it.
 LEARNERS = {
     "LinearRegression": _linear,
@@ -78,6 +87,10 @@ LEARNERS = {
     "RandomForest": _forest,
     "GradientBoosting": _boosted,
     "GradientBoostingFineBins": _boosted_fine,
+    # Trees of at most 31 leaves, the best leaf split first.
+    "LeafwiseBoosting": _histogram({"leaves": 31, "min_leaf": 20, "l2": 0.0}),
+    # Every leaf split that gains, down to the depth.
+    "LevelwiseBoosting": _histogram({"leaves": None, "min_leaf": 1, "l2": 1.0}),
 }
 
 
@@ -150,7 +163,7 @@ def train_all(
     The prepared table is written once: five learners read it many times, and it may
     be larger than the cluster's memory.
     """
-    table = materialize(prepared.table, "prepared")
+    table = materialize(prepared.table, "prepared", evenly=True)
     return train_table(table, list(prepared.state.features), experiments, target)
 
 
