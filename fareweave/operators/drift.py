@@ -239,10 +239,15 @@ def score_counts(
         .join(by_order, group, "left")
         .join(by_category, group, "left")
     )
+    return judged(joined, options, keys)
+
+
+def judged(measured: DataFrame, options: DriftOptions, keys: list[str]) -> DataFrame:
+    """The report columns from the chosen test and the statistics of each (keys, feature)."""
     statistic = F.lit(None).cast("double")
     for test in [*DISTANCES, *P_TESTS]:
         statistic = F.when(F.col("test") == test, F.col(test)).otherwise(statistic)
-    report = joined.withColumn("statistic", statistic)
+    report = measured.withColumn("statistic", statistic)
     if options.route == "small":
         p = p_values("test", "statistic", "ref_rows", "cur_rows", "distinct_values")
         report = report.withColumn("_p", F.when(F.col("test").isin(P_TESTS), p))

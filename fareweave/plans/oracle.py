@@ -818,3 +818,33 @@ ORACLES |= {
     "snk_scenarios": ORACLES["wif_summary"],
 }
 ORACLES |= tree_oracles([*BASE, FEATURES, f"few AS (SELECT *, {split('ride_id')} AS split FROM features)"])
+
+# Four lots; the watermark of a lot is the latest time of the lots before it, less an hour.
+LOTS = """lots AS (
+  SELECT lot, max("timestamp") AS latest, count(*) AS n FROM (SELECT *, ride_id % 4 AS lot FROM timed) GROUP BY lot),
+marks AS (
+  SELECT lot, max(latest) OVER (ORDER BY lot ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 1 HOUR AS before,
+         max(latest) OVER (ORDER BY lot) - INTERVAL 1 HOUR AS after, sum(n) OVER (ORDER BY lot) AS rows_in
+  FROM lots),
+judged AS (
+  SELECT t.*, lot, "timestamp" IS NULL AS untimed, coalesce(w + INTERVAL 1 DAY <= before, false) AS is_late
+  FROM timed t JOIN marks ON lot = ride_id % 4),
+last_mark AS (SELECT max(after) AS mark FROM marks)"""
+KEPT = f"""kept AS (
+  SELECT w, feature, x, v, count(*) AS n FROM ({
+    STREAM_LONG.replace("FROM timed", "FROM judged WHERE NOT untimed AND NOT is_late")
+  } UNION ALL SELECT w, '_rows', 1.0::DOUBLE, NULL FROM judged WHERE NOT untimed AND NOT is_late)
+  WHERE x IS NOT NULL OR v IS NOT NULL GROUP BY ALL)"""
+ORACLES |= {
+    "stm_late": with_(EVENT_RIDES, TIMED, LOTS)
+    + "SELECT ride_id, w AS window_start, CASE WHEN untimed THEN 'no_time' ELSE 'late' END AS reason "
+    "FROM judged WHERE untimed OR is_late",
+    "stm_windows": with_(EVENT_RIDES, TIMED, LOTS, KEPT)
+    + "SELECT w AS window_start, feature, x, v, n, w + INTERVAL 1 DAY <= mark AS closed FROM kept, last_mark",
+    "stm_balance": with_(EVENT_RIDES, TIMED, LOTS)
+    + """SELECT m.lot AS batch_id, after AS watermark, rows_in::BIGINT AS rows_in,
+       (rows_in - late - untimed)::BIGINT AS rows_kept, late::BIGINT AS rows_late, untimed::BIGINT AS rows_untimed
+FROM marks m JOIN (
+  SELECT lot, sum(count_if(is_late)) OVER (ORDER BY lot) AS late, sum(count_if(untimed)) OVER (ORDER BY lot) AS untimed
+  FROM judged GROUP BY lot) s USING (lot)""",
+}

@@ -61,12 +61,9 @@ from fareweave.sources.files import (
     write_table,
 )
 from fareweave.storage import materialize, scratch_path
-from fareweave.streaming.profile import (
-    baseline_profile,
-    start_drift,
-    start_profile,
-    windowed_profile,
-)
+from fareweave.streaming.drift import start_drift
+from fareweave.streaming.late import WindowTables, start_windows
+from fareweave.streaming.profile import baseline_profile, start_profile, windowed_profile
 from fareweave.streaming.scoring import start_scoring
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1041,6 +1038,45 @@ def stm_drift(spark, folder):
     )
 
 
+ARRIVALS = 4
+
+
+def _late_tables(spark: SparkSession, folder: str) -> WindowTables:
+    """All events, arriving in four lots by their number: each lot holds times of the whole month."""
+    columns = event_columns()
+    needed = ["ride_id", "timestamp", *STREAM_WIDTHS, *STREAM_TEXT]
+    rides = read_events(spark, folder).select(*[columns[c].alias(c) for c in needed])
+    source, out, checkpoint = (scratch_path(spark, f"stream-{n}") for n in ("arrived", "windows", "windows-checkpoint"))
+    for lot in range(ARRIVALS):
+        rides.where(F.col("ride_id") % ARRIVALS == lot).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(rides.schema).parquet(source)
+        start_windows(stream, "timestamp", STREAM_WIDTHS, STREAM_TEXT, out, checkpoint).awaitTermination()
+    return WindowTables(spark, out)
+
+
+def _utc(c: str) -> Column:
+    return F.col(c).cast("timestamp_ntz").alias(c)
+
+
+def stm_late(spark, folder):
+    """The rows that came after their window was closed."""
+    return _late_tables(spark, folder).late().select("ride_id", _utc("window_start"), "reason")
+
+
+def stm_windows(spark, folder):
+    """The counts of all windows, closed or open."""
+    tables = _late_tables(spark, folder)
+    both = tables.closed().withColumn("closed", F.lit(True)).unionByName(tables.open().withColumn("closed", F.lit(False)))
+    return both.select(_utc("window_start"), "feature", "x", "v", "n", "closed")
+
+
+def stm_balance(spark, folder):
+    """After each batch: rows of the stream, in windows, late, without a time."""
+    return _late_tables(spark, folder).progress().select(
+        "batch_id", _utc("watermark"), "rows_in", "rows_kept", "rows_late", "rows_untimed"
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in [
@@ -1135,6 +1171,9 @@ QUERIES: dict[str, Query] = {
         stm_quarantine,
         stm_profile,
         stm_drift,
+        stm_late,
+        stm_windows,
+        stm_balance,
     ]
 }
 QUERIES |= {

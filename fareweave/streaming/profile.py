@@ -1,4 +1,4 @@
-"""Feature profiles and drift per closed event-time window of a stream."""
+"""Feature profiles per closed event-time window of a stream."""
 
 from __future__ import annotations
 
@@ -9,11 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fareweave.operators.counts import long_values
-from fareweave.operators.drift import ROWS, DriftOptions, finite_columns, score_counts
-from fareweave.plans.monitoring import BASELINE, pair_with_baseline
-from fareweave.storage import materialize
+from fareweave.operators.drift import ROWS, finite_columns
 
-WINDOW_START = "window_start"
+WINDOW_START, WINDOW = "window_start", "_w"
 
 
 def binned(df: DataFrame, widths: dict[str, float]) -> DataFrame:
@@ -36,21 +34,23 @@ def windowed_profile(
 ) -> DataFrame:
     """Rows per (window, feature, bin). Rows later than the watermark are dropped.
 
-    A column ``_rows`` counts the rows of the window.
+    A column ``_rows`` counts the rows of the window. ``_w`` is the window itself, for further
+    aggregation in the same stream.
     """
     timed = stream.withColumn("_time", F.col(time_column).cast("timestamp")).withWatermark("_time", delay)
     ready = binned(timed, widths).withColumn(ROWS, F.lit(1.0))
     long = long_values(ready, [*widths, ROWS], text, ["_time"])
-    counted = long.groupBy(F.window("_time", window).alias("_w"), "feature", "x", "v").agg(
+    counted = long.groupBy(F.window("_time", window).alias(WINDOW), "feature", "x", "v").agg(
         F.count(F.lit(1)).alias("n")
     )
-    return counted.select(F.col("_w.start").alias(WINDOW_START), "feature", "x", "v", "n")
+    return counted.select(F.col("_w.start").alias(WINDOW_START), "feature", "x", "v", "n", WINDOW)
 
 
 def start_profile(profile: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append the counts of each window once it is closed."""
     return (
-        profile.writeStream.outputMode("append")
+        profile.drop(WINDOW)
+        .writeStream.outputMode("append")
         .format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
@@ -67,43 +67,3 @@ def baseline_profile(baseline: DataFrame, widths: dict[str, float], text: list[s
         .groupBy("feature", "x", "v")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-
-
-def start_drift(
-    profile: DataFrame,
-    baseline: DataFrame,
-    columns: list[str],
-    path: str,
-    checkpoint: str,
-    options: DriftOptions = DriftOptions(),
-) -> StreamingQuery:
-    """Score each closed window against the baseline counts and write the scores.
-
-    All bins of a window close in the same batch. A batch writes its own folder in
-    overwrite mode, so repeating it changes nothing.
-    """
-    # Written once: every batch reads the counts, none counts the baseline again.
-    stored = materialize(baseline.select("feature", "x", "v", "n"), "baseline-profile")
-    ref = stored.select(F.lit(BASELINE).alias("scenario"), "feature", "x", "v", "n")
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.withColumn("scenario", F.col(WINDOW_START).cast("string")).persist()
-        try:
-            windows = [r[0] for r in batch.select("scenario").distinct().collect()]
-            if windows:
-                current = batch.select("scenario", "feature", "x", "v", "n")
-                counts = pair_with_baseline(ref.unionByName(current), windows)
-                report = score_counts(counts, columns, options, ["scenario"])
-                report.withColumn(WINDOW_START, F.col("scenario").cast("timestamp")).drop(
-                    "scenario"
-                ).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-        finally:
-            batch.unpersist()
-
-    return (
-        profile.writeStream.outputMode("append")
-        .foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )

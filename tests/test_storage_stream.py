@@ -12,7 +12,8 @@ from fareweave.plans import queries as Q
 from fareweave.sources import files
 from fareweave.sources.events import hourly_supply, read_events, rides_from_events
 from fareweave.storage import materialize, scratch_root
-from fareweave.streaming.profile import baseline_profile, start_drift, start_profile, windowed_profile
+from fareweave.streaming.drift import start_drift
+from fareweave.streaming.profile import baseline_profile, start_profile, windowed_profile
 from fareweave.streaming.scoring import start_scoring
 
 
