@@ -12,7 +12,7 @@ from fareweave.functions.numeric import missing, round_half_even
 from fareweave.functions.rides import WEATHER_SEVERITY
 from fareweave.operators.counts import long_values
 from fareweave.operators.quantiles import exact_quantiles
-from fareweave.schema import REQUEST, is_floating
+from fareweave.schema import MALFORMED, REQUEST, is_floating
 
 QUARTILES = [0.25, 0.5, 0.75]
 
@@ -179,7 +179,8 @@ def validate_requests(df: DataFrame) -> DataFrame:
     """Type the nine request fields and add ``errors`` (codes ``field:reason``) and ``valid``.
 
     Reasons are ``missing``, ``type`` (the text cannot be read as the type) and ``range``.
-    A field that the table lacks is missing in every row. Other columns pass through.
+    A field that the table lacks is missing in every row. A row with text in
+    ``malformed_document`` has the one error ``document:malformed``. Other columns pass through.
     """
     others = [c for c in df.columns if c not in REQUEST.fieldNames()]
     typed, errors = [], []
@@ -197,14 +198,16 @@ def validate_requests(df: DataFrame) -> DataFrame:
             .when(value.isNull(), F.lit(f"{f.name}:type"))
             .when(~in_range, F.lit(f"{f.name}:range"))
         )
-    found = F.array_compact(F.array(*errors)).alias("errors")
-    return df.select(*others, *typed, found).withColumn("valid", F.size("errors") == 0)
+    found = F.array_compact(F.array(*errors))
+    if MALFORMED in df.columns:
+        found = F.when(F.col(MALFORMED).isNotNull(), F.array(F.lit("document:malformed"))).otherwise(found)
+    return df.select(*others, *typed, found.alias("errors")).withColumn("valid", F.size("errors") == 0)
 
 
 def split_requests(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Accepted requests, and a quarantine table with the raw fields and the errors."""
     checked = validate_requests(df)
-    accepted = checked.where("valid").drop("errors", "valid")
+    accepted = checked.where("valid").drop("errors", "valid", MALFORMED)
     raw = [F.col(f"_raw.{c}").alias(c) for c in df.columns]
     kept = validate_requests(df.withColumn("_raw", F.struct(*df.columns)))
     rejected = kept.where(~F.col("valid")).select(*raw, "errors")

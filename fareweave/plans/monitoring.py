@@ -62,12 +62,12 @@ class DriftDetector:
         names = drift_columns(self.reference, self.current, self.skip)
         return drift_report(self.reference, self.current, names, self.options)
 
-    def generate_report(self, run_time: str, history: str | None = None) -> DataFrame:
-        """The one-row summary; it is appended to the history table if a path is given."""
+    def generate_report(self, run_time: str, history: str | None = None, run_id: str | None = None) -> DataFrame:
+        """The one-row summary; it joins the history table if a path is given, under the run's id or time."""
         summary = stamp(summarize(self.scores(), self.options), run_time)
         if history:
             summary = materialize(summary, "drift-summary")
-            append_drift_history(summary, history)
+            append_drift_history(summary, history, run_id)
         return summary
 
 

@@ -848,3 +848,14 @@ FROM marks m JOIN (
   SELECT lot, sum(count_if(is_late)) OVER (ORDER BY lot) AS late, sum(count_if(untimed)) OVER (ORDER BY lot) AS untimed
   FROM judged GROUP BY lot) s USING (lot)""",
 }
+ORACLES |= {
+    "flt_malformed": with_(*BASE)
+    + f"""SELECT ride_id, CASE WHEN ride_id % 12 IN (0, 1, 2, 4, 5, 6, 7, 8) THEN 'document:malformed' ELSE {ERRORS} END AS errors,
+       CASE ride_id % 12 WHEN 0 THEN '{{' WHEN 1 THEN '[' WHEN 2 THEN '4' WHEN 4 THEN '{{' WHEN 5 THEN '' WHEN 6 THEN '{{'
+         WHEN 7 THEN '{{' WHEN 8 THEN '' END AS begins
+FROM rides WHERE ride_id % 12 IN (0, 1, 2, 4, 5, 6, 7, 8) OR NOT ({VALID})""",
+    # Of a repeated key the last value counts, so these read like the others.
+    "jsn_documents": with_(*BASE) + REQUEST_TEXT + " WHERE ride_id % 12 IN (3, 9, 10, 11)",
+    "snk_drift_rerun": f"SELECT run, s.* FROM (VALUES ('007'), ('b')) AS r(run), ({ORACLES['drf_summary']}) AS s",
+    "snk_runs": f"SELECT run, s.* FROM (VALUES ('1'), ('2024-02-02')) AS r(run), ({ONE_LOG}) AS s",
+}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from fareweave.plans.monitoring import DriftDetector, encode_weather
 from fareweave.plans.predictor import PricePredictor
 from fareweave.plans.prepare import Prepared, prepare
 from fareweave.plans.training import Trained, run_log, train_all
-from fareweave.sources.files import read_baseline, write_best_metrics, write_table
+from fareweave.sources.files import read_baseline, write_best_metrics, write_run, write_table
 
 
 @dataclass(frozen=True)
@@ -37,9 +38,19 @@ def write_baseline(prepared: Prepared, paths: Paths) -> None:
 
 
 def run_pipeline(
-    rides: DataFrame, out: str, experiments: list[dict] | None = None, exact_split: bool = False
+    rides: DataFrame,
+    out: str,
+    experiments: list[dict] | None = None,
+    exact_split: bool = False,
+    run_id: str | None = None,
 ) -> Trained:
-    """Prepare, train and compare all experiments, and write every result below ``out``."""
+    """Prepare, train and compare all experiments, and write every result below ``out``.
+
+    ``run_log`` and ``runs`` keep the log and the comparison of every run, one partition per id;
+    a run that is repeated under its id replaces what it wrote. Without an id each call is a run
+    of its own. The other tables hold the last run.
+    """
+    run_id = run_id or uuid.uuid4().hex
     spark = rides.sparkSession
     paths = Paths(out)
     prepared = prepare(rides, exact=exact_split)
@@ -47,7 +58,8 @@ def run_pipeline(
     write_baseline(prepared, paths)
     trained = train_all(prepared, experiments)
     write_table(trained.comparison, paths.of("model_comparison"), "csv")
-    write_table(run_log(trained), paths.of("run_log"), mode="append")
+    write_run(run_log(trained), paths.of("run_log"), run_id)
+    write_run(trained.comparison, paths.of("runs"), run_id)
     write_best_metrics(trained.best(), paths.of("metrics"))
     record = trained.best().first().asDict()
     metrics = {k: v for k, v in record.items() if k != "best_model"}
@@ -60,12 +72,14 @@ def load_predictor(spark: SparkSession, out: str) -> PricePredictor:
     return PricePredictor.load(spark, Paths(out).of("predictor"))
 
 
-def check_drift(spark: SparkSession, rides: DataFrame, out: str, run_time: str) -> DataFrame:
+def check_drift(
+    spark: SparkSession, rides: DataFrame, out: str, run_time: str, run_id: str | None = None
+) -> DataFrame:
     """Compare rides with the baseline of a run and add the summary to its drift history."""
     baseline = read_baseline(spark, Paths(out).of("baseline"))
     current = encode_weather(add_features(rides))
     detector = DriftDetector(baseline).set_current_data(current)
-    return detector.generate_report(run_time, Paths(out).of("drift_history"))
+    return detector.generate_report(run_time, Paths(out).of("drift_history"), run_id)
 
 
 __all__ = ["check_drift", "load_predictor", "run_pipeline"]

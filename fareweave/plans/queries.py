@@ -53,10 +53,12 @@ from fareweave.sources.files import (
     read_baseline,
     read_drift_history,
     read_rides,
+    read_runs,
     read_scenarios,
     read_table,
     to_documents,
     write_best_metrics,
+    write_run,
     write_scenarios,
     write_table,
 )
@@ -260,6 +262,42 @@ def flt_quarantine(spark, folder):
     return rejected.select("ride_id", "hour_of_day", F.concat_ws(",", "errors").alias("errors"))
 
 
+def _spoilt_documents(spark, folder) -> DataFrame:
+    """Requests as JSON documents, by their number cut off, wrapped, doubled, or otherwise spoilt."""
+    requests = load_requests(spark, folder)
+    body, kind = F.to_json(F.struct(*REQUEST.fieldNames())), F.col("ride_id") % 12
+    spoilt = {
+        0: F.substring(body, F.lit(1), F.length(body) - 5),
+        1: F.concat(F.lit("["), body, F.lit("]")),
+        2: F.lit("42"),
+        3: F.concat(F.lit('{"hour_of_day": "99", '), F.substring(body, F.lit(2), F.length(body))),
+        4: F.concat(body, F.lit(" x")),
+        5: F.lit(""),
+        6: F.concat(body, F.lit(","), body),
+        7: F.concat(body, F.lit("],["), body),
+        8: F.lit(None).cast("string"),
+        9: F.concat(F.lit("  "), body, F.lit(" \n")),
+    }
+    text = body
+    for k, changed in spoilt.items():
+        text = F.when(kind == k, changed).otherwise(text)
+    return requests.select("ride_id", text.alias("body"))
+
+
+def flt_malformed(spark, folder):
+    """What is wrong with each rejected document, and how its text begins if it could not be read."""
+    rejected = Q.split_requests(parse_requests(_spoilt_documents(spark, folder), "body"))[1]
+    return rejected.select(
+        "ride_id", F.concat_ws(",", "errors").alias("errors"), F.substring("malformed_document", 1, 1).alias("begins")
+    )
+
+
+def jsn_documents(spark, folder):
+    """The fields of the documents that could be read."""
+    parsed = parse_requests(_spoilt_documents(spark, folder), "body").where("malformed_document IS NULL")
+    return parsed.select("ride_id", "hour_of_day", "passenger_demand", "weather_condition", "is_weekend")
+
+
 def str_weather_match(spark, folder):
     requests = load_requests(spark, folder)
     return requests.select("ride_id", F.col("weather_condition").rlike(R.WEATHER_PATTERN).alias("matches"))
@@ -746,6 +784,28 @@ def snk_drift_history(spark, folder):
     return _flat_summary(history.withColumn("run_date", F.col("run_date").cast("string")), ["run_date"])
 
 
+def snk_drift_rerun(spark, folder):
+    """A run that is repeated under its id, and one under another id, in one history."""
+    path = scratch_path(spark, "history")
+    summary = materialize(D.stamp(D.summarize(_report(spark, folder)), "2024-02-01 10:00:00"), "drift-summary")
+    for run_id in ("007", "007", "b"):
+        append_drift_history(summary, path, run_id)
+    return _flat_summary(read_drift_history(spark, path), ["run"])
+
+
+def snk_runs(spark, folder):
+    """The logs of two runs, one of them written twice."""
+    path = scratch_path(spark, "run-log")
+    log = materialize(run_log(_one_feature(spark, folder, "demand_supply_ratio", ONE_LINEAR)), "log")
+    write_run(log.where("model_name = 'ridge_regression'"), path, "1")
+    for run_id in ("1", "2024-02-02"):
+        write_run(log, path, run_id)
+    kept = read_runs(spark, path).where("key <> 'training_time'")
+    number = F.when(F.col("kind") == "metric", r6(F.col("value").cast("double")))
+    text = F.when(F.col("kind") == "param", F.col("value"))
+    return kept.select("run", "model_name", "kind", "key", number.alias("number"), text.alias("text"))
+
+
 def snk_scenarios(spark, folder):
     """The combined results of a simulation."""
     path = scratch_path(spark, "scenarios")
@@ -1091,6 +1151,8 @@ QUERIES: dict[str, Query] = {
         flt_masks,
         flt_valid,
         flt_quarantine,
+        flt_malformed,
+        jsn_documents,
         str_weather_match,
         str_label_score,
         cln_null_profile,
@@ -1159,6 +1221,8 @@ QUERIES: dict[str, Query] = {
         snk_comparison,
         snk_best,
         snk_drift_history,
+        snk_drift_rerun,
+        snk_runs,
         snk_scenarios,
         wif_compare,
         wif_summary,

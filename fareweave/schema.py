@@ -27,6 +27,9 @@ REQUEST = T.StructType(
     [f for f in RIDES.fields if f.name not in ("ride_id", "timestamp", "price_multiplier")]
 )
 
+# The text of a request document that could not be read.
+MALFORMED = "malformed_document"
+
 EVENTS = T.StructType(
     [
         T.StructField("event_id", T.LongType()),

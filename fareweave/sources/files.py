@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fareweave.schema import REQUEST, RIDES, as_text
+from fareweave.schema import MALFORMED, REQUEST, RIDES, as_text
 
 
 # CSV keeps microseconds, which the default format would cut.
@@ -21,8 +21,8 @@ class MissingTable(FileNotFoundError):
 def read_table(
     spark: SparkSession, path: str, schema: T.StructType | None = None, fmt: str = "parquet"
 ) -> DataFrame:
-    """Read CSV (with header), JSON or Parquet. CSV and JSON need a schema."""
-    if fmt != "parquet" and schema is None:
+    """Read CSV (with header), JSON, lines of text or Parquet. CSV and JSON need a schema."""
+    if fmt in ("csv", "json") and schema is None:
         raise ValueError(f"reading {fmt} needs a schema")
     reader = spark.read.schema(schema) if schema is not None else spark.read
     if fmt == "csv":
@@ -45,8 +45,9 @@ def read_baseline(spark: SparkSession, path: str, schema: T.StructType | None =
 
 
 def read_requests(spark: SparkSession, path: str) -> DataFrame:
-    """JSON scoring requests, all fields as text so that validation sees the raw value."""
-    return read_table(spark, path, as_text(REQUEST), "json")
+    """JSON scoring requests, one document a line; see ``parse_requests``. Blank lines are no documents."""
+    lines = read_table(spark, path, fmt="text")
+    return parse_requests(lines.where(F.trim("value") != ""), "value")
 
 
 def requests_from_rows(spark: SparkSession, rows: list[dict]) -> DataFrame:
@@ -55,12 +56,36 @@ def requests_from_rows(spark: SparkSession, rows: list[dict]) -> DataFrame:
     return spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], REQUEST)
 
 
+# Strict JSON; Spark would also take single quotes.
+JSON_OPTIONS = {"allowSingleQuotes": "false"}
+
+
+def is_document(text: Column) -> Column:
+    """Whether a text is one JSON object and nothing beside it.
+
+    Spark's parser stops after the first value, and takes a list of objects for its first
+    one. Inside brackets, and inside an object, a text passes only as a single whole value.
+    """
+    in_list = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>", JSON_OPTIONS)
+    in_object = F.from_json(F.concat(F.lit('{"d":'), text, F.lit("}")), "d string", JSON_OPTIONS)
+    whole = (F.size(in_list) == 1) & in_object["d"].isNotNull()
+    return F.coalesce(F.ltrim(text, F.lit(" \t\r\n")).startswith("{") & whole, F.lit(False))
+
+
 def parse_requests(df: DataFrame, column: str) -> DataFrame:
-    """Expand a column of JSON text into raw request fields."""
-    parsed = F.from_json(F.col(column), as_text(REQUEST))
-    return df.withColumn("_request", parsed).select(
-        *[c for c in df.columns if c != column], "_request.*"
-    )
+    """Expand a column of JSON text into raw request fields, all text, so that validation sees the raw value.
+
+    Text that is no JSON object (cut off, a list, a number, two documents, null) gives no
+    fields; it stands in ``malformed_document``, which is null for the others. Of a repeated key the last value counts.
+    """
+    text = F.col(column)
+    read = F.struct(is_document(text).alias("good"), F.from_json(text, as_text(REQUEST), JSON_OPTIONS).alias("request"))
+    # Through a generator, so that the optimizer does not copy the parsing into each use of a field.
+    parsed = df.withColumn("_read", F.explode(F.array(read)))
+    good = F.col("_read.good")
+    fields = [F.when(good, F.col(f"_read.request.{n}")).alias(n) for n in REQUEST.fieldNames()]
+    raw = F.when(~good, F.coalesce(text, F.lit(""))).alias(MALFORMED)
+    return parsed.select(*[c for c in df.columns if c not in (column, MALFORMED)], *fields, raw)
 
 
 def write_table(
@@ -85,15 +110,43 @@ def write_best_metrics(best: DataFrame, path: str) -> None:
     ).json(path)
 
 
-def append_drift_history(summary: DataFrame, path: str) -> None:
-    """Add a run to the drift history, partitioned by the day of the run."""
-    summary.withColumn("run_date", F.to_date("run_time")).write.mode("append").partitionBy(
-        "run_date"
-    ).parquet(path)
+RUN = "run"
+
+
+def write_run(df: DataFrame, path: str, run_id: str, partition_by: list[str] | None = None) -> None:
+    """Write the rows of one run into a table of runs. A run that is written again replaces its own rows, no others.
+
+    A run without rows leaves what it wrote before; its id must not be empty.
+    """
+    if not run_id:
+        raise ValueError("a run needs an id")
+    by = [*(partition_by or []), RUN]
+    named = df.withColumn(RUN, F.lit(run_id))
+    named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of all runs, with the column ``run`` as it was given: an id of digits stays text."""
+    schema = read_table(spark, path).schema
+    fields = [T.StructField(f.name, T.StringType()) if f.name == RUN else f for f in schema.fields]
+    return read_table(spark, path, T.StructType(fields))
+
+
+def append_drift_history(summary: DataFrame, path: str, run_id: str | None = None) -> None:
+    """Add a run to the drift history, partitioned by the day of the run and its id.
+
+    Without an id the run is known by its time, so a repeated run takes its own place.
+    """
+    if run_id is None:
+        first = summary.agg(F.date_format(F.max("run_time"), "yyyy-MM-dd'T'HH-mm-ss.SSSSSS")).first()[0]
+        if first is None:
+            return
+        run_id = first
+    write_run(summary.withColumn("run_date", F.to_date("run_time")), path, run_id, ["run_date"])
 
 
 def read_drift_history(spark: SparkSession, path: str) -> DataFrame:
-    return read_table(spark, path)
+    return read_runs(spark, path)
 
 
 # The nested document of one drift run.
