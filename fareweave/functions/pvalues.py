@@ -71,6 +71,35 @@ def kolmogorov_tail(lam: float) -> float:
     return float(np.clip(2.0 * np.sum((-1.0) ** (k - 1) * np.exp(-2.0 * (k * lam) ** 2)), 0.0, 1.0))
 
 
+def exact_ks_tail(ties: list[int], n: int, m: int, distance: float) -> float:
+    """The share of all ways to deal the pooled values to samples of n and m that lie at least ``distance`` apart.
+
+    ``ties`` are the sizes of the groups of equal values, in order. A deal is a path of n steps
+    right and m steps up; it counts as near if at the end of every group its shares differ by
+    less. The chance of a near path is carried from value to value: n + m steps of up to n + 1 numbers.
+    """
+    if n == 0 or m == 0:
+        return 1.0
+    total = n + m
+    least = round(distance * n * m)
+    if least <= 0:
+        return 1.0
+    near = np.zeros(n + 1)
+    near[0] = 1.0
+    right = np.arange(n + 1)
+    seen = 0
+    for size in ties:
+        for _ in range(size):
+            # The next value goes to the first sample with the chance of its places that are left.
+            go = near * ((n - right) / (total - seen))
+            near = near - go
+            near[1:] += go[:-1]
+            seen += 1
+        up = seen - right
+        near[np.abs(right * m - up * n) >= least] = 0.0
+    return float(min(1.0, max(0.0, 1.0 - near.sum())))
+
+
 def p_value(test: str, statistic: float, n: int, m: int, distinct: int) -> float | None:
     if statistic is None or math.isnan(statistic):
         return None
@@ -89,3 +118,13 @@ def p_values(
 ) -> pd.Series:
     rows = zip(test, statistic, n, m, distinct)
     return pd.Series([p_value(*r) for r in rows], dtype="float64")
+
+
+@F.pandas_udf(DoubleType())
+def exact_ks_p_values(ties: pd.Series, n: pd.Series, m: pd.Series, statistic: pd.Series) -> pd.Series:
+    rows = zip(ties, n, m, statistic)
+    found = [
+        None if t is None or s is None or math.isnan(s) else exact_ks_tail([int(v) for v in t], int(a), int(b), s)
+        for t, a, b, s in rows
+    ]
+    return pd.Series(found, dtype="float64")

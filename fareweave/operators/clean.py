@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from fareweave.functions.numeric import missing
 from fareweave.operators.counts import value_counts
 from fareweave.operators.quantiles import exact_quantiles
+from fareweave.operators.sketches import approx_quantiles
 from fareweave.schema import boolean_columns, categorical_columns, is_floating, numeric_columns
 
 
@@ -78,9 +79,13 @@ def column_modes(df: DataFrame, columns: list[str]) -> dict[str, str | None]:
 
 
 def fit_imputer(
-    df: DataFrame, skip: list[str] | None = None, columns: list[str] | None = None
+    df: DataFrame, skip: list[str] | None = None, columns: list[str] | None = None, approx: bool = False
 ) -> Imputer:
-    """Learn a fill value for every column, whether or not it has missing values in these rows."""
+    """Learn a fill value for every column, whether or not it has missing values in these rows.
+
+    With ``approx``, medians come from sketches: a value of the column whose rank is within
+    ``sketches.rank_error()`` of the middle.
+    """
     skip = skip or []
     names = [c for c in (columns or df.columns) if c not in skip]
     numeric = [c for c in numeric_columns(df) if c in names]
@@ -88,7 +93,7 @@ def fit_imputer(
     text = [c for c in categorical_columns(df) if c in names] + booleans
     if not numeric + text:
         return Imputer()
-    medians = exact_quantiles(df, numeric, [0.5])
+    medians = (approx_quantiles if approx else exact_quantiles)(df, numeric, [0.5])
     modes = column_modes(df, text)
     gaps = {r["column_name"] for r in null_counts(df, numeric).collect() if r["has_missing"]} if numeric else set()
     return Imputer(

@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fareweave import config
-from fareweave.functions.pvalues import p_values
+from fareweave.functions.pvalues import exact_ks_p_values, p_values
 from fareweave.operators.counts import IS_REF, PART, flagged_counts, in_ranges, paired_counts
 from fareweave.schema import categorical_columns, numeric_columns
 from fareweave.storage import materialize
@@ -35,6 +35,9 @@ class DriftOptions:
     few_values: int = config.FEW_VALUES
     # large: distances; small: p-values. The caller says which; the size of a table does not.
     route: str = "large"
+    # Kolmogorov-Smirnov p-values of the small route: from the limiting distribution, or counted
+    # exactly, ties included. That takes (n + m) * n steps and all distinct values of a column in one row.
+    exact_ks: bool = False
     # any, min_features or share.
     policy: str = "any"
     min_features: int = config.ALERT_FEATURES
@@ -239,6 +242,10 @@ def score_counts(
         .join(by_order, group, "left")
         .join(by_category, group, "left")
     )
+    if options.route == "small" and options.exact_ks:
+        by_value = F.sort_array(F.collect_list(F.struct("x", (F.col("n_ref") + F.col("n_cur")).alias("n"))))
+        sizes = values.join(tests.where("test = 'ks'").select(*group), group).groupBy(*group).agg(by_value.alias("_v"))
+        joined = joined.join(sizes.select(*group, F.transform("_v", lambda v: v["n"]).alias("ties")), group, "left")
     return judged(joined, options, keys)
 
 
@@ -250,6 +257,8 @@ def judged(measured: DataFrame, options: DriftOptions, keys: list[str]) -> DataF
     report = measured.withColumn("statistic", statistic)
     if options.route == "small":
         p = p_values("test", "statistic", "ref_rows", "cur_rows", "distinct_values")
+        if options.exact_ks and "ties" in measured.columns:
+            p = F.when(F.col("test") == "ks", exact_ks_p_values("ties", "ref_rows", "cur_rows", "statistic")).otherwise(p)
         report = report.withColumn("_p", F.when(F.col("test").isin(P_TESTS), p))
     else:
         report = report.withColumn("_p", F.lit(None).cast("double"))

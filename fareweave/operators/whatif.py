@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields, replace
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,8 +20,12 @@ class Scenario:
     driver_factor: float | None = None
     temperature_drop: float | None = None
     weather: str | None = None
+    # SQL expressions over the raw columns, as (column, expression); they see the columns before any change.
+    changes: tuple[tuple[str, str], ...] = ()
 
 
+RULES = ["name", "demand_factor", "driver_factor", "temperature_drop", "weather"]
+
 # Demand spikes by severity.
 DEMAND_SPIKES = {
     "mild": Scenario("demand_mild", 1.5, 0.8, 2.0),
@@ -67,17 +71,17 @@ def _literal(value, name: str) -> Column:
 
 def apply_scenario(df: DataFrame, scenario: Scenario) -> DataFrame:
     """One variant of a table with raw ride columns; engineered columns are recomputed."""
-    return _changed(df, {f.name: _literal(getattr(scenario, f.name), f.name) for f in fields(Scenario)})
+    changed = df.withColumns({c: F.expr(sql) for c, sql in scenario.changes})
+    return _changed(changed, {n: _literal(getattr(scenario, n), n) for n in RULES})
 
 
 def apply_scenarios(df: DataFrame, scenarios: list[Scenario]) -> DataFrame:
-    """All variants at once with a leading ``scenario`` column, from a single scan."""
-    rules = [
-        F.struct(*[_literal(getattr(s, f.name), f.name).alias(f.name) for f in fields(Scenario)])
-        for s in scenarios
-    ]
+    """All variants at once with a leading ``scenario`` column, from a single scan; none may have ``changes``."""
+    if any(s.changes for s in scenarios):
+        raise ValueError("scenarios with expressions of their own are applied one by one")
+    rules = [F.struct(*[_literal(getattr(s, n), n).alias(n) for n in RULES]) for s in scenarios]
     tagged = df.withColumn("_rule", F.explode(F.array(*rules)))
-    changed = _changed(tagged, {f.name: F.col(f"_rule.{f.name}") for f in fields(Scenario)})
+    changed = _changed(tagged, {n: F.col(f"_rule.{n}") for n in RULES})
     names = [c for c in changed.columns if c != "_rule"]
     return changed.select(F.col("_rule.name").alias("scenario"), *names)
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -224,10 +227,59 @@ def run_simulation(
     )
     if not good:
         return failed
-    report = compare_scenarios(rides, good, options, samples, key)
+    if samples is not None:
+        report = compare_scenarios(rides, good, options, samples, key)
+        return summarize(report, options, ["scenario"]).unionByName(failed, allowMissingColumns=True)
+    counts, errors = _isolated_counts(rides, good, key)
+    failed = failed.unionByName(spark.createDataFrame(errors, failed.schema))
+    if counts is None:
+        return failed
+    report = score_counts(counts, drift_features(), options, ["scenario"])
     return summarize(report, options, ["scenario"]).unionByName(failed, allowMissingColumns=True)
 
 
+def _isolated_counts(
+    rides: DataFrame, scenarios: list[Scenario], key: str
+) -> tuple[DataFrame | None, list[tuple[str, str]]]:
+    """Counts of the scenarios whose rows could be computed, paired with the baseline's; and the others' errors.
+
+    Scenarios of plain rules share one scan. One with expressions of its own has a job of its
+    own, under the tag ``scenario-<name>``; so has every one if the shared scan fails. The
+    baseline is counted once; if that fails, so does the call.
+    """
+    spark = rides.sparkSession
+    rides = rides.select(key, *BASE_FEATURES, "weather_condition")
+    columns = drift_features()
+
+    def counted(variants: DataFrame) -> DataFrame:
+        ready = finite_columns(encode_weather(variants), ["scenario", *columns])
+        return materialize(value_counts(ready, [*columns, ROWS], [], ["scenario"]), "scenario-counts")
+
+    def alone(scenario: Scenario) -> DataFrame:
+        tag = "scenario-" + re.sub(r"\W", "_", scenario.name)
+        spark.addTag(tag)
+        try:
+            return counted(apply_scenario(rides, scenario).withColumn("scenario", F.lit(scenario.name)))
+        finally:
+            spark.removeTag(tag)
+
+    shared = [s for s in scenarios if not s.changes]
+    done, errors = [], []
+    try:
+        base = counted(apply_scenarios(rides, [Scenario(BASELINE), *shared]))
+        done += [s.name for s in shared]
+        left = [s for s in scenarios if s.changes]
+    except PySparkException:
+        base, left = alone(Scenario(BASELINE)), scenarios
+    for scenario in left:
+        try:
+            base = base.unionByName(alone(scenario))
+            done.append(scenario.name)
+        except PySparkException as error:
+            errors.append((scenario.name, str(error).splitlines()[0]))
+    return (pair_with_baseline(base, done) if done else None), errors
+
+
 __all__ = [
     "BASELINE",
     "DEMAND_SPIKES",

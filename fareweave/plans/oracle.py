@@ -859,3 +859,38 @@ FROM rides WHERE ride_id % 12 IN (0, 1, 2, 4, 5, 6, 7, 8) OR NOT ({VALID})""",
     "snk_drift_rerun": f"SELECT run, s.* FROM (VALUES ('007'), ('b')) AS r(run), ({ORACLES['drf_summary']}) AS s",
     "snk_runs": f"SELECT run, s.* FROM (VALUES ('1'), ('2024-02-02')) AS r(run), ({ONE_LOG}) AS s",
 }
+
+FARES_UP = spiked("control").replace("base_fare FROM", "base_fare * 1.5::DOUBLE AS base_fare FROM")
+# All ways to choose six of the twelve slots, by the bits of a number.
+KS_EXACT = """slots AS (
+  SELECT hour(ts) // 2 AS slot, count(*)::DOUBLE AS events, count(DISTINCT user_id)::DOUBLE AS users,
+         round(avg(value), 0) AS mean_value, (count(*) % 7)::DOUBLE AS odd
+  FROM events WHERE ts IS NOT NULL GROUP BY 1),
+points AS (
+  SELECT *, (row_number() OVER (PARTITION BY feature ORDER BY x, slot) - 1)::INTEGER AS bit
+  FROM slots UNPIVOT (x FOR feature IN (events, users, mean_value, odd))),
+deals AS (
+  SELECT m AS deal FROM range(4096) r(m) WHERE bit_count(m) = 6
+  UNION ALL SELECT -1),
+dealt AS (
+  SELECT deal, feature, x, bit, CASE WHEN deal < 0 THEN slot < 6 ELSE (deal >> bit) & 1 = 1 END AS is_ref FROM points, deals),
+gone AS (
+  SELECT deal, feature, x, bit,
+         sum(CASE WHEN is_ref THEN 1 ELSE -1 END) OVER (PARTITION BY deal, feature ORDER BY x) AS apart
+  FROM dealt),
+distances AS (SELECT deal, feature, max(abs(apart))::BIGINT AS d FROM gone GROUP BY deal, feature),
+compared AS (
+  SELECT feature, any_value(o.d) AS d, count(*) FILTER (a.d >= o.d) / count(*) AS p
+  FROM distances a JOIN (SELECT feature, d FROM distances WHERE deal < 0) o USING (feature) WHERE deal >= 0 GROUP BY feature)"""
+ORACLES |= {
+    "wif_isolated": with_(*scenario_drift({"demand_severe": spiked("demand_severe"), "fares_up": FARES_UP, "control": spiked("control")}, []))
+    + "SELECT scenario, count(*) FILTER (score >= 0.1) AS n_drifted_features, "
+    "coalesce(string_agg(feature, ',' ORDER BY position) FILTER (score >= 0.1), '') AS drifted_features, NULL AS why "
+    "FROM stats JOIN positions USING (feature) GROUP BY scenario UNION ALL SELECT 'broken', NULL, '', 'DIVIDE_BY_ZERO'",
+    "agg_sketches": "SELECT feature, p::DOUBLE AS p, count(*) AS n, true AS within FROM (SELECT l_quantity::DOUBLE AS l_quantity, "
+    "l_extendedprice::DOUBLE AS l_extendedprice, l_discount::DOUBLE AS l_discount FROM lineitem) "
+    "UNPIVOT (x FOR feature IN (l_quantity, l_extendedprice, l_discount)), "
+    "(VALUES (0.01), (0.1), (0.25), (0.5), (0.75), (0.9), (0.99)) AS shares(p) GROUP BY feature, p",
+    "drf_ks_exact": with_(KS_EXACT)
+    + f"SELECT feature, 'ks' AS test, {r6('d / 6.0::DOUBLE', 'statistic')}, {r6('p', 'score')}, p < 0.05 AS drift_detected FROM compared",
+}

@@ -136,11 +136,15 @@ def fit_state(
     target: str = config.TARGET,
     categorical: list[str] | None = None,
     max_categories: int = 100,
+    approx: bool = False,
 ) -> FittedState:
-    """Learn fill values, categories and scaling from the given rows; never from the target."""
+    """Learn fill values, categories and scaling from the given rows; never from the target.
+
+    With ``approx``, medians come from sketches instead of exact ranks.
+    """
     categorical = categorical or config.CATEGORICAL_COLUMNS
     raw = rides.select(*BASE_FEATURES, *categorical)
-    imputer = fit_imputer(raw)
+    imputer = fit_imputer(raw, approx=approx)
     filled = imputer.transform(raw)
     encoder = fit_one_hot(filled, categorical, max_categories)
     names = feature_names(encoder)
@@ -157,6 +161,7 @@ def prepare(
     seed: int = config.SEED,
     exact: bool = False,
     fit_on: str = "train",
+    approx: bool = False,
 ) -> Prepared:
     """Split, fit on the training rows (or on all) and transform both splits.
 
@@ -166,6 +171,6 @@ def prepare(
     labelled = rides.where(present(F.col(target)))
     split = with_split(labelled, key, test_share, seed, exact)
     learn = split if fit_on == "all" else split.where(F.col("split") == "train")
-    state = fit_state(drop_columns(learn, config.ID_COLUMNS), target)
+    state = fit_state(drop_columns(learn, config.ID_COLUMNS), target, approx=approx)
     table = state.transform(split, keep=[key, "split", target])
     return Prepared(table, state, split)

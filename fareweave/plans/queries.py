@@ -37,6 +37,7 @@ from fareweave.operators.features import (
 )
 from fareweave.operators.quantiles import exact_quantiles
 from fareweave.operators.score import formula_scorer, score_requests
+from fareweave.operators.sketches import merge_sketches, rank_error, sketch_columns, sketch_quantiles
 from fareweave.operators.split import exact_sample, exact_split, first_rows, hash_split, union_splits
 from fareweave.plans import monitoring as M
 from fareweave.plans.boosting import NODES, HistogramBoosting, TreeSettings, fit_trees
@@ -840,6 +841,21 @@ def wif_errors(spark, folder):
     return summary.select("scenario", "n_drifted_features", F.col("error").isNotNull().alias("failed"))
 
 
+def wif_isolated(spark, folder):
+    """A scenario whose rows cannot be computed gets an error row; those before and after it are reported."""
+    scenarios = [
+        "severe",
+        X.Scenario("broken", changes=(("base_fare", "base_fare / (day_of_week - day_of_week)"),)),
+        X.Scenario("fares_up", changes=(("base_fare", "base_fare * 1.5D"),)),
+        X.CONTROL,
+    ]
+    summary = M.run_simulation(load_rides(spark, folder), scenarios, D.DriftOptions(route="large"))
+    why = F.regexp_extract("error", r"\[([A-Z_]+)\]", 1)
+    return summary.select(
+        "scenario", "n_drifted_features", F.concat_ws(",", "drifted_features").alias("drifted_features"), why.alias("why")
+    )
+
+
 # --- training ----------------------------------------------------------------------
 
 
@@ -1137,6 +1153,44 @@ def stm_balance(spark, folder):
     )
 
 
+SKETCHED = ["l_quantity", "l_extendedprice", "l_discount"]
+SHARES = [0.01, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99]
+
+
+def agg_sketches(spark, folder):
+    """Quantiles from sketches of (flag, status) parts, stored and merged: are their exact ranks within the bound?"""
+    lines = table(spark, folder, "lineitem")
+    parts = materialize(sketch_columns(lines, SKETCHED, ["l_returnflag", "l_linestatus"]), "sketches")
+    merged = materialize(sketch_quantiles(merge_sketches(parts), SHARES), "quantiles")
+    asked = merged.select("feature", "n", F.posexplode("quantiles").alias("i", "q"))
+    # Rows below, and up to, each estimate.
+    long = lines.select(*[F.col(c).cast("double").alias(c) for c in SKETCHED]).unpivot([], SKETCHED, "feature", "x")
+    ranked = long.join(F.broadcast(asked), "feature").groupBy("feature", "n", "i").agg(
+        F.count_if(F.col("x") < F.col("q")).alias("below"), F.count_if(F.col("x") <= F.col("q")).alias("upto")
+    )
+    share, slack = F.element_at(F.array(*[F.lit(p) for p in SHARES]), F.col("i") + 1), 2 * rank_error() * F.col("n")
+    inside = (F.col("below") <= share * F.col("n") + slack) & (F.col("upto") >= share * F.col("n") - slack)
+    return ranked.select("feature", share.alias("p"), "n", inside.alias("within"))
+
+
+def drf_ks_exact(spark, folder):
+    """Exact p-values: events, users and mean values per two hours, the first half of the day against the second."""
+    slots = (
+        read_events(spark, folder).where("ts IS NOT NULL")
+        .groupBy(F.floor(F.hour("ts") / 2).alias("slot"))
+        .agg(
+            F.count(F.lit(1)).cast("double").alias("events"), F.countDistinct("user_id").cast("double").alias("users"),
+            F.round(F.avg("value"), 0).alias("mean_value"), F.pmod(F.count(F.lit(1)), F.lit(7)).cast("double").alias("odd"),
+        )
+    )
+    slots = materialize(slots, "slots")
+    options = D.DriftOptions(route="small", exact_ks=True, few_values=0)
+    report = D.drift_report(
+        slots.where("slot < 6"), slots.where("slot >= 6"), ["events", "users", "mean_value", "odd"], options
+    )
+    return rounded(report.select("feature", "test", "statistic", "score", "drift_detected"), ["statistic", "score"])
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in [
@@ -1162,6 +1216,7 @@ QUERIES: dict[str, Query] = {
         agg_medians,
         agg_modes,
         agg_quantiles_narrow,
+        agg_sketches,
         enc_categories,
         enc_onehot,
         enc_onehot_unknown,
@@ -1212,6 +1267,7 @@ QUERIES: dict[str, Query] = {
         drf_report,
         drf_small,
         drf_small_p,
+        drf_ks_exact,
         drf_summary,
         drf_policies,
         drf_document,
@@ -1227,6 +1283,7 @@ QUERIES: dict[str, Query] = {
         wif_compare,
         wif_summary,
         wif_errors,
+        wif_isolated,
         trn_compare,
         trn_run_log,
         sco_model_card,
