@@ -54,10 +54,11 @@ def edits_allowed(length: int) -> int:
 
 @dataclass(frozen=True)
 class Term:
-    """A beginning of words, or a whole word."""
+    """A beginning of words, or a whole word; ``weight`` is how much its texts speak for toxicity, 1 at most."""
 
     text: str
     whole: bool
+    weight: float = 1.0
 
 
 @dataclass
@@ -185,6 +186,7 @@ class Hit:
     quoted: bool
     addressed: bool
     at: int  # word number
+    weight: float = 1.0  # of the term
 
 
 def find_hits(text: str, lexicon: Lexicon) -> tuple[list[Hit], int]:
@@ -207,6 +209,7 @@ def find_hits(text: str, lexicon: Lexicon) -> tuple[list[Hit], int]:
         if word not in found:
             continue
         edits, number = found[word]
+        term = lexicon.terms[number]
         window = words[max(0, at - WINDOW) : at + WINDOW + 1]
         left = text[max(0, span.start() - NEAR) : span.start()]
         right = text[span.end() : span.end() + NEAR]
@@ -215,7 +218,7 @@ def find_hits(text: str, lexicon: Lexicon) -> tuple[list[Hit], int]:
         reported = bool(REPORTING.intersection(words[max(0, at - WINDOW) : at]))
         addressed = bool(ADDRESS.intersection(window)) or "!" in text[span.end() : span.end() + 3]
         hits.append(
-            Hit(span.start(), span.end(), lexicon.terms[number].text, edits, marks or reported, addressed, at)
+            Hit(span.start(), span.end(), term.text, edits, marks or reported, addressed, at, term.weight)
         )
     return hits, len(words)
 
@@ -229,12 +232,12 @@ def features_of(hits: list[Hit], n_words: int) -> list[float]:
             near += 1
         most = max(most, i - near + 1)
     return [
-        math.log1p(sum(h.edits == 0 for h in direct)),
-        math.log1p(sum(h.edits > 0 for h in direct)),
+        math.log1p(sum(h.weight for h in direct if h.edits == 0)),
+        math.log1p(sum(h.weight for h in direct if h.edits > 0)),
         math.log1p(len(hits) - len(direct)),
-        min(1.0, 20.0 * len(direct) / max(1, n_words)),
+        min(1.0, 20.0 * sum(h.weight for h in direct) / max(1, n_words)),
         math.log1p(most),
-        math.log1p(sum(h.addressed for h in direct)),
+        math.log1p(sum(h.weight for h in direct if h.addressed)),
     ]
 
 
@@ -267,14 +270,28 @@ def _marked(labels: DataFrame) -> DataFrame:
 
 
 def _texts(docs: DataFrame, marked: DataFrame) -> DataFrame:
-    """(text, toxic) of the documents in ``marked``, equal texts once."""
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(marked, "doc_id")
+    """(text, toxic) of the documents in ``marked``, at most MAX_TRAINING_ROWS of them; equal texts once."""
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(marked), "doc_id")
     return rows.groupBy("text").agg(F.max("toxic").cast("int").alias("toxic"))
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, toxic): all labelled documents that are not held out, equal texts once."""
-    return _texts(docs, materialize(_marked(labels), "toxicity-labels"))
+    """(text, toxic): all labelled documents that are not held out, equal texts once.
+
+    Which document stands for equal texts, and its label, is decided on digests; texts are
+    shuffled once, to meet their label. The plan is the same at every size.
+    """
+    digest = F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))
+    usable = docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    marked = materialize(_marked(labels), "toxicity-labels")
+    narrow = usable.select("doc_id", digest.alias("_sha")).join(marked.hint("merge"), "doc_id")
+    chosen = materialize(
+        narrow.groupBy("_sha").agg(F.min("doc_id").alias("doc_id"), F.max("toxic").cast("int").alias("toxic")), "toxicity-chosen"
+    )
+    texts = usable.select("doc_id", digest.alias("_sha"), F.coalesce("text", F.lit("")).alias("text"))
+    met = texts.join(chosen.hint("merge"), ["doc_id", "_sha"])
+    # Rows equal in id and text lie together after the join.
+    return met.dropDuplicates(["doc_id", "_sha"]).select("text", "toxic")
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -> DataFrame:
@@ -284,7 +301,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINI
     share = min(1.0, max_rows / max(1, total))
     some = marked.where(F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(1_000_003)) < share * 1_000_003)
     # At most max_rows ids and labels go to the documents.
-    return materialize(_texts(docs, F.broadcast(some)), "toxicity-training")
+    return materialize(_texts(docs, some), "toxicity-training")
 
 
 def _word_counts(training: DataFrame) -> DataFrame:
@@ -335,10 +352,14 @@ def _learn_terms(words: DataFrame, toxic_texts: int, clean_texts: int) -> list[T
     rows = (
         tried.where((k >= LEAST) & (k >= PURITY * (k + c)) & (k > share * (k + c)))
         .where(divergence >= math.log(max(1, tried.count()) / CHANCE))
-        .select("term", "toxic")
+        .select("term", "toxic", "clean")
         .collect()
     )
     pure = {r["term"]: r["toxic"] for r in rows}
+    # The odds that a text with the term is toxic, against those of any text; 1 for a term of all toxic texts alone.
+    prior = clean_texts / toxic_texts
+    most = math.log((toxic_texts + 0.5) / 0.5 * prior)
+    weight = {r["term"]: min(1.0, math.log((r["toxic"] + 0.5) / (r["clean"] + 0.5) * prior) / most) for r in rows}
     longer: dict[str, list[str]] = {}
     for term in pure:
         longer.setdefault(term[:-1], []).append(term)
@@ -350,7 +371,7 @@ def _learn_terms(words: DataFrame, toxic_texts: int, clean_texts: int) -> list[T
         if sum(pure[t] for t in main) >= 0.75 * pure[term]:
             todo += main
         else:
-            terms.add(Term(term.rstrip(END), term.endswith(END)))
+            terms.add(Term(term.rstrip(END), term.endswith(END), weight[term]))
     return sorted(terms, key=lambda t: (t.text, t.whole))
 
 
