@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from fareweave.functions.numeric import missing
 from fareweave.operators.counts import value_counts
-from fareweave.operators.quantiles import exact_quantiles
-from fareweave.operators.sketches import approx_quantiles
+from fareweave.operators.quantiles import quantiles_of_counts
+from fareweave.operators.sketches import approx_medians
 from fareweave.schema import boolean_columns, categorical_columns, is_floating, numeric_columns
+from fareweave.storage import materialize
+
+ROWS = "_rows"  # the feature that counts rows
 
 
 def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -62,6 +65,23 @@ class Imputer:
         return df.withColumns(filled) if filled else df
 
 
+def column_counts(df: DataFrame, numeric: list[str], text: list[str]) -> DataFrame:
+    """Rows per (feature, value) of all columns, and of the table as feature ``_rows``: one scan, written once.
+
+    Numbers stand in ``x``, texts and truth values in ``v``; missing values are not counted.
+    """
+    ready = df.select(*numeric, *[F.col(c).cast("string").alias(c) for c in text], F.lit(1.0).alias(ROWS))
+    return materialize(value_counts(ready, [*numeric, ROWS], text), "column-counts")
+
+
+def modes_of_counts(counts: DataFrame, columns: list[str]) -> dict[str, str | None]:
+    """Most frequent value per column as text, the smallest one on ties; the driver reads a row per column."""
+    mine = counts.where(F.col("feature").isin(columns) & F.col("v").isNotNull())
+    best = mine.groupBy("feature").agg(F.min(F.struct((-F.col("n")).alias("negative"), F.col("v"))).alias("best"))
+    modes = {r["feature"]: r["best"]["v"] for r in best.collect()}
+    return {c: modes.get(c) for c in columns}
+
+
 def column_modes(df: DataFrame, columns: list[str]) -> dict[str, str | None]:
     """Most frequent value per string or boolean column as text, the smallest one on ties.
 
@@ -70,12 +90,13 @@ def column_modes(df: DataFrame, columns: list[str]) -> dict[str, str | None]:
     """
     if not columns:
         return {}
-    counts = value_counts(df.select(*[F.col(c).cast("string").alias(c) for c in columns]), [], columns)
-    best = counts.where(F.col("v").isNotNull()).groupBy("feature").agg(
-        F.min(F.struct((-F.col("n")).alias("negative"), F.col("v"))).alias("best")
-    )
-    modes = {r["feature"]: r["best"]["v"] for r in best.collect()}
-    return {c: modes.get(c) for c in columns}
+    return modes_of_counts(value_counts(df.select(*[F.col(c).cast("string").alias(c) for c in columns]), [], columns), columns)
+
+
+def _classes(df: DataFrame, names: list[str]) -> tuple[list[str], list[str], list[str]]:
+    """Numeric columns, boolean ones, and all that have modes."""
+    booleans = [c for c in boolean_columns(df) if c in names]
+    return [c for c in numeric_columns(df) if c in names], booleans, [c for c in categorical_columns(df) if c in names] + booleans
 
 
 def fit_imputer(
@@ -83,27 +104,36 @@ def fit_imputer(
 ) -> Imputer:
     """Learn a fill value for every column, whether or not it has missing values in these rows.
 
-    With ``approx``, medians come from sketches: a value of the column whose rank is within
-    ``sketches.rank_error()`` of the middle.
+    All of it comes from one scan, the counts of the columns' values. With ``approx``, numbers are
+    not counted by value: their medians come from sketches, a value of the column whose rank is
+    within ``sketches.rank_error()`` of the middle.
     """
-    skip = skip or []
-    names = [c for c in (columns or df.columns) if c not in skip]
-    numeric = [c for c in numeric_columns(df) if c in names]
-    booleans = [c for c in boolean_columns(df) if c in names]
-    text = [c for c in categorical_columns(df) if c in names] + booleans
+    return fit_imputer_and_counts(df, skip, columns, approx)[0]
+
+
+def fit_imputer_and_counts(
+    df: DataFrame, skip: list[str] | None = None, columns: list[str] | None = None, approx: bool = False
+) -> tuple[Imputer, DataFrame | None]:
+    """The imputer and the counts it was learnt from, which also list the categories."""
+    names = [c for c in (columns or df.columns) if c not in (skip or [])]
+    numeric, booleans, text = _classes(df, names)
     if not numeric + text:
-        return Imputer()
-    medians = (approx_quantiles if approx else exact_quantiles)(df, numeric, [0.5])
-    modes = column_modes(df, text)
-    gaps = {r["column_name"] for r in null_counts(df, numeric).collect() if r["has_missing"]} if numeric else set()
-    return Imputer(
-        medians={c: q[0] for c, q in medians.items() if q[0] is not None},
+        return Imputer(), None
+    counts = column_counts(df, [] if approx else numeric, text)
+    sizes = {r["feature"]: r["n"] for r in counts.groupBy("feature").agg(F.sum("n").alias("n")).collect()}
+    if approx:
+        medians, known = approx_medians(df, numeric)
+        sizes |= known
+    else:
+        medians = {c: q[0] for c, q in quantiles_of_counts(counts, numeric, [0.5]).items()}
+    modes = modes_of_counts(counts, text) if text else {}
+    imputer = Imputer(
+        medians={c: q for c, q in medians.items() if q is not None},
         modes={c: m == "true" if c in booleans else m for c, m in modes.items() if m is not None},
-        gaps=tuple(c for c in numeric if c in gaps),
-        empty=tuple(
-            [c for c, q in medians.items() if q[0] is None] + [c for c, m in modes.items() if m is None]
-        ),
+        gaps=tuple(c for c in numeric if sizes.get(c, 0) < sizes.get(ROWS, 0)),
+        empty=tuple([c for c, q in medians.items() if q is None] + [c for c, m in modes.items() if m is None]),
     )
+    return imputer, counts
 
 
 def handle_missing_values(df: DataFrame) -> DataFrame:

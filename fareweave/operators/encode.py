@@ -51,8 +51,13 @@ def fit_one_hot(df: DataFrame, columns: list[str], max_categories: int) -> OneHo
     The caller says how many columns a table may get; a column with more categories is an
     error. ``category_table`` lists any number of them without the driver.
     """
+    return one_hot_of(category_table(df, columns), columns, max_categories)
+
+
+def one_hot_of(listed: DataFrame, columns: list[str], max_categories: int) -> OneHotEncoder:
+    """The encoder of a table (column_name, category) of distinct categories."""
     limit = max_categories * len(columns) + 1
-    rows = category_table(df, columns).limit(limit).collect()
+    rows = listed.limit(limit).collect()
     found: dict[str, list[str]] = {c: [] for c in columns}
     for row in rows:
         found[row["column_name"]].append(row["category"])

@@ -10,8 +10,9 @@ from pyspark.sql import types as T
 
 from fareweave.functions.numeric import missing, round_half_even
 from fareweave.functions.rides import WEATHER_SEVERITY
+from fareweave.operators.clean import column_counts
 from fareweave.operators.counts import long_values
-from fareweave.operators.quantiles import exact_quantiles
+from fareweave.operators.quantiles import quantiles_of_counts
 from fareweave.schema import MALFORMED, REQUEST, is_floating
 
 QUARTILES = [0.25, 0.5, 0.75]
@@ -24,21 +25,25 @@ def _per_column(df: DataFrame, columns: list[str], *aggregates: Column) -> DataF
 
 
 def describe(df: DataFrame, columns: list[str], decimals: int = 3) -> DataFrame:
-    """Per column: count, mean, sample std, min, exact quartiles and max, rounded."""
-    quartiles = exact_quantiles(df, columns, QUARTILES)
+    """Per column: count, mean, sample std, min, exact quartiles and max, rounded.
+
+    One scan counts the values of all columns; everything else comes from the counts.
+    """
+    counts = column_counts(df, columns, []).where(F.col("feature").isin(columns))
+    quartiles = quantiles_of_counts(counts, columns, QUARTILES)
     listed = df.sparkSession.createDataFrame(
         [(c, *quartiles[c]) for c in columns],
         "column_name string, p25 double, p50 double, p75 double",
     )
-    stats = _per_column(
-        df,
-        columns,
-        F.count("x").alias("count"),
-        F.avg("x").alias("mean"),
-        F.stddev_samp("x").alias("std"),
-        F.min("x").alias("min"),
-        F.max("x").alias("max"),
+    n, x = F.col("n"), F.col("x")
+    means = counts.groupBy(F.col("feature").alias("column_name")).agg(
+        F.sum(n).alias("count"), (F.sum(x * n) / F.sum(n)).alias("mean"), F.min(x).alias("min"), F.max(x).alias("max")
     )
+    # The means have one row per column.
+    off = counts.join(F.broadcast(means), F.col("feature") == F.col("column_name"))
+    squares = off.groupBy("column_name").agg(F.sum(n * (x - F.col("mean")) * (x - F.col("mean"))).alias("_s"))
+    std = F.when(F.col("count") > 1, F.sqrt(F.col("_s") / (F.col("count") - 1)))
+    stats = means.join(F.broadcast(squares), "column_name").withColumn("std", std)
     # Both sides have one row per column.
     joined = listed.join(F.broadcast(stats), "column_name", "left")
     rounded = [

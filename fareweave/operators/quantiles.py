@@ -22,7 +22,12 @@ def neighbours(
 ) -> DataFrame:
     """Per column with values: ``size`` and, for the i-th probability, the values ``low_i`` and ``high_i`` around it."""
     values = df.select(*[nan_to_null(F.col(c).cast("double")).alias(c) for c in columns])
-    ranged = in_ranges(value_counts(values, columns, []).select("feature", "x", "n"), parts=parts)
+    return neighbours_in_counts(value_counts(values, columns, []), probabilities, parts)
+
+
+def neighbours_in_counts(counts: DataFrame, probabilities: list[float], parts: int | None = None) -> DataFrame:
+    """``neighbours`` from rows per (feature, x)."""
+    ranged = in_ranges(counts.select("feature", "x", "n"), parts=parts)
     earlier = W.partitionBy("feature").orderBy(PART).rowsBetween(W.unboundedPreceding, -1)
     starts = (
         ranged.groupBy("feature", PART)
@@ -54,7 +59,19 @@ def exact_quantiles(
     """
     if not columns:
         return {}
-    found = {r["feature"]: r for r in neighbours(df, columns, probabilities, parts).collect()}
+    return _interpolated(neighbours(df, columns, probabilities, parts), columns, probabilities)
+
+
+def quantiles_of_counts(counts: DataFrame, columns: list[str], probabilities: list[float]) -> dict[str, list[float | None]]:
+    """``exact_quantiles`` from rows per (feature, x), which are not counted again."""
+    if not columns:
+        return {}
+    mine = counts.where(F.col("feature").isin(columns) & F.col("x").isNotNull())
+    return _interpolated(neighbours_in_counts(mine, probabilities), columns, probabilities)
+
+
+def _interpolated(found: DataFrame, columns: list[str], probabilities: list[float]) -> dict[str, list[float | None]]:
+    found = {r["feature"]: r for r in found.collect()}
     out: dict[str, list[float | None]] = {}
     for c in columns:
         if c not in found:

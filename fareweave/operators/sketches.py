@@ -60,3 +60,11 @@ def approx_quantiles(df: DataFrame, columns: list[str], probabilities: list[floa
         return {}
     found = sketch_quantiles(sketch_columns(df, columns, k=k), probabilities).select("feature", "quantiles").collect()
     return {r["feature"]: list(r["quantiles"] or [None] * len(probabilities)) for r in found}
+
+
+def approx_medians(df: DataFrame, columns: list[str], k: int = K) -> tuple[dict[str, float | None], dict[str, int]]:
+    """The estimated median and the number of known values of each column, from one scan."""
+    if not columns:
+        return {}, {}
+    found = sketch_quantiles(sketch_columns(df, columns, k=k), [0.5]).select("feature", ROWS_OF, "quantiles").collect()
+    return {r["feature"]: (r["quantiles"] or [None])[0] for r in found}, {r["feature"]: r[ROWS_OF] for r in found}

@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
-from fareweave.functions.rides import WEATHER_SEVERITY
-from fareweave.plans.monitoring import drift_features
-from fareweave.plans.prepare import BASE_FEATURES
-from fareweave.plans.queries import BASELINE_END, LINE_NUMBERS, STREAM_WIDTHS, WHATIF_COLUMNS
-from fareweave.operators.features import ENGINEERED
 from fareweave.plans.tree_oracle import tree_oracles
 
+# Fixed values, written out here so that a wrong constant in the code under test shows.
+WEATHER_SEVERITY = {'clear': 0, 'cloudy': 1, 'rain': 2, 'storm': 3, 'snow': 4}
+BASE_FEATURES = ['hour_of_day', 'day_of_week', 'is_weekend', 'passenger_demand', 'driver_availability', 'temperature',
+ 'visibility_km', 'base_fare']
+ENGINEERED = ['demand_supply_ratio', 'is_rush_hour', 'weather_severity_score', 'hour_sin', 'hour_cos', 'is_night',
+ 'demand_weather_interaction', 'fare_per_driver']
+DRIFT_FEATURES = ['hour_of_day', 'day_of_week', 'is_weekend', 'passenger_demand', 'driver_availability', 'temperature',
+ 'visibility_km', 'base_fare', 'weather_condition_clear', 'weather_condition_cloudy', 'weather_condition_rain',
+ 'weather_condition_snow', 'weather_condition_storm', 'demand_supply_ratio', 'hour_sin', 'hour_cos',
+ 'demand_weather_interaction', 'fare_per_driver', 'is_rush_hour', 'weather_severity_score', 'is_night']
+WHATIF_COLUMNS = ['ride_id', 'passenger_demand', 'driver_availability', 'temperature', 'weather_condition', 'weather_severity_score',
+ 'demand_supply_ratio', 'demand_weather_interaction', 'fare_per_driver']
+STREAM_WIDTHS = {'temperature': 5.0, 'visibility_km': 1.0, 'base_fare': 0.5}
+BASELINE_END = '2024-01-16'
+LINE_NUMBERS = ['l_quantity', 'l_extendedprice', 'l_discount', 'l_tax']
+
 WEATHERS = sorted(WEATHER_SEVERITY)
 
 
@@ -249,7 +260,7 @@ ONE_CARD = (
 
 # --- drift -----------------------------------------------------------------------
 
-COLUMNS = drift_features()
+COLUMNS = DRIFT_FEATURES
 AS_DOUBLE = ", ".join(
     f"CAST({'CAST(is_weekend AS INTEGER)' if c == 'is_weekend' else c} AS DOUBLE) AS {c}" for c in COLUMNS
 )
@@ -894,3 +905,20 @@ ORACLES |= {
     "drf_ks_exact": with_(KS_EXACT)
     + f"SELECT feature, 'ks' AS test, {r6('d / 6.0::DOUBLE', 'statistic')}, {r6('p', 'score')}, p < 0.05 AS drift_detected FROM compared",
 }
+NO_GRADIENT = "SELECT unnest([" + ", ".join(f"'{c}'" for c in [*ALL_FEATURES, "intercept"]) + "]) AS weight, 0.0::DOUBLE AS gradient"
+ORACLES |= {
+    "trn_ols_gradient": NO_GRADIENT,
+    "trn_ridge_gradient": NO_GRADIENT,
+    "sco_pipeline_one": with_(*ONE_LINES)
+    + f"SELECT ride_id, {r6(f'intercept + slope * ({RATIO})', 'prediction')} FROM rides, best_line WHERE {VALID}",
+}
+ORACLES["enc_sparse"] = """
+WITH known AS (
+  SELECT DISTINCT 1 AS o, o_orderpriority AS category FROM orders WHERE o_orderkey % 2 = 1
+  UNION ALL SELECT DISTINCT 2, o_custkey::VARCHAR FROM orders WHERE o_orderkey % 2 = 1
+  UNION ALL SELECT DISTINCT 3, o_orderstatus FROM orders WHERE o_orderkey % 2 = 1),
+places AS (SELECT o, category, row_number() OVER (ORDER BY o, category) - 1 AS place FROM known WHERE category IS NOT NULL)
+SELECT o_orderkey, concat_ws(',', p.place, c.place, s.place) AS positions, (SELECT count(*) FROM places) AS size
+FROM orders LEFT JOIN places p ON p.o = 1 AND p.category = o_orderpriority
+     LEFT JOIN places c ON c.o = 2 AND c.category = o_custkey::VARCHAR
+     LEFT JOIN places s ON s.o = 3 AND s.category = o_orderstatus"""

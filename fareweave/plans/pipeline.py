@@ -6,13 +6,15 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fareweave.operators.features import add_features
 from fareweave.plans.monitoring import DriftDetector, encode_weather
 from fareweave.plans.predictor import PricePredictor
 from fareweave.plans.prepare import Prepared, prepare
 from fareweave.plans.training import Trained, run_log, train_all
-from fareweave.sources.files import read_baseline, write_best_metrics, write_run, write_table
+from fareweave.sources.files import RUN, read_baseline, read_runs, write_best_metrics, write_run, write_table
+from fareweave.storage import scratch_scope
 
 
 @dataclass(frozen=True)
@@ -48,11 +50,16 @@ def run_pipeline(
 
     ``run_log`` and ``runs`` keep the log and the comparison of every run, one partition per id;
     a run that is repeated under its id replaces what it wrote. Without an id each call is a run
-    of its own. The other tables hold the last run.
+    of its own. The other tables hold the last run. Intermediate tables are deleted at the end.
     """
-    run_id = run_id or uuid.uuid4().hex
+    with scratch_scope(rides.sparkSession):
+        return _run_pipeline(rides, Paths(out), experiments, exact_split, run_id or uuid.uuid4().hex)
+
+
+def _run_pipeline(
+    rides: DataFrame, paths: Paths, experiments: list[dict] | None, exact_split: bool, run_id: str
+) -> Trained:
     spark = rides.sparkSession
-    paths = Paths(out)
     prepared = prepare(rides, exact=exact_split)
     write_processed(prepared, paths)
     write_baseline(prepared, paths)
@@ -65,7 +72,13 @@ def run_pipeline(
     metrics = {k: v for k, v in record.items() if k != "best_model"}
     best = PricePredictor.of(trained.best_run(), prepared.state, metrics)
     best.save(spark, paths.of("predictor"))
-    return trained
+    write_run(trained.metrics, paths.of("split_metrics"), run_id)
+
+    def mine(table: str) -> DataFrame:
+        return read_runs(spark, paths.of(table)).where(F.col(RUN) == run_id).drop(RUN)
+
+    # What stays readable after the scratch tables are gone.
+    return Trained(trained.runs, mine("split_metrics"), mine("runs").orderBy("test_rmse", "model_name"))
 
 
 def load_predictor(spark: SparkSession, out: str) -> PricePredictor:

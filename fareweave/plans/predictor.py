@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 
 from fareweave.operators.score import RAW, score_requests
 from fareweave.plans.prepare import FittedState
+from fareweave.plans.saved_pipeline import ROW, RidePreparation, state_to_json
 from fareweave.plans.training import Run
 
 CARD = T.StructType(
@@ -47,9 +49,13 @@ class PricePredictor:
         The row travels along in one struct column, because scaling changes columns
         that the price needs unscaled.
         """
-        packed = df.withColumn("_row", F.struct(*df.columns))
-        scaled = self.model.transform(self.preprocess(packed, keep=["_row"]))
-        return scaled.select("_row.*", F.col(f"prediction_{self.name}").alias(RAW))
+        scored = self.pipeline().transform(df)
+        return scored.select(f"{ROW}.*", F.col(f"prediction_{self.name}").alias(RAW))
+
+    def pipeline(self) -> PipelineModel:
+        """Preparation and model as one pipeline, which is also what is saved."""
+        card = json.dumps({"name": self.name, "kind": self.kind, "metrics": self.metrics})
+        return PipelineModel([RidePreparation(state=state_to_json(self.state), card=card), *self.model.stages])
 
     def predict(self, df: DataFrame, decimals: int | None = 2) -> tuple[DataFrame, DataFrame]:
         """Scored valid requests and quarantined invalid ones."""
@@ -61,17 +67,11 @@ class PricePredictor:
         return spark.createDataFrame([row], CARD)
 
     def save(self, spark: SparkSession, path: str) -> None:
-        self.model.write().overwrite().save(f"{path}/model")
-        self.state.save(spark, f"{path}/state")
-        self.card(spark).coalesce(1).write.mode("overwrite").json(f"{path}/card")
+        """One saved pipeline: the state and the card are parameters of its first stage."""
+        self.pipeline().write().overwrite().save(path)
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> PricePredictor:
-        card = spark.read.schema(CARD).json(f"{path}/card").first()
-        return PricePredictor(
-            card["model_name"],
-            card["model_type"],
-            PipelineModel.load(f"{path}/model"),
-            FittedState.load(spark, f"{path}/state"),
-            card["metrics"] or {},
-        )
+        preparation, *stages = PipelineModel.load(path).stages
+        told = preparation.told()
+        return PricePredictor(told["name"], told["kind"], PipelineModel(stages), preparation.fitted(), told["metrics"])

@@ -10,8 +10,8 @@ from pyspark.sql import types as T
 
 from fareweave import config
 from fareweave.functions.numeric import present
-from fareweave.operators.clean import Imputer, drop_columns, fit_imputer
-from fareweave.operators.encode import OneHotEncoder, StandardScaler, fit_one_hot, fit_scaler
+from fareweave.operators.clean import Imputer, drop_columns, fit_imputer_and_counts
+from fareweave.operators.encode import OneHotEncoder, StandardScaler, fit_scaler, one_hot_of
 from fareweave.operators.features import ENGINEERED, add_features
 from fareweave.operators.split import exact_split, hash_split
 
@@ -144,9 +144,12 @@ def fit_state(
     """
     categorical = categorical or config.CATEGORICAL_COLUMNS
     raw = rides.select(*BASE_FEATURES, *categorical)
-    imputer = fit_imputer(raw, approx=approx)
-    filled = imputer.transform(raw)
-    encoder = fit_one_hot(filled, categorical, max_categories)
+    # One scan counts the values of all columns: fill values and categories come from the counts. A fill value is a category.
+    imputer, counts = fit_imputer_and_counts(raw, approx=approx)
+    listed = counts.where(F.col("feature").isin(categorical) & F.col("v").isNotNull())
+    encoder = one_hot_of(
+        listed.select(F.col("feature").alias("column_name"), F.col("v").alias("category")), categorical, max_categories
+    )
     names = feature_names(encoder)
     unscaled = FittedState(imputer, encoder, StandardScaler({}, {}), tuple(names))
     scaler = fit_scaler(unscaled.engineer(raw).select(*names), names)

@@ -38,12 +38,13 @@ from fareweave.operators.features import (
 from fareweave.operators.quantiles import exact_quantiles
 from fareweave.operators.score import formula_scorer, score_requests
 from fareweave.operators.sketches import merge_sketches, rank_error, sketch_columns, sketch_quantiles
+from fareweave.operators.sparse import category_places, sparse_one_hot
 from fareweave.operators.split import exact_sample, exact_split, first_rows, hash_split, union_splits
 from fareweave.plans import monitoring as M
 from fareweave.plans.boosting import NODES, HistogramBoosting, TreeSettings, fit_trees
 from fareweave.plans.predictor import PricePredictor
 from fareweave.plans.prepare import FittedState, prepare
-from fareweave.plans.training import Trained, run_log, train_all, train_table
+from fareweave.plans.training import Trained, predict_with, run_log, train_all, train_model, train_table
 from fareweave.schema import EVENTS, REQUEST, RIDES, as_text, select_by_class
 from fareweave.sources.events import event_columns, load_rides, read_events, stored_hourly
 from fareweave.sources.files import (
@@ -379,6 +380,15 @@ def enc_onehot(spark, folder):
     return fit_one_hot(rides, ["weather_condition"], 20).transform(rides)
 
 
+def enc_sparse(spark, folder):
+    """Orders with a position for their customer, priority and status, learnt from the orders of odd numbers."""
+    columns = ["o_orderpriority", "o_custkey", "o_orderstatus"]
+    orders = table(spark, folder, "orders").select("o_orderkey", *columns)
+    places = category_places(orders.where("o_orderkey % 2 = 1"), columns)
+    coded = sparse_one_hot(orders, columns, places)
+    return coded.select("o_orderkey", F.concat_ws(",", F.col("positions").cast("array<string>")).alias("positions"), "size")
+
+
 def enc_onehot_unknown(spark, folder):
     """Categories of the open orders applied to all orders."""
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
@@ -963,6 +973,42 @@ def sco_model_one(spark, folder):
     return scored.select("ride_id", "price_multiplier", "estimated_price", "confidence")
 
 
+def sco_pipeline_one(spark, folder):
+    """The saved pipeline alone, read back: raw predictions of the valid requests."""
+    trained = _one_feature(spark, folder, "demand_supply_ratio", ONE_LINEAR)
+    state = FittedState(Imputer(), OneHotEncoder({}), StandardScaler({}, {}), ("demand_supply_ratio",))
+    best = trained.best_run()
+    path = scratch_path(spark, "pipeline")
+    PricePredictor.of(best, state).save(spark, path)
+    accepted = Q.split_requests(load_requests(spark, folder))[0]
+    scored = PipelineModel.load(path).transform(accepted)
+    return scored.select("_row.ride_id", r6(F.col(f"prediction_{best.name}")).alias("prediction"))
+
+
+def _gradient(name: str) -> Query:
+    """How the loss of a fitted linear model changes with each of its weights: not at all, where it was found."""
+
+    def run(spark, folder):
+        prepared = prepare(stored_rides(spark, folder))
+        table_ = materialize(prepared.table, "prepared", evenly=True)
+        features, experiment = list(prepared.state.features), _experiment(name)[0]
+        train = table_.where("split = 'train'")
+        fitted = train_model(name, experiment["kind"], experiment["params"], train, features)
+        weights = dict(zip(features, fitted.model.stages[-1].coefficients.toArray().tolist()))
+        off = F.col(config.TARGET) - F.col(f"prediction_{name}")
+        alpha = experiment["params"].get("alpha", 0.0)
+        scored = predict_with(fitted, train)
+        slopes = [
+            (F.avg(off * F.col(c)) - F.lit(alpha * weights[c]) / F.count(F.lit(1))).alias(c) for c in features
+        ]
+        return rounded(
+            scored.agg(*slopes, F.avg(off).alias("intercept")).unpivot([], [*features, "intercept"], "weight", "gradient"),
+            ["gradient"],
+        )
+
+    return run
+
+
 def sco_model_card_one(spark, folder):
     card = _one_predictor(spark, folder).card(spark)
     metrics = [r6(F.col("metrics")[m]).alias(m) for m in ("test_rmse", "test_r2", "test_mae")]
@@ -1220,6 +1266,7 @@ QUERIES: dict[str, Query] = {
         enc_categories,
         enc_onehot,
         enc_onehot_unknown,
+        enc_sparse,
         enc_severity_from_onehot,
         scl_fit,
         scl_transform,
@@ -1311,6 +1358,9 @@ QUERIES |= {
     "trn_run_log_one": trn_run_log_one,
     "sco_model_one": sco_model_one,
     "sco_model_card_one": sco_model_card_one,
+    "sco_pipeline_one": sco_pipeline_one,
+    "trn_ols_gradient": _gradient("linear_regression"),
+    "trn_ridge_gradient": _gradient("ridge_regression"),
     "trn_leafwise_trees": _few_trees("leafwise"),
     "trn_leafwise_predictions": _few_predictions("leafwise"),
     "trn_levelwise_trees": _few_trees("levelwise"),

@@ -17,7 +17,7 @@ from fareweave import config
 from fareweave.operators.evaluate import best_model, compare_models, evaluate_models, metric_log
 from fareweave.plans.boosting import HistogramBoosting, TreeSettings
 from fareweave.plans.prepare import Prepared
-from fareweave.storage import materialize
+from fareweave.storage import keep_checkpoints, materialize
 
 VECTOR = "_features"
 # Memory for the histograms of one pass over the rows; more nodes of a level fit into fewer passes.
@@ -25,7 +25,8 @@ TREE_MEMORY_MB = 1024
 
 
 def _linear(params: dict, train: DataFrame, target: str) -> LinearRegression:
-    return LinearRegression(regParam=0.0)
+    # Indicators that add up to one make the sums singular; they are then minimised on the driver, to the last digits.
+    return LinearRegression(regParam=0.0, solver="normal", tol=1e-14, maxIter=1000)
 
 
 def _ridge(params: dict, train: DataFrame, target: str) -> LinearRegression:
@@ -115,6 +116,7 @@ def train_model(
     target: str = config.TARGET,
 ) -> Run:
     """Fit one learner on the training rows; ``prediction_<name>`` is its output column."""
+    keep_checkpoints(train.sparkSession)
     learner = LEARNERS[kind](params, train, target)
     learner = learner.setFeaturesCol(VECTOR).setLabelCol(target).setPredictionCol(f"prediction_{name}")
     assembler = VectorAssembler(inputCols=list(features), outputCol=VECTOR)

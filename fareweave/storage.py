@@ -3,14 +3,24 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Tables that ``materialize`` has written, in order.
+_STORED: list[str] = []
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder: ``spark.checkpoint.dir``, or a folder below the warehouse where it is unset."""
+    """The shared folder: ``spark.checkpoint.dir``. In local mode, where it may be unset, a folder below the warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    return configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+    if configured:
+        return configured
+    if not (spark.sparkContext.master + "[").startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
 
 
 def scratch_home(spark: SparkSession) -> str:
@@ -29,6 +39,24 @@ def delete_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """What is stored within is deleted at the end; results must have been read or written elsewhere by then."""
+    before = len(_STORED)
+    try:
+        yield
+    finally:
+        for path in _STORED[before:]:
+            delete_path(spark, path)
+        del _STORED[before:]
+
+
+def keep_checkpoints(spark: SparkSession) -> None:
+    """Give learners that cut their lineage a folder for it, unless the session has one."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(scratch_path(spark, "checkpoints"))
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete all that this application keeps below the shared folder, when nothing reads it any more."""
     delete_path(spark, scratch_home(spark))
@@ -49,5 +77,6 @@ def materialize(df: DataFrame, name: str, evenly: bool = False) -> DataFrame:
     then lies in as many files as there are cores, not in one that cannot be split.
     """
     path = scratch_path(df.sparkSession, name)
+    _STORED.append(path)
     (spread(df) if evenly else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

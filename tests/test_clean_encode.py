@@ -4,6 +4,8 @@ import math
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from fareweave.operators.clean import Imputer, drop_columns, fit_imputer, handle_missing_values, null_counts
 from fareweave.operators.encode import (
     TooManyCategories,
@@ -133,3 +135,43 @@ def test_scaler_edge_columns(spark):
     assert {r["same"] for r in out} == {0.0}
     assert {r["none"] for r in out} == {None}
     assert scaler.means["gap"] == 2.0
+
+
+def test_state_is_fitted_from_two_scans(spark, rides):
+    """One scan counts all values, one adds up the engineered features."""
+    from fareweave.plans.prepare import fit_state
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def passed(x):
+        seen.add(1)
+        return x
+
+    size = rides.count()
+    raw = rides.withColumn("hour_of_day", F.udf(passed, "int")("hour_of_day"))
+    assert fit_state(raw) == fit_state(rides)
+    assert seen.value == 2 * size
+
+
+def test_state_from_counts_of_gappy_rides(spark, rides):
+    """The same as medians, modes and categories found one by one."""
+    from fareweave.operators.clean import column_modes
+    from fareweave.operators.quantiles import exact_quantiles
+    from fareweave.plans.prepare import BASE_FEATURES, fit_state
+
+    i = F.col("ride_id")
+    gappy = rides.withColumns(
+        {
+            "temperature": F.when(i % 5 == 0, None).when(i % 7 == 0, float("nan")).otherwise(F.col("temperature")),
+            "passenger_demand": F.when(i % 3 != 0, F.col("passenger_demand")),
+            "weather_condition": F.when(i % 4 != 0, F.col("weather_condition")),
+            "is_weekend": F.when(i % 6 != 0, F.col("is_weekend")),
+        }
+    )
+    state = fit_state(gappy)
+    numeric = [c for c in BASE_FEATURES if c != "is_weekend"]
+    assert state.imputer.medians == {c: q[0] for c, q in exact_quantiles(gappy, numeric, [0.5]).items()}
+    modes = column_modes(gappy, ["weather_condition", "is_weekend"])
+    assert state.imputer.modes == {"weather_condition": modes["weather_condition"], "is_weekend": modes["is_weekend"] == "true"}
+    assert state.imputer.gaps == ("passenger_demand", "temperature") and state.imputer.empty == ()
+    assert state.encoder == fit_one_hot(gappy, ["weather_condition"], 10)

@@ -1,12 +1,14 @@
 """Runs that can be repeated, and documents that cannot be read."""
 
 import json
+import os
 
 import pytest
 from fareweave.operators.quality import split_requests
 from fareweave.plans.pipeline import run_pipeline
 from fareweave.schema import MALFORMED
 from fareweave.sources import files
+from fareweave.storage import scratch_home
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -102,7 +104,10 @@ def test_drift_history_by_time_or_id(spark, tmp_path):
 def test_a_pipeline_run_twice_with_one_id_leaves_one_copy(spark, rides, tmp_path):
     out = str(tmp_path / "out")
     linear = [{"name": "linear_regression", "kind": "LinearRegression", "params": {}}]
-    run_pipeline(rides, out, linear, run_id="a")
+    before = sorted(os.listdir(scratch_home(spark).removeprefix("file:")))
+    trained = run_pipeline(rides, out, linear, run_id="a")
+    assert sorted(os.listdir(scratch_home(spark).removeprefix("file:"))) == before
+    assert trained.best_run().name == "linear_regression" and trained.metrics.count() == 2
     once = files.read_runs(spark, f"{out}/run_log").count()
     run_pipeline(rides, out, linear, run_id="a")
     assert files.read_runs(spark, f"{out}/run_log").count() == once

@@ -136,3 +136,21 @@ def test_outputs(spark, trained, tmp_path):
 
 def os_listing(path):
     return [p for p in path.iterdir() if p.name.endswith(".csv")]
+
+
+def test_a_saved_pipeline_scores_alone(spark, rides, trained, prepared, tmp_path):
+    """Loaded by Spark ML's own reader, it prepares and predicts like the parts it was made of."""
+    from pyspark.ml import PipelineModel
+    from fareweave.plans.saved_pipeline import state_from_json, state_to_json
+
+    run = next(r for r in trained.runs if r.name == "boosted")
+    path = str(tmp_path / "pipeline")
+    PricePredictor.of(run, prepared.state, {"test_rmse": 0.1}).save(spark, path)
+    loaded = PipelineModel.load(path)
+    column = f"prediction_{run.name}"
+    got = {r[0]: r[1] for r in loaded.transform(rides).select("_row.ride_id", column).collect()}
+    expected = {r["ride_id"]: r[column] for r in predict_with(run, prepared.table).select("ride_id", column).collect()}
+    assert got.keys() >= expected.keys() and all(got[k] == pytest.approx(v, abs=1e-12) for k, v in expected.items())
+    assert state_from_json(state_to_json(prepared.state)) == prepared.state
+    again = PricePredictor.load(spark, path)
+    assert (again.name, again.kind, again.metrics, again.state) == (run.name, run.kind, {"test_rmse": 0.1}, prepared.state)
