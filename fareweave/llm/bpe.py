@@ -193,10 +193,7 @@ class RankTokenizer:
         return ENCODE if len(word) <= LONG_PIECE else ENCODE_LONG if len(word) ** 2 <= SQUARES_AT_ONCE else ENCODE_LONGEST
 
     def forget(self) -> None:
-        """End of a task: drop the cache and the database."""
-        self.cache.known.clear()
-        if "con" in self.__dict__:
-            self.__dict__.pop("con").close()
+        """End of a task: the worker keeps its database and what it knows of pieces, within their bounds, for the next one."""
         free_memory()
 
     def encode_pieces(self, texts: list[str]) -> list[bytes]:

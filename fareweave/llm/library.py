@@ -60,8 +60,7 @@ class LibraryTokenizer:
         return out + self.pattern.findall(text, at)
 
     def forget(self) -> None:
-        """End of a task: drop the cache."""
-        self.cache.known.clear()
+        """End of a task: the worker keeps what it knows of pieces, within the cache's bound, for the next one."""
         free_memory()
 
     def encode_pieces(self, pieces: list[str]) -> list[bytes]:
