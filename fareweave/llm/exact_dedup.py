@@ -194,7 +194,8 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """The rows of ``docs`` that ``exact_duplicates`` keeps, with all their columns.
 
     Rows are recognised by id and text. Only where rows share both, one of them is
-    picked in a step of its own.
+    picked in a step of its own: of rows that differ in other columns alone, any may be the
+    one. The rows meet the verdicts in a sorted join at every size.
     """
     verdicts = materialize(exact_duplicates(docs, id_col, text_col).where("group_size > 1"), "verdicts")
     same_id = F.col(id_col).eqNullSafe(F.col("keep_id"))
@@ -209,6 +210,7 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     def matches(other: DataFrame):
         return (F.col(mark) == other["_sha"]) & F.col(id_col).eqNullSafe(other["_id"])
 
+    losers = losers.hint("merge")
     stay = rows.join(losers, matches(losers), "left_anti")
     if not repeated.isEmpty():
         one = stay.join(repeated, matches(repeated), "left_semi").dropDuplicates([id_col, mark])
