@@ -21,7 +21,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fareweave.llm.words import free_memory
+from fareweave.llm.words import free_memory, small_batches
 from fareweave.storage import materialize
 
 MAX_TRAINING_ROWS = 20_000  # labelled rows that the logistic model is fitted on, chosen by a hash of the id
@@ -323,6 +323,7 @@ def _word_counts(training: DataFrame) -> DataFrame:
                     ],
                     ["word", "toxic", "clean"],
                 )
+        free_memory()
 
     counted = training.mapInArrow(count, "word string, toxic long, clean long")
     return counted.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
@@ -416,7 +417,8 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS)
     alone are inputs. With labels of one kind only, every text scores that kind's
     smoothed share; without labels, every text scores 0.
     """
-    words = materialize(_word_counts(labelled_rows(docs, labels)), "toxicity-words")
+    with small_batches(docs.sparkSession):
+        words = materialize(_word_counts(labelled_rows(docs, labels)), "toxicity-words")
     found = words.where("word = ''").first()
     toxic, clean = (found["toxic"], found["clean"]) if found else (0, 0)
     if not toxic or not clean:
@@ -438,7 +440,8 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS)
                 [pa.array(values, pa.list_(pa.float64())), batch.column("toxic").cast(pa.float64())], ["values", "label"]
             )
 
-    table = materialize(training.mapInArrow(extract, "values array<double>, label double"), "toxicity-features")
+    with small_batches(docs.sparkSession):
+        table = materialize(training.mapInArrow(extract, "values array<double>, label double"), "toxicity-features")
     table = table.select(array_to_vector("values").alias("features"), (F.col("label") == 1).cast("double").alias("label"))
     fitted = LogisticRegression(maxIter=30, regParam=0.002, standardization=False).fit(table)
     return ToxicityModel(lexicon, [float(w) for w in fitted.coefficients], float(fitted.intercept))
