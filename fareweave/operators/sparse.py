@@ -53,7 +53,7 @@ def sparse_one_hot(df: DataFrame, columns: list[str], places: DataFrame) -> Data
 
 
 @F.udf(VectorUDT())
-def _vector(size: int, positions: list[int]):
+def _vector(size, positions):
     return Vectors.sparse(size, positions, [1.0] * len(positions))
 
 
