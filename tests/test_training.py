@@ -154,3 +154,14 @@ def test_a_saved_pipeline_scores_alone(spark, rides, trained, prepared, tmp_path
     assert state_from_json(state_to_json(prepared.state)) == prepared.state
     again = PricePredictor.load(spark, path)
     assert (again.name, again.kind, again.metrics, again.state) == (run.name, run.kind, {"test_rmse": 0.1}, prepared.state)
+
+
+def test_a_pass_of_the_forest_is_small_and_its_size_changes_no_tree(spark, prepared):
+    """Every task of an executor holds the histograms of a pass, and what it sends of them."""
+    from fareweave.plans.training import LEARNERS
+
+    train, features = prepared.part("train"), list(prepared.state.features)
+    assert LEARNERS["RandomForest"]({}, train, config.TARGET).getMaxMemoryInMB() * 4 * 2 <= 1024
+    params = {"trees": 4, "max_depth": 6, "min_leaf": 5}
+    few, many = (train_model("f", "RandomForest", {**params, **m}, train, features) for m in ({}, {"memory_mb": 0}))
+    assert few.model.stages[-1].toDebugString.split("\n")[1:] == many.model.stages[-1].toDebugString.split("\n")[1:]
