@@ -1,8 +1,8 @@
 """Boosted regression trees from histograms, grown leaf by leaf or level by level.
 
-Features are cut into bins once and stored. A pass over the rows adds up residuals per (node,
-feature, bin), first inside each task, then across tasks; it counts the smaller child of every split, the larger
-one is its parent minus that. Residuals are added as whole multiples of a power of two, so sums
+Features are cut into bins once and stored, in blocks of rows that the executors then keep, in memory or on their
+disks, with the margins of the trees so far. A pass over the blocks adds up residuals per (node, feature, bin), first
+inside each task, then across tasks; it counts the smaller child of every split, the larger one is its parent minus that. Residuals are added as whole multiples of a power of two, so sums
 do not depend on the order of the rows, differences are exact, and two fits give the same trees.
 
 A tree's passes go down the levels, all nodes of a level at once. Which of the possible splits
@@ -21,24 +21,28 @@ import json
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark import keyword_only
+from pyspark import RDD, StorageLevel, keyword_only
 from pyspark.ml import Estimator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol
 from pyspark.ml.regression import GBTRegressionModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from fareweave import config
-from fareweave.storage import delete_path, scratch_path, spread
+from fareweave.storage import delete_path, keep_checkpoints, scratch_path, spread
 
-ID, TARGET, BINS, MARGIN = "_id", "_y", "_bins", "_f"
+ID, TARGET, BINS = "_id", "_y", "_bins"
+BLOCK = 1 << 16  # rows at least, and less than twice as many
 STORE_EVERY = 10  # trees between two writes of the margins
+TABLES_AT_ONCE = 32  # that the driver adds up; more are added up by tasks first
 SUM_BITS = 60  # of a sum of residuals
-HALF = 30
+# A residual's low bits, and above what a block of them adds up to a one to count it: doubles add up both without loss.
+LOW, ONE = 18, 35
 QUANTILE_ACCURACY = 10_000  # a cut point's rank is off by rows / this at most
 
 
@@ -77,22 +81,39 @@ class Node:
 
 @dataclass(frozen=True)
 class TreeArrays:
-    """A tree as a task reads it."""
+    """A tree as a task reads it. A node comes before its children."""
 
     feature: np.ndarray
     cut: np.ndarray
     left: np.ndarray
     right: np.ndarray
     value: np.ndarray
-    depth: int
 
-    def walk(self, bins: np.ndarray, stops: np.ndarray | None = None) -> np.ndarray:
-        """For each row its leaf, or the first of the nodes marked in ``stops`` on the way to it."""
-        over = self.left < 0 if stops is None else stops | (self.left < 0)
-        at, rows = np.zeros(len(bins), dtype=np.int64), np.arange(len(bins))
-        for _ in range(self.depth):
-            below = bins[rows, self.feature[at]] <= self.cut[at]
-            at = np.where(over[at], at, np.where(below, self.left[at], self.right[at]))
+    def reach(self, bins: np.ndarray, rows: np.ndarray, wanted: list[int] | None = None) -> Iterator[tuple[int, np.ndarray]]:
+        """(node, rows that come to it) for each leaf, or for each wanted node, none of them below another. ``bins`` by feature."""
+        ends = self.left < 0
+        if wanted is None:
+            needed = np.ones(len(ends), dtype=bool)
+        else:
+            ends = np.zeros(len(ends), dtype=bool)
+            ends[wanted] = True
+            needed = ends.copy()
+            for i in range(len(ends) - 1, -1, -1):
+                needed[i] |= self.left[i] >= 0 and bool(needed[self.left[i]] or needed[self.right[i]])
+        open_ = [(0, rows)]
+        while open_:
+            i, rows = open_.pop()
+            if ends[i]:
+                yield i, rows
+            elif needed[i]:
+                below = bins[self.feature[i]].take(rows) <= self.cut[i]
+                open_ += [(self.left[i], rows[below]), (self.right[i], rows[~below])]
+
+    def walk(self, bins: np.ndarray) -> np.ndarray:
+        """For each row of bins its leaf."""
+        at = np.zeros(len(bins), dtype=np.int64)
+        for leaf, rows in self.reach(bins.T, np.arange(len(bins))):
+            at[rows] = leaf
         return at
 
 
@@ -105,10 +126,7 @@ class Tree:
 
     def arrays(self) -> TreeArrays:
         columns = zip(*[(max(n.feature, 0), n.bin, n.left, n.right, n.value) for n in self.nodes], strict=True)
-        return TreeArrays(*(np.array(c) for c in columns), self.depth())
-
-    def depth(self) -> int:
-        return max(n.depth for n in self.nodes)
+        return TreeArrays(*(np.array(c) for c in columns))
 
 
 def cut_points(df: DataFrame, columns: list[str], bins: int) -> list[list[float]]:
@@ -126,108 +144,145 @@ def cut_points(df: DataFrame, columns: list[str], bins: int) -> list[list[float]
     return [sorted({x for x in row[str(i)] or [] if x < row[f"m{i}"]}) for i in range(len(columns))]
 
 
-def _binned(df: DataFrame, columns: list[str], target: str, cuts: list[list[float]], base: float) -> DataFrame:
-    """(id, target, margin, bins): two bytes a bin; a cut point belongs to the bin below it, missing values come last."""
-    edges = [np.array(c) for c in cuts]
+class Block(NamedTuple):
+    """Some rows in arrays: their bins by feature, and the numbers of those that the next tree is fitted to."""
+
+    ids: np.ndarray
+    target: np.ndarray
+    margin: np.ndarray
+    bins: np.ndarray
+    drawn: np.ndarray
+
+    def next(self, tree: TreeArrays | None, rate: float, number: int, settings: TreeSettings) -> Block:
+        """The margins with a further tree, and the rows drawn for the tree of this number."""
+        every = np.arange(len(self.ids))
+        margin, drawn = self.margin, every
+        if tree is not None:
+            margin = margin.copy()
+            for leaf, rows in tree.reach(self.bins, every):
+                margin[rows] += rate * tree.value[leaf]
+        if settings.row_share < 1:
+            lot = _hash(self.ids, settings.seed, number) & np.uint64((1 << 20) - 1)
+            drawn = every[lot < round(settings.row_share * (1 << 20))]
+        return Block(self.ids, self.target, margin, self.bins, drawn)
+
+
+def _hash(ids: np.ndarray, *numbers: int) -> np.ndarray:
+    """Spark's ``xxhash64`` of a long and some ints, for many longs."""
+    p1, p2, p3, p4, p5 = (
+        np.uint64(p)
+        for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)
+    )
+
+    def turned(x: np.ndarray, n: int) -> np.ndarray:
+        return (x << np.uint64(n)) | (x >> np.uint64(64 - n))
+
+    def mixed(x: np.ndarray) -> np.ndarray:
+        x = (x ^ (x >> np.uint64(33))) * p2
+        x = (x ^ (x >> np.uint64(29))) * p3
+        return x ^ (x >> np.uint64(32))
+
+    start = np.full(len(ids), 42, dtype=np.uint64) + p5 + np.uint64(8)
+    out = mixed(turned(start ^ (turned(ids.astype(np.uint64) * p2, 31) * p1), 27) * p1 + p4)
+    for number in numbers:
+        own = np.full(len(ids), number & 0xFFFFFFFF, dtype=np.uint64) * p1
+        out = mixed(turned((out + p5 + np.uint64(4)) ^ own, 23) * p2 + p3)
+    return out
+
+
+def _binned(df: DataFrame, columns: list[str], target: str, cuts: list[list[float]]) -> DataFrame:
+    """Blocks of rows (ids, target, bins by feature); a cut point belongs to the bin below it, missing values come last."""
+    edges, kind = [np.array(c) for c in cuts], _bin_type(cuts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        some: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+        def block() -> pa.RecordBatch:
+            ids, y, bins = (np.concatenate(c, axis=-1) for c in zip(*some, strict=True))
+            some.clear()
+            packed = [pa.array([x.tobytes()], pa.binary()) for x in (ids, y, bins)]
+            return pa.RecordBatch.from_arrays(packed, names=[ID, TARGET, BINS])
+
         for batch in batches:
-            bins = np.empty((batch.num_rows, len(edges)), dtype=np.uint16)
+            bins = np.empty((len(edges), batch.num_rows), dtype=kind)
             for i, edge in enumerate(edges):
                 x = batch.column(f"x{i}").to_numpy(zero_copy_only=False)
-                bins[:, i] = np.where(np.isnan(x), len(edge) + 1, np.searchsorted(edge, x))
-            yield _rows(batch.column(ID), batch.column(TARGET), pa.array(np.full(batch.num_rows, base)), bins)
+                bins[i] = np.where(np.isnan(x), len(edge) + 1, np.searchsorted(edge, x))
+            ids, y = batch.column(ID).to_numpy(), batch.column(TARGET).to_numpy()
+            for a in range(0, len(ids), BLOCK):
+                some.append((ids[a : a + BLOCK], y[a : a + BLOCK], bins[:, a : a + BLOCK]))
+                if sum(len(i) for i, _, _ in some) >= BLOCK:
+                    yield block()
+        if some:
+            yield block()
 
     ready = [F.coalesce(F.col(c).cast("double"), F.lit(math.nan)).alias(f"x{i}") for i, c in enumerate(columns)]
     numbered = df.select(F.monotonically_increasing_id().alias(ID), F.col(target).cast("double").alias(TARGET), *ready)
-    return spread(numbered).mapInArrow(run, STORED)
-
-
-STORED = f"{ID} long, {TARGET} double, {MARGIN} double, {BINS} binary"
+    return spread(numbered).mapInArrow(run, f"{ID} binary, {TARGET} binary, {BINS} binary")
 
 
-def _rows(ids: pa.Array, target: pa.Array, margin: pa.Array, bins: np.ndarray) -> pa.RecordBatch:
-    offsets = np.arange(len(bins) + 1, dtype=np.int32) * (2 * bins.shape[1])
-    packed = pa.Array.from_buffers(pa.binary(), len(bins), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(bins))])
-    return pa.RecordBatch.from_arrays([ids, target, margin, packed], names=[ID, TARGET, MARGIN, BINS])
-
-
-def _bins(batch: pa.RecordBatch) -> np.ndarray:
-    column = batch.column(BINS)
-    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
-    return np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]].view(np.uint16).reshape(len(column), -1)
+def _bin_type(cuts: list[list[float]]) -> type:
+    return np.uint8 if max(map(len, cuts)) + 1 < 256 else np.uint16
 
 
 @dataclass(frozen=True)
-class Margins:
-    """The stored rows, and the trees since their margins were stored."""
+class Rows:
+    """The blocks with the margins of the trees so far, kept by the executors."""
 
-    stored: DataFrame
-    pending: tuple[TreeArrays, ...]
-    rate: float
+    blocks: RDD
+    settings: TreeSettings
 
     @staticmethod
-    def of(batch: pa.RecordBatch, bins: np.ndarray, pending: tuple[TreeArrays, ...], rate: float) -> np.ndarray:
-        margin = batch.column(MARGIN).to_numpy(zero_copy_only=False).copy()
-        for tree in pending:
-            margin += rate * tree.value[tree.walk(bins)]
-        return margin
-
-    def added(self, tree: Tree) -> Margins:
-        return Margins(self.stored, (*self.pending, tree.arrays()), self.rate)
+    def of(stored: DataFrame, cuts: list[list[float]], base: float, settings: TreeSettings) -> Rows:
+        kind, n = _bin_type(cuts), len(cuts)
 
-    def written(self, path: str) -> Margins:
-        pending, rate = self.pending, self.rate
+        def block(row: Row) -> Block:
+            ids, target = np.frombuffer(row[0], np.int64), np.frombuffer(row[1], np.float64)
+            bins = np.frombuffer(row[2], kind).reshape(n, -1)
+            return Block(ids, target, np.full(len(ids), base), bins, ids[:0]).next(None, 0.0, 0, settings)
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                bins = _bins(batch)
-                yield _rows(batch.column(ID), batch.column(TARGET), pa.array(Margins.of(batch, bins, pending, rate)), bins)
+        return Rows(stored.rdd.map(block).persist(StorageLevel.MEMORY_AND_DISK), settings)
 
-        self.stored.mapInArrow(run, STORED).write.parquet(path)
-        return Margins(self.stored.sparkSession.read.parquet(path), (), rate)
+    def added(self, tree: Tree, rate: float, number: int) -> Rows:
+        """With a further tree, and the rows drawn for the tree of this number."""
+        arrays, settings = tree.arrays(), self.settings
+        blocks = self.blocks.map(lambda b: b.next(arrays, rate, number, settings))
+        return Rows(blocks.persist(StorageLevel.MEMORY_AND_DISK), settings)
 
 
 @dataclass(frozen=True)
 class Histograms:
     """Rows and residuals per (node, feature, bin), added up by tasks, then by Spark."""
 
-    margins: Margins
-    chosen: Column
+    rows: Rows
     features: list[int]
     width: int
     scale: float
 
     def count(self, tree: Tree, wanted: list[int]) -> dict[int, np.ndarray]:
         """For each wanted node: (features, bins, 2) of rows and residuals."""
-        features, width, scale, arrays = np.array(self.features), self.width, self.scale, tree.arrays()
-        pending, rate = self.margins.pending, self.margins.rate
-        place = np.full(len(tree.nodes), -1)
-        place[wanted] = np.arange(len(wanted))
-        cells = len(wanted) * len(features) * width
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            rows, sums = np.zeros(cells, dtype=np.int64), np.zeros(cells, dtype=np.int64)
-            for batch in batches:
-                bins = _bins(batch)
-                left = batch.column(TARGET).to_numpy() - Margins.of(batch, bins, pending, rate)
-                mine = place[arrays.walk(bins, place >= 0)]
-                bins, left, mine = bins[mine >= 0][:, features], left[mine >= 0], mine[mine >= 0]
-                cell = ((mine[:, None] * len(features) + np.arange(len(features))) * width + bins).ravel()
-                whole = np.repeat(np.floor(left * scale + 0.5).astype(np.int64), len(features))
-                rows += np.bincount(cell, minlength=cells)
-                # In halves: doubles add up a batch of them without loss.
-                high = np.bincount(cell, whole >> HALF, cells).astype(np.int64)
-                sums += (high << HALF) + np.bincount(cell, whole & ((1 << HALF) - 1), cells).astype(np.int64)
-            some = np.flatnonzero(rows)
-            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(rows[some]), pa.array(sums[some])], names=["cell", "n", "g"])
-
-        parts = self.margins.stored.where(self.chosen).select(TARGET, MARGIN, BINS).mapInArrow(run, "cell long, n long, g long")
-        found = parts.groupBy("cell").agg(F.sum("n").alias("n"), F.sum("g").alias("g")).toArrow()
-        table = np.zeros((cells, 2), dtype=np.int64)
-        table[found.column("cell").to_numpy()] = np.stack([found.column(c).to_numpy() for c in ("n", "g")], axis=1)
-        tables = table.reshape(len(wanted), len(features), width, 2)
-        return {node: tables[i] for i, node in enumerate(wanted)}
+        features, width, scale, arrays = self.features, self.width, self.scale, tree.arrays()
+        place = {node: i for i, node in enumerate(wanted)}
+
+        def run(blocks: Iterator[Block]) -> Iterator[np.ndarray]:
+            table = np.zeros((len(wanted), len(features), 2, width), dtype=np.int64)
+            for block in blocks:
+                whole = np.floor((block.target - block.margin) * scale + 0.5).astype(np.int64)
+                for node, rows in arrays.reach(block.bins, block.drawn, wanted):
+                    if not len(rows):
+                        continue
+                    own = whole.take(rows)
+                    high, low = (own >> LOW).astype(np.float64), ((own & ((1 << LOW) - 1)) | (1 << ONE)).astype(np.float64)
+                    for mine, feature in zip(table[place[node]], features, strict=True):
+                        bins = block.bins[feature].take(rows).astype(np.intp)
+                        both = np.bincount(bins, low, width).astype(np.int64)
+                        mine[0] += both >> ONE
+                        mine[1] += (np.bincount(bins, high, width).astype(np.int64) << LOW) + (both & ((1 << ONE) - 1))
+            yield table
+
+        parts = self.rows.blocks.mapPartitions(run)
+        found = parts.treeReduce(np.add, 1 if parts.getNumPartitions() <= TABLES_AT_ONCE else 2)
+        return {node: found[i].transpose(0, 2, 1) for i, node in enumerate(wanted)}
 
 
 def best_split(table: np.ndarray, settings: TreeSettings, scale: float) -> tuple[float, int, int] | None:
@@ -369,6 +424,7 @@ def fit_trees(df: DataFrame, columns: list[str], target: str, settings: TreeSett
     The driver holds the histograms of one level: nodes x features x bins, whatever the number of rows.
     """
     spark = df.sparkSession
+    keep_checkpoints(spark)
     known = df.where(F.col(target).isNotNull() & ~F.isnan(target))
     cuts = cut_points(known, columns, settings.bins)
     facts = known.agg(F.count(target).alias("n"), F.max(F.abs(target)).alias("most")).first()
@@ -378,24 +434,28 @@ def fit_trees(df: DataFrame, columns: list[str], target: str, settings: TreeSett
     room = math.ceil(math.log2(2 * facts["most"])) if facts["most"] else 0
     scale = 2.0 ** (SUM_BITS - room - math.ceil(math.log2(facts["n"] + 1)))
     scale = min(scale, 2.0**40)
-    folders = [scratch_path(spark, "bins")]
     base = known.agg(F.sum(F.floor(F.col(target) * F.lit(scale) + F.lit(0.5)).cast("long"))).first()[0] / scale / facts["n"]
-    _binned(known, columns, target, cuts, base).write.parquet(folders[0])
-    margins = Margins(spark.read.parquet(folders[0]), (), settings.learning_rate)
+    folders = [scratch_path(spark, "bins")]
+    _binned(known, columns, target, cuts).write.parquet(folders[0])
+    rows = Rows.of(spark.read.parquet(folders[0]), cuts, base, settings)
     random = np.random.default_rng(settings.seed)
     width = max(len(c) for c in cuts) + 2
     trees: list[Tree] = []
     for number in range(settings.rounds):
         drawn = max(1, math.ceil(settings.column_share * len(columns)))
         features = sorted(random.choice(len(columns), size=drawn, replace=False).tolist())
-        lot = F.pmod(F.xxhash64(F.col(ID), F.lit(settings.seed), F.lit(number)), F.lit(1 << 20))
-        chosen = lot < F.lit(round(settings.row_share * (1 << 20))) if settings.row_share < 1 else F.lit(True)
-        trees.append(Grower(Histograms(margins, chosen, features, width, scale), settings).grow())
-        margins = margins.added(trees[-1])
-        if len(margins.pending) == STORE_EVERY and number + 1 < settings.rounds:
-            folders.append(scratch_path(spark, "margins"))
-            margins = margins.written(folders[-1])
+        before = rows
+        if trees:
+            rows = before.added(trees[-1], settings.learning_rate, number)
+            if number % STORE_EVERY == 0:
+                rows.blocks.checkpoint()
+        trees.append(Grower(Histograms(rows, features, width, scale), settings).grow())
+        if rows is not before:
+            before.blocks.unpersist()
+        if rows.blocks.isCheckpointed():
+            folders.append(rows.blocks.getCheckpointFile())
             delete_path(spark, folders.pop(0))
+    rows.blocks.unpersist()
     delete_path(spark, folders[0])
     return Forest(base, trees, cuts, scale)
 

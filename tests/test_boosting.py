@@ -147,3 +147,24 @@ def test_full_learner_on_the_given_rides(spark, small):
         scored = predict_with(run, prepared.part("train"))
         errors.append(scored.agg(F.avg((F.col("prediction_l") - F.col(config.TARGET)) ** 2)).first()[0])
     assert errors == sorted(errors, reverse=True) and errors[2] < errors[0] / 2
+
+
+def test_rows_are_drawn_by_sparks_hash(spark):
+    ids = [0, 1, -1, 2**40, 2**63 - 1, -(2**63), 8589934592]
+    expected = [r[0] for r in spark.createDataFrame([(i,) for i in ids], "i long").select(F.xxhash64("i", F.lit(42), F.lit(7))).collect()]
+    assert B._hash(np.array(ids), 42, 7).astype(np.int64).tolist() == expected
+
+
+def test_a_pass_is_one_job_over_kept_rows(spark, table):
+    """Trees of depth d take d passes each; besides, a few jobs prepare the rows and, after ten trees, store their margins."""
+    df, _, _ = table
+    settings = dataclasses.replace(SMALL, rounds=12, max_depth=3, row_share=0.8)
+
+    def jobs(rounds):
+        spark.sparkContext.setJobGroup(f"boosting-{rounds}", "")
+        forest = B.fit_trees(df, ["a", "b", "c"], "y", dataclasses.replace(settings, rounds=rounds))
+        assert len(forest.trees) == rounds
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"boosting-{rounds}"))
+
+    assert jobs(12) - jobs(2) <= 10 * 3 + 1
