@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fareweave.llm import duck
-from fareweave.llm.words import PieceCache, free_memory, join_ids, piece_lists, split_texts
+from fareweave.llm.words import PieceIds, free_memory, join_ids, piece_lists, split_texts
 
 LONG_PIECE = 64  # bytes
 SQUARES_AT_ONCE = 4_000_000  # ENCODE_LONG holds all steps: at most half the squares of the lengths in rows
@@ -136,7 +136,7 @@ class RankTokenizer:
         self.path, self.pattern = path, regex.compile(pattern)
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(t): int(r) for t, r in (x.split() for x in lines if x.strip())}
-        self.cache = PieceCache(self.encode_pieces)
+        self.cache = PieceIds(self.encode_pieces, np.int32)
 
     @cached_property
     def con(self):
@@ -194,7 +194,7 @@ class RankTokenizer:
 
     def forget(self) -> None:
         """End of a task: drop the cache and the database."""
-        self.cache.known.clear()
+        self.cache.forget()
         if "con" in self.__dict__:
             self.__dict__.pop("con").close()
         free_memory()
@@ -267,7 +267,7 @@ def _run(docs: DataFrame, path: str, pattern: str, id_col: str, text_col: str, d
         try:
             for batch in batches:
                 for first, end, lists in piece_lists(batch, coder.pattern.findall):
-                    offsets, ids = join_ids(lists, coder.cache, np.int32)
+                    offsets, ids = join_ids(lists, coder.cache)
                     columns = [
                         batch.column("id").slice(first, end - first),
                         pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32())),

@@ -10,11 +10,21 @@ import numpy as np
 import regex
 from tokenizers import Tokenizer
 
-from fareweave.llm.words import BYTE_LEVEL, PieceCache, free_memory
+from fareweave.llm.words import BYTE_LEVEL, PieceIds, free_memory
 
 WHOLE = r"(?s).+"
 
 
+def byte_letters() -> dict[str, int]:
+    """The letters that stand for bytes in byte-level vocabularies: printable bytes for themselves, others from 256 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printable]
+    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+LETTERS = {b: letter for letter, b in byte_letters().items()}
+
+
 def settings(path: str) -> tuple[str, list[str], int]:
     """The pattern that cuts texts into pieces the library may encode one by one, special strings, and the number of ids.
 
@@ -45,9 +55,11 @@ class LibraryTokenizer:
         self.dtype = np.uint16 if size <= 2**16 else np.uint32
         self.code = "H" if self.dtype is np.uint16 else "I"
         self.tokenizer = Tokenizer.from_file(path)
+        self.by_piece = pattern == BYTE_LEVEL
+        self.special_ids = {t: self.tokenizer.token_to_id(t) for t in special}
         self.pattern = regex.compile(pattern)
         self.special = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True)))) if special else None
-        self.cache = PieceCache(self.encode_pieces)
+        self.cache = PieceIds(self.encode_pieces, self.dtype)
 
     def split(self, text: str) -> list[str]:
         """The pieces of a text; a special string is a piece."""
@@ -61,14 +73,29 @@ class LibraryTokenizer:
 
     def forget(self) -> None:
         """End of a task: drop the cache."""
-        self.cache.known.clear()
+        self.cache.forget()
         free_memory()
 
     def encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece. What the pattern has split goes straight to the file's model, byte by byte as its letters."""
         out: list[bytes] = []
-        for i in range(0, len(pieces), 20_000):
-            some = self.tokenizer.encode_batch_fast(pieces[i : i + 20_000], add_special_tokens=False)
-            out += [array(self.code, e.ids).tobytes() for e in some]
+        if not self.by_piece:
+            for i in range(0, len(pieces), 20_000):
+                some = self.tokenizer.encode_batch_fast(pieces[i : i + 20_000], add_special_tokens=False)
+                out += [array(self.code, e.ids).tobytes() for e in some]
+            return out
+        tokenize = self.tokenizer.model.tokenize
+        words = [p.encode() for p in pieces]
+        letters = b"".join(words).decode("latin-1").translate(LETTERS)
+        at = 0
+        for piece, word in zip(pieces, words, strict=True):
+            end = at + len(word)
+            if piece in self.special_ids:
+                ids = [self.special_ids[piece]]
+            else:
+                ids = [t.id for t in tokenize(letters[at:end])]
+            out.append(array(self.code, ids).tobytes())
+            at = end
         return out
 
 

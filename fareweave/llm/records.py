@@ -115,7 +115,7 @@ def write_records(
         try:
             for batch in batches:
                 for first, _, lists in piece_lists(batch, coder.split):
-                    offsets, ids = join_ids(lists, coder.cache, coder.dtype)
+                    offsets, ids = join_ids(lists, coder.cache)
                     names = batch.column("id").slice(first, len(lists)).to_pylist()
                     frames = [
                         frame(name, np.concatenate([ids[a:b], end]))

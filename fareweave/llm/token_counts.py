@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareweave.llm.library import settings
+from fareweave.llm.library import byte_letters, settings
 from fareweave.llm.words import BYTE_LEVEL, PieceCache, coded_pieces, free_memory, piece_lists, split_texts
 
 NEVER = 1 << 62
@@ -29,13 +29,6 @@ SPACE = regex.compile(r"\s+")
 SPLIT_CLITICS = ("'re", "'ve", "'ll")  # fixed values: what the pattern takes as one piece of three characters
 
 
-def byte_letters() -> dict[str, int]:
-    """The letters that stand for bytes in byte-level vocabularies: printable bytes for themselves, others from 256 on."""
-    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in printable]
-    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
-
-
 class PrefixCounter:
     """Prefix tables for the pieces of a byte-level BPE tokenizer file."""
 

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 SLICE_BYTES = 6_000_000  # of pieces handled at once
 CACHED_PIECES = 150_000  # a task forgets what it knows about pieces beyond this
+PACKED_PIECES = 1_000_000  # the same, for pieces in packed form
+PACKED_BYTES = 32_000_000  # of packed pieces and their ids
 
 
 # The byte-level pattern for Spark's engine: the same matches, but a run of one kind is never given back.
@@ -78,6 +80,39 @@ class PieceCache:
         return [known[w] for w in wanted]
 
 
+class PieceIds:
+    """What a task knows about pieces' token ids, packed into arrays: some tens of bytes for a piece and its ids.
+
+    ``learn`` gets a list of new pieces and gives the ids of each as bytes of ``dtype``.
+    """
+
+    def __init__(self, learn: Callable[[list[str]], list[bytes]], dtype: type):
+        self.learn, self.dtype = learn, dtype
+        self.forget()
+
+    def forget(self) -> None:
+        self.pieces = pa.array([], pa.string())
+        self.ids = np.zeros(0, self.dtype)
+        self.ends = np.zeros(1, np.int64)  # piece i has the ids from ends[i] to ends[i + 1]
+
+    def places(self, wanted: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """For distinct pieces: where the ids of each start in ``ids``, and how many there are."""
+        if len(self.pieces) > PACKED_PIECES or self.pieces.nbytes + self.ids.nbytes > PACKED_BYTES:
+            self.forget()
+        at = pc.index_in(wanted, value_set=self.pieces)
+        if at.null_count:
+            new = wanted.filter(at.is_null())
+            values = self.learn(new.to_numpy(zero_copy_only=False).tolist())
+            sizes = np.fromiter(map(len, values), np.int64, len(values)) // np.dtype(self.dtype).itemsize
+            number = np.arange(len(self.pieces), len(self.pieces) + len(new), dtype=np.int32)
+            at = pc.replace_with_mask(at, at.is_null(), pa.array(number))
+            self.pieces = pa.concat_arrays([self.pieces, new])
+            self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(values), self.dtype)])
+            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+        at = at.to_numpy()
+        return self.ends[at], self.ends[at + 1] - self.ends[at]
+
+
 @contextmanager
 def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
     """Rows go to Python so many at a time, in what is run within; long texts then need little room."""
@@ -105,14 +140,15 @@ def coded_pieces(lists: pa.ListArray, cache: PieceCache) -> tuple[np.ndarray, li
     return bounds, distinct, cache.values(distinct), coded.indices.to_numpy()
 
 
-def join_ids(lists: pa.ListArray, cache: PieceCache, dtype: type) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of each list of pieces: offsets, and all ids in a row. The cache gives ids as bytes of ``dtype``."""
-    bounds, _, values, at = coded_pieces(lists, cache)
-    table = np.frombuffer(b"".join(values), dtype)
-    sizes = np.fromiter(map(len, values), np.int64, len(values)) // np.dtype(dtype).itemsize
-    starts = np.cumsum(sizes) - sizes
+def join_ids(lists: pa.ListArray, cache: PieceIds) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of each list of pieces: offsets, and all ids in a row."""
+    coded = lists.flatten().dictionary_encode()
+    starts, sizes = cache.places(coded.dictionary)
+    at = coded.indices.to_numpy()
+    counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+    bounds = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
     lengths = sizes[at]
     ends = np.cumsum(lengths)
     places = np.repeat((starts[at] - (ends - lengths)).astype(np.int32), lengths)
     places += np.arange(len(places), dtype=np.int32)
-    return np.concatenate([[0], ends])[bounds], table[places]
+    return np.concatenate([[0], ends])[bounds], cache.ids[places]
