@@ -45,9 +45,9 @@ WITH RECURSIVE step(n, piece, pos, id, next_pos, next_id) AS (
         GROUP BY piece)) x
     JOIN step y ON y.piece = x.piece AND y.pos = x.next_pos) best USING (piece)
   WHERE r.pos <> best.next_pos)
-SELECT piece, list(id ORDER BY pos) AS ids
+SELECT piece, id
 FROM step JOIN (SELECT piece, max(n) AS n FROM step GROUP BY piece) USING (piece, n)
-GROUP BY piece ORDER BY piece
+ORDER BY piece, pos
 """
 
 # For long pieces, all contractions of a piece's least rank in one step. Of pairs that
@@ -76,9 +76,9 @@ WITH RECURSIVE step(n, piece, pos, id, next_id, next_at) AS (
     WINDOW w AS (PARTITION BY piece ORDER BY pos))
   WHERE NOT gone
   WINDOW w AS (PARTITION BY piece ORDER BY pos))
-SELECT piece, list(id ORDER BY pos) AS ids
+SELECT piece, id
 FROM (SELECT piece, pos, id FROM step QUALIFY n = max(n) OVER (PARTITION BY piece))
-GROUP BY piece ORDER BY piece
+ORDER BY piece, pos
 """
 
 # The same for pieces of any length, by statements over a table that keeps the newest step
@@ -121,7 +121,7 @@ LONG_STEP = [
        LEFT JOIN merges m ON m.lhs = l.id AND m.rhs = n.id""",
     "UPDATE step SET merged = c.merged FROM changed c WHERE step.key = c.key",
 ]
-ENCODE_LONGEST = "SELECT piece, list(id ORDER BY pos) AS ids FROM step WHERE id IS NOT NULL GROUP BY piece ORDER BY piece"
+ENCODE_LONGEST = "SELECT piece, id FROM step WHERE id IS NOT NULL ORDER BY piece, pos"
 
 DECODE = """
 SELECT doc, unhex(string_agg(hex, '' ORDER BY pos)) AS bytes
@@ -183,9 +183,11 @@ class RankTokenizer:
             while self.con.execute(LONG_TAKEN).fetchone()[0]:
                 for statement in LONG_STEP:
                     self.con.execute(statement)
-        lists = duck.query(self.con, sql, symbols=symbols).column("ids").combine_chunks()
-        offsets, ids = lists.offsets.to_numpy(), lists.values.to_numpy().astype(np.int32)
-        return [ids[a:b].tobytes() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+        found = duck.query(self.con, sql, symbols=symbols)
+        ids = found.column("id").to_numpy().astype(np.int32).tobytes()
+        sizes = np.bincount(found.column("piece").to_numpy(), minlength=len(words))
+        offsets = [0, *(4 * np.cumsum(sizes)).tolist()]
+        return [ids[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
 
     @staticmethod
     def _way(word: bytes) -> str:

@@ -1,7 +1,7 @@
 import numpy as np
 import pyarrow as pa
 import public_tokenizers as P
-from fareweave.llm import library, words
+from fareweave.llm import bpe, library, words
 from tokenizers import Tokenizer
 
 PATH = P.path("byte_bpe_50k.json")
@@ -46,3 +46,16 @@ def test_split_pieces_as_the_library():
     for text in texts:
         ids = np.frombuffer(b"".join(coder.encode_pieces(coder.split(text))), coder.dtype).tolist()
         assert ids == whole.encode(text, add_special_tokens=False).ids
+
+
+def test_both_tokenizers_encode_a_piece_once_in_a_task():
+    ranked = bpe.RankTokenizer(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
+    for coder in (ranked, library.LibraryTokenizer(PATH)):
+        learned = []
+        coder.cache.learn = lambda pieces, learned=learned: learned.extend(pieces) or [b""] * len(pieces)
+        for first in (1000, 101_000, 201_000):
+            words.join_ids(pa.array([[" often", *map(str, range(first, first + 100_000))]], pa.list_(pa.string())), coder.cache)
+        assert len(learned) == 300_001
+        coder.forget()
+        words.join_ids(pa.array([[" often"]], pa.list_(pa.string())), coder.cache)
+        assert learned[300_001:] == [" often"]
