@@ -8,14 +8,14 @@ from dataclasses import dataclass
 
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fareweave import config
 from fareweave.operators.evaluate import best_model, compare_models, evaluate_models, metric_log
-from fareweave.plans.boosting import HistogramBoosting, TreeSettings
+from fareweave.plans.boosting import STORE_EVERY, HistogramBoosting, TreeSettings
 from fareweave.plans.prepare import Prepared
 from fareweave.storage import keep_checkpoints, materialize
 
@@ -56,21 +56,28 @@ def _forest(params: dict, train: DataFrame, target: str) -> RandomForestRegresso
     )
 
 
-def _boosted(params: dict, train: DataFrame, target: str) -> GBTRegressor:
-    return GBTRegressor(
-        maxIter=params.get("rounds", 150),
-        maxDepth=params.get("max_depth", 6),
-        stepSize=params.get("learning_rate", 0.1),
-        subsamplingRate=params.get("row_share", 0.8),
-        featureSubsetStrategy=str(params.get("column_share", 0.8)),
-        maxBins=params.get("bins", 32),
-        maxMemoryInMB=params.get("memory_mb", TREE_MEMORY_MB),
-        checkpointInterval=params.get("checkpoint_every", 10),
+def _boosted(params: dict, train: DataFrame, target: str) -> HistogramBoosting:
+    """Spark ML's rules: the first tree fits the target, later ones twice the residuals; features are drawn for each node; every split that gains is kept."""
+    settings = TreeSettings(
+        rounds=params.get("rounds", 150),
+        max_depth=params.get("max_depth", 6),
+        learning_rate=params.get("learning_rate", 0.1),
+        row_share=params.get("row_share", 0.8),
+        column_share=params.get("column_share", 0.8),
+        bins=params.get("bins", 32),
         seed=params.get("seed", config.SEED),
+        store_every=params.get("checkpoint_every", STORE_EVERY),
+        leaves=None,
+        min_leaf=1,
+        by_node=True,
+        first_whole=True,
+        slope=2.0,
+        refuse_gaps=True,
     )
+    return HistogramBoosting(settings=settings)
 
 
-def _boosted_fine(params: dict, train: DataFrame, target: str) -> GBTRegressor:
+def _boosted_fine(params: dict, train: DataFrame, target: str) -> HistogramBoosting:
     """The second boosted configuration: finer histograms of the features."""
     return _boosted({"bins": 255, **params}, train, target)
 

@@ -168,3 +168,87 @@ def test_a_pass_is_one_job_over_kept_rows(spark, table):
         return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"boosting-{rounds}"))
 
     assert jobs(12) - jobs(2) <= 10 * 3 + 1
+
+
+def test_features_of_a_group_are_counted_together():
+    random = np.random.default_rng(3)
+    widths = (33, 3, 300, 33, 3, 5000, 12, 33)
+    packing = B.Packing(widths)
+    assert sorted(f for g in packing.groups for f in g) == list(range(len(widths))) and len(packing.groups) < 6
+    assert all(packing.cells(g) <= B.CELLS or len(g) == 1 for g in packing.groups)
+    bins = [random.integers(0, w, 5000) for w in widths]
+    residuals = random.integers(-(2**45), 2**45, 5000)
+    codes, tables = packing.codes(bins), packing.tables(2)
+    for some in (slice(0, 4000), slice(4000, 5000)):
+        packing.add(tables, 1, codes[:, some], residuals[some])
+    found = packing.by_feature(tables)
+    assert not found[0].any()
+    for feature, own in enumerate(bins):
+        for b in range(widths[feature]):
+            assert found[1, feature, :, b].tolist() == [(own == b).sum(), residuals[own == b].sum()]
+        tree = B.TreeArrays(*(np.array(c) for c in ([feature, 0, 0], [widths[feature] // 2, 0, 0], [1, -1, -1], [2, -1, -1], [0.0, 1.0, 2.0])))
+        rows = np.flatnonzero(residuals > 0)
+        assert packing.router(tree)(codes, 0, rows).tolist() == (own[rows] <= widths[feature] // 2).tolist()
+
+
+BOOSTED = {"learning_rate": 0.3, "max_depth": 4, "row_share": 1.0, "column_share": 1.0, "seed": 7}
+
+
+def boosted(df, columns, rounds, **change):
+    from fareweave.plans.training import predict_with, train_model
+
+    run = train_model("g", "GradientBoosting", {**BOOSTED, "rounds": rounds, **change}, df, columns, "y")
+    return run, [r.prediction_g for r in predict_with(run, df).orderBy("i").collect()]
+
+
+def test_boosted_trees_are_those_of_spark_ml(spark):
+    """Without draws, and with a bin for each value, the trees are the same; so are their number and weights."""
+    from pyspark.ml.regression import GBTRegressor
+
+    random = np.random.default_rng(8)
+    x = random.integers(0, 9, (900, 4)).astype(float)
+    y = np.sin(x[:, 0]) + (x[:, 1] > 3) * x[:, 2] + 0.3 * random.normal(size=900)
+    rows = [(i, *map(float, r), float(v)) for i, (r, v) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(rows, "i int, a double, b double, c double, d double, y double").repartition(4)
+    run, got = boosted(df, ["a", "b", "c", "d"], 6)
+    assembled = VectorAssembler(inputCols=["a", "b", "c", "d"], outputCol="v").transform(df)
+    learner = GBTRegressor(featuresCol="v", labelCol="y", maxIter=6, maxDepth=4, stepSize=0.3, maxBins=32, seed=7)
+    model = learner.fit(assembled)
+    expected = [r.prediction for r in model.transform(assembled).orderBy("i").collect()]
+    np.testing.assert_allclose(got, expected, atol=1e-8)
+    assert run.model.stages[-1].treeWeights == model.treeWeights == [1.0] + [0.3] * 5
+    assert [t.numNodes for t in run.model.stages[-1].trees] == [t.numNodes for t in model.trees]
+
+
+def test_boosted_trees_draw_features_for_each_node(spark):
+    random = np.random.default_rng(9)
+    rows = [(i, *map(float, random.integers(0, 9, 4)), float(random.normal())) for i in range(600)]
+    df = spark.createDataFrame(rows, "i int, a double, b double, c double, d double, y double")
+    settings = B.TreeSettings(rounds=3, leaves=None, min_leaf=1, max_depth=4, column_share=0.5, by_node=True, first_whole=True)
+    first, second = (B.fit_trees(df, ["a", "b", "c", "d"], "y", settings) for _ in range(2))
+    assert first.rows() == second.rows()
+    assert all(len({n.feature for i, n in enumerate(t.nodes) if t.is_split(i)}) > 2 for t in first.trees)
+
+
+@pytest.mark.parametrize("gap", [None, float("nan"), float("inf")])
+def test_boosted_trees_refuse_rows_without_a_target(spark, gap):
+    df = spark.createDataFrame([(0, 1.0, 1.0), (1, 2.0, gap), (2, 3.0, 2.0)], "i int, a double, y double")
+    with pytest.raises(ValueError, match="must not be null"):
+        boosted(df, ["a"], 1)
+
+
+def test_a_round_of_boosted_trees_is_a_stage_a_level(spark):
+    """No shuffle adds up the tables of a level, and margins take no stage of their own."""
+    rows = [(i, float(i % 17), float(i % 13), float((i * i) % 19)) for i in range(800)]
+    df = spark.createDataFrame(rows, "i int, a double, b double, y double").repartition(4)
+    tracker = spark.sparkContext.statusTracker()
+
+    def stages(rounds):
+        spark.sparkContext.setJobGroup(f"boosted-{rounds}", "")
+        boosted(df, ["a", "b"], rounds, max_depth=3)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(f"boosted-{rounds}")]
+        found = [tracker.getStageInfo(i) for i in {i for job in jobs if job for i in job.stageIds}]
+        return sum(1 for s in found if s and s.numCompletedTasks)
+
+    assert stages(7) - stages(2) <= 5 * 3 + 2
