@@ -182,16 +182,17 @@ def cut_points(df: DataFrame, columns: list[str], bins: int) -> list[list[float]
 class Packing:
     """Features in groups: a code stands for one bin of each feature of its group.
 
-    A group's codes are at most ``CELLS``, or belong to one feature. ``widths``: bins by feature, that of missing values included.
+    A group's codes are at most ``most``, or belong to one feature. ``widths``: bins by feature, that of missing values included.
     """
 
     widths: tuple[int, ...]
+    most: int = CELLS
 
     @functools.cached_property
     def groups(self) -> list[list[int]]:
         groups: list[list[int]] = []
         for feature in sorted(range(len(self.widths)), key=lambda f: -self.widths[f]):
-            room = (g for g in groups if self.cells(g) * self.widths[feature] <= CELLS)
+            room = (g for g in groups if self.cells(g) * self.widths[feature] <= self.most)
             group = next(room, None)
             if group is None:
                 groups.append([feature])
@@ -204,7 +205,8 @@ class Packing:
 
     @property
     def kind(self) -> type:
-        return np.uint16 if max(map(self.cells, self.groups)) <= 1 << 16 else np.uint32
+        most = max(map(self.cells, self.groups))
+        return np.uint8 if most < 1 << 8 else np.uint16 if most <= 1 << 16 else np.uint32
 
     def codes(self, bins: list[np.ndarray]) -> np.ndarray:
         """Codes by group, of bins by feature."""

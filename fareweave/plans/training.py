@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,12 +16,13 @@ from pyspark.sql import types as T
 from fareweave import config
 from fareweave.operators.evaluate import best_model, compare_models, evaluate_models, metric_log
 from fareweave.plans.boosting import STORE_EVERY, HistogramBoosting, TreeSettings
+from fareweave.plans.forest import ForestSettings, HistogramForest
 from fareweave.plans.prepare import Prepared
 from fareweave.storage import keep_checkpoints, materialize
 
 VECTOR = "_features"
-# Memory for the histograms of one pass over the rows. Each task of an executor holds as much, and again what it sends:
-# with four tasks, 96 MB are under 1 GB. Nodes beyond it are counted in further passes; the trees are the same.
+# Memory for the histograms of a pass over the rows, in each task, and for the places of its rows: trees beyond it are
+# grown in further passes, nodes beyond it counted one part after the other; the trees are the same.
 TREE_MEMORY_MB = 96
 
 
@@ -43,17 +44,18 @@ def _ridge(params: dict, train: DataFrame, target: str) -> LinearRegression:
     )
 
 
-def _forest(params: dict, train: DataFrame, target: str) -> RandomForestRegressor:
-    return RandomForestRegressor(
-        numTrees=params.get("trees", 100),
-        maxDepth=params.get("max_depth", 12),
-        minInstancesPerNode=params.get("min_leaf", 5),
-        featureSubsetStrategy="all",
+def _forest(params: dict, train: DataFrame, target: str) -> HistogramForest:
+    """Spark ML's rules: Poisson draws of the rows, all features at every node, a leaf of the least size at least."""
+    settings = ForestSettings(
+        trees=params.get("trees", 100),
+        max_depth=params.get("max_depth", 12),
+        min_leaf=params.get("min_leaf", 5),
         bootstrap=params.get("bootstrap", True),
-        maxBins=params.get("bins", 32),
-        maxMemoryInMB=params.get("memory_mb", TREE_MEMORY_MB),
+        bins=params.get("bins", 32),
+        memory_mb=params.get("memory_mb", TREE_MEMORY_MB),
         seed=params.get("seed", config.SEED),
     )
+    return HistogramForest(settings=settings)
 
 
 def _boosted(params: dict, train: DataFrame, target: str) -> HistogramBoosting:
