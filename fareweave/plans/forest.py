@@ -41,7 +41,7 @@ from fareweave.storage import delete_path, keep_checkpoints, scratch_path
 TARGET = "_y"
 CELLS = 1 << 6  # of a table that is counted for more than one feature: small, as there is one for each node
 PASS_CELLS = 1 << 16  # of a table for all nodes that is counted for further features
-ROWS = 1 << 22  # of a partition
+ROWS = 1 << 21  # of a partition: its rows and their places are sent to and from a task as a whole
 SLICE, SUMMED = 1 << 16, 1 << 21  # rows handled at once: at least, at most
 VALUE_BITS = 31  # of a target; doubles add up SUMMED of them, drawn twice on average, without loss
 SUM_BITS = 62
